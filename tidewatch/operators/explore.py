@@ -91,6 +91,25 @@ def service_risk(
     )
 
 
+def service_risk_by_key(
+    facts: DataFrame, fact_key: str, services: DataFrame, service_key: str, service: str,
+    target: str = "is_anomaly", support: int = v.SERVICE_SUPPORT, top: int = v.SERVICE_TOP,
+) -> DataFrame:
+    """`service_risk` when the service sits in a table reached by a key.
+
+    Facts are summed per key first, so the join carries one row per key and a hot key is
+    already collapsed; Spark picks the join from the sizes it sees.
+    """
+    sums = facts.groupBy(fact_key).agg(F.sum(target).alias("_sum"), F.count(target).alias("_n"))
+    named = services.where(F.col(service).isNotNull()).select(F.col(service_key).alias(fact_key), service)
+    return (
+        sums.join(named, fact_key).groupBy(service)
+        .agg(ratio(F.sum("_sum"), F.sum("_n")).alias("anomaly_rate"), F.sum("_n").alias("connections"))
+        .where(F.col("connections") >= support)
+        .orderBy(F.desc("anomaly_rate"), service).limit(top)
+    )
+
+
 def histogram_by_class(df: DataFrame, column: str, value: str, bins: int = v.HISTOGRAM_BINS) -> DataFrame:
     """Density histogram per class over that class's own range; the last bin is closed.
 
