@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewatch import vocabulary as v
 from tidewatch.functions.ranks import before, bucketed_counts, exact_quantiles, upto
 from tidewatch.functions.scalars import bin_of, long_form, not_missing, ratio
+from tidewatch.functions.storage import materialize
 
 SERIES_TERMS = 100
 
@@ -18,12 +19,15 @@ def common_features(reference: DataFrame, production: DataFrame, features: list[
 
 
 def reference_edges(reference: DataFrame, buckets: int = v.PSI_BUCKETS) -> DataFrame:
-    """(feature, edges) from a long reference (feature, value): padded linear percentiles."""
+    """(feature, edges) from a long reference (feature, value): padded linear percentiles.
+
+    Kept once computed: reference and production are both counted against these very edges.
+    """
     probs = [i / buckets for i in range(buckets + 1)]
     quantiles = exact_quantiles(reference, "value", probs, ["feature"], few_groups=True)
     q = F.col("quantiles")
     edges = [q[0] - v.PSI_EDGE_PAD, *[q[i] for i in range(1, buckets)], q[buckets] + v.PSI_EDGE_PAD]
-    return quantiles.select("feature", F.array(*edges).alias("edges"))
+    return materialize(quantiles.select("feature", F.array(*edges).alias("edges")))
 
 
 def bucket_shares(cells: DataFrame, edges: DataFrame, keys: list[str], buckets: int = v.PSI_BUCKETS) -> DataFrame:
