@@ -22,8 +22,10 @@ def attach(df: DataFrame, dim: DataFrame, keys: list[str], how: str, small: bool
     of the copies by a hash of its other columns, so a key holding a third of all rows is
     spread over SALTS tasks. The salt is a function of the row, hence stable on retries.
     """
+    added = [] if how == "left_semi" else [c for c in dim.columns if c not in keys]
+    columns = [*df.columns, *added]
     if small:
-        return df.join(F.broadcast(dim), keys, how)
+        return df.join(F.broadcast(dim), keys, how).select(*columns)
     spread = [
         f.name for f in df.schema.fields
         if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))
@@ -33,7 +35,7 @@ def attach(df: DataFrame, dim: DataFrame, keys: list[str], how: str, small: bool
     return (
         df.withColumn("_salt", salt)
         .join(dim.withColumn("_salt", copies), [*keys, "_salt"], how)
-        .drop("_salt")
+        .select(*columns)
     )
 
 

@@ -93,12 +93,13 @@ def batch_incidents(
 
 def batch_verdict(batches: DataFrame, incidents: DataFrame, batch: str) -> DataFrame:
     """(batch, status, action, total_incidents). A spotless batch also passes 'with warnings'."""
-    summary = incidents.groupBy(batch).agg(
+    summary = incidents.groupBy(F.col(batch).alias("_incident_batch")).agg(
         F.count("*").alias("_n"), F.bool_or(F.col("severity") == "HIGH").alias("_high")
     )
     high = F.coalesce(F.col("_high"), F.lit(False))
     failed, passed = v.VERDICT_FAILED, v.VERDICT_PASSED
-    return batches.select(batch).distinct().join(summary, batch, "left").select(
+    listed = batches.select(batch).distinct()
+    return listed.join(summary, F.col(batch).eqNullSafe(F.col("_incident_batch")), "left").select(
         batch,
         F.when(high, failed[0]).otherwise(passed[0]).alias("status"),
         F.when(high, failed[1]).otherwise(passed[1]).alias("action"),
@@ -107,7 +108,10 @@ def batch_verdict(batches: DataFrame, incidents: DataFrame, batch: str) -> DataF
 
 
 def route(df: DataFrame, verdict: DataFrame, batch: str) -> tuple[DataFrame, DataFrame]:
-    """(accepted, quarantine): rows of batches that may go on, and rows of blocked batches."""
-    marked = lookup_join(df, verdict.select(batch, "action"), [batch], "inner")
-    blocked = F.col("action") == v.VERDICT_FAILED[1]
+    """(accepted, quarantine): rows of batches that may go on, and rows of blocked batches.
+
+    Rows naming no batch cannot be matched with a verdict and go to quarantine.
+    """
+    marked = lookup_join(df, verdict.select(batch, "action"), [batch])
+    blocked = F.coalesce(F.col("action") == v.VERDICT_FAILED[1], F.lit(True))
     return marked.where(~blocked).drop("action"), marked.where(blocked).drop("action")

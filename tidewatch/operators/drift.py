@@ -107,7 +107,7 @@ def kolmogorov_tail(strength: Column) -> Column:
     )
     small = F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) * ratio(lower, strength)
     tail = F.when(strength <= 0, 1.0).when(strength < 1.0, small).otherwise(upper)
-    return F.least(F.greatest(tail, F.lit(0.0)), F.lit(1.0))
+    return F.when(strength.isNotNull(), F.least(F.greatest(tail, F.lit(0.0)), F.lit(1.0)))
 
 
 def ks_long(reference: DataFrame, production: DataFrame) -> DataFrame:

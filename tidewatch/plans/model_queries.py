@@ -25,9 +25,17 @@ def documents_split(spark, folder) -> TrainTest:
 
 def _scored(fit, spark, folder) -> DataFrame:
     data = documents_split(spark, folder)
-    model = fit(data.train, data.features, "is_anomaly")
-    scored = models.score(model, data.test, [*KEYS, "is_anomaly"])
-    return shown(scored)
+    model = _fitted(fit, data)
+    return shown(models.score(model, data.test, [*KEYS, "is_anomaly"]))
+
+
+def _fitted(fit, data: TrainTest):
+    """Fitting reads the training rows several times; keep them for that long."""
+    train = data.train.persist()
+    try:
+        return fit(train, data.features, "is_anomaly")
+    finally:
+        train.unpersist()
 
 
 @query("lr_fit_score")
@@ -52,7 +60,7 @@ def model_pick(spark, folder):
     fitted = {"baseline_logistic_regression": models.fit_logistic, "random_forest": models.fit_forest}
     runs = []
     for name, fit in fitted.items():
-        scored = models.score(fit(data.train, data.features, "is_anomaly"), data.test, [*KEYS, "is_anomaly", "attack_category"])
+        scored = models.score(_fitted(fit, data), data.test, [*KEYS, "is_anomaly", "attack_category"])
         recalls = evaluate.category_recall(scored, "attack_category", "is_anomaly", "prediction")
         runs.append(recalls.agg(F.min_by("recall", F.struct("total", "category")).alias("recall_minority")).select(
             F.lit(name).alias("run_name"), "recall_minority"))
