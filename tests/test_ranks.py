@@ -58,7 +58,7 @@ def test_any_values(spark, values):
 
 def test_running_counts_over_buckets(skewed):
     frame, df = skewed
-    counts, keys = bucketed_counts(df, "x", {"n": F.lit(1)}, ["g"], buckets=8)
+    counts, keys = bucketed_counts(df, "x", {"n": F.lit(1)}, ["g"], levels=1)
     per_bucket = counts.withColumn("r", upto("n", [*keys, "_bucket"], "_x")).groupBy("g", "_bucket").agg(
         F.max("r").alias("last"), F.sum("n").alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")
     ).orderBy("g", "_bucket").collect()

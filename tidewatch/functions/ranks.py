@@ -17,7 +17,9 @@ from tidewatch.functions.scalars import bin_of, not_missing
 from tidewatch.functions.storage import materialize
 
 ACCURACY = 10_000
-BUCKETS = 64
+FANOUT = 8
+LEVELS = 3  # 512 buckets
+CUT_CELLS = 2_000_000  # most bucket edges to broadcast: 16 MB
 
 
 def _keyed(df: DataFrame, value: str, groups: list[str], extra: list[Column] = ()) -> tuple[DataFrame, list[str]]:
@@ -28,6 +30,20 @@ def _keyed(df: DataFrame, value: str, groups: list[str], extra: list[Column] = (
     return (rows.where(reduce(lambda a, b: a & b, [F.col(g).isNotNull() for g in groups])) if groups else rows), keys
 
 
+def _sketched(probs: list[float], accuracy: int) -> Column:
+    """Approximate quantiles of `_x`; one parsed expression, as hundreds of literals are slow to build."""
+    listed = ", ".join(f"{p!r}D" for p in probs)
+    return F.expr(f"percentile_approx(_x, array({listed}), {accuracy})")
+
+
+def _with_sketch(rows: DataFrame, sketch: DataFrame, groups: list[str], columns: list[str], small: bool) -> DataFrame:
+    """Give every row the sketch of its group; without groups it is one value for all rows."""
+    if groups:
+        return attach(rows, sketch, groups, "inner", small)
+    whole = sketch.select(F.struct(*columns)).scalar()
+    return rows.withColumn("_sketch", whole).select(*rows.columns, *[F.col("_sketch")[c].alias(c) for c in columns])
+
+
 def _between(a: Column, b: Column, t: Column) -> Column:
     """Linear interpolation measured from the nearer end, so that t = 1 gives b exactly."""
     return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
@@ -35,24 +51,27 @@ def _between(a: Column, b: Column, t: Column) -> Column:
 
 def exact_quantiles(
     df: DataFrame, value: str, probs: list[float], groups: list[str] = (),
-    accuracy: int = ACCURACY, few_groups: bool = False,
+    accuracy: int = ACCURACY, few_groups: bool = False, keep_input: bool = False,
     position: Callable[[float, Column], Column] = lambda p, n: F.lit(p) * (n - 1),
 ) -> DataFrame:
     """Linearly interpolated quantiles: one row per group (groups…, n, quantiles array).
 
     Three reads, each with map-side aggregation and tiny shuffles: sketch, piece counts,
     and the distinct values of the pieces that hold a wanted rank (about 4/accuracy of the
-    rows per probability). Set `few_groups` when the schema bounds the number of groups.
+    rows per probability). Set `few_groups` when the schema bounds the number of groups, and
+    `keep_input` when deriving the rows (a join) costs more than storing group and value.
     `position` turns a probability and the row count into a 0-based rank.
     """
     groups = list(groups)
     rows, keys = _keyed(df, value, groups)
+    if keep_input:
+        rows = materialize(rows)
     margin = 2.0 / accuracy
     cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
     sketch = materialize(
         rows.groupBy(*keys).agg(
             F.count("*").alias("n"),
-            F.percentile_approx("_x", cuts, accuracy).alias("_cuts"),
+            _sketched(cuts, accuracy).alias("_cuts"),
         )
     )
     small = few_groups or not groups or fits_broadcast(sketch)
@@ -61,69 +80,72 @@ def exact_quantiles(
         rows.withColumn("_w", F.lit(1).cast("long")) if small
         else rows.groupBy(*keys, "_x").agg(F.count("*").alias("_w"))
     )
-    located = attach(weighted, sketch.select(*keys, "_cuts"), keys, "inner", small).select(
-        *keys, bin_of(F.col("_x"), F.col("_cuts"), len(cuts)).alias("_bin"), "_x", "_w"
+    located = _with_sketch(weighted, sketch, groups, ["n", "_cuts"], small).select(
+        *keys, bin_of("_x", "_cuts", len(cuts)).alias("_bin"), "_x", "_w", "n"
     )
 
     places = [position(p, F.col("n")) for p in probs]
     low = [F.floor(p) for p in places]
     high = [F.ceil(p) for p in places]
-    ranks = sketch.select(*keys, F.array_distinct(F.array(*low, *high)).alias("_ranks"))
+    ranks = F.array_distinct(F.array(*low, *high))
 
-    earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    bin_keys = [*keys, "_bin"]
     needed = (
-        located.groupBy(*keys, "_bin").agg(F.sum("_w").alias("_in_bin"))
-        .withColumn("_before", F.coalesce(F.sum("_in_bin").over(earlier), F.lit(0)))
-        .join(F.broadcast(ranks) if small else ranks, keys)
-        .withColumn("_wanted", F.filter(
-            "_ranks", lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_bin"))))
-        .where(F.size("_wanted") > 0)
-        .select(*keys, "_bin", "_before", "_wanted")
+        located.groupBy(*bin_keys).agg(F.sum("_w").alias("_in_bin"), F.max("n").alias("n"))
+        .withColumn("_before", before("_in_bin", keys, "_bin"))
+        .where(F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_bin"))))
+        .select(*bin_keys, "_before")
     )
-
-    running = Window.partitionBy(*keys, "_bin").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    bin_keys = [*keys, "_bin"]
-    inside = attach(located, needed.select(*bin_keys), bin_keys, "left_semi", small)
+    counts = (
+        attach(located, needed, bin_keys, "inner", small)
+        .groupBy(*bin_keys, "_x").agg(F.sum("_w").alias("_c"), F.max("_before").alias("_before"), F.max("n").alias("n"))
+    )
+    end = F.col("_before") + upto("_c", bin_keys, "_x")
     picked = (
-        inside.groupBy(*bin_keys, "_x").agg(F.sum("_w").alias("_c"))
-        .withColumn("_upto", F.sum("_c").over(running))
-        .join(F.broadcast(needed) if small else needed, bin_keys)
-        .withColumn("_end", F.col("_before") + F.col("_upto"))
+        counts.withColumn("_end", end)
         .withColumn("_rank", F.explode(F.filter(
-            "_wanted", lambda r: (r >= F.col("_end") - F.col("_c")) & (r < F.col("_end")))))
-        .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_at"))
+            ranks, lambda r: (r >= F.col("_end") - F.col("_c")) & (r < F.col("_end")))))
+        .groupBy(*keys).agg(
+            F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_at"))
     )
-
     at = F.col("_at")
-    values = [_between(at[lo], at[hi], pos - lo) for pos, lo, hi in zip(places, low, high)]
-    joined = picked.join(F.broadcast(sketch.select(*keys, "n")) if small else sketch.select(*keys, "n"), keys)
-    return joined.select(*groups, "n", F.array(*values).alias("quantiles"))
+    values = [_between(at[lo], at[hi], place - lo) for place, lo, hi in zip(places, low, high)]
+    return picked.select(*groups, "n", F.array(*values).alias("quantiles"))
+
+
+def _with_bucket(rows: DataFrame, levels: int) -> DataFrame:
+    """Add `_bucket` among FANOUT ** levels, found level by level with FANOUT - 1 comparisons each."""
+    found = "0"
+    for level in range(levels - 1, -1, -1):
+        step = FANOUT ** level
+        below = " + ".join(f"IF(get(_cuts, {found} + {j * step - 1}) <= _x, 1, 0)" for j in range(1, FANOUT))
+        rows = rows.withColumn(f"_b{level}", F.expr(f"{found} + {step} * ({below})"))
+        found = f"_b{level}"
+    return rows.withColumnRenamed(found, "_bucket")
 
 
 def bucketed_counts(
     df: DataFrame, value: str, measures: dict[str, Column], groups: list[str] = (),
-    buckets: int = BUCKETS, few_groups: bool = False,
+    levels: int = LEVELS, few_groups: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """Sums of `measures` per distinct value, each value tagged with an ordered bucket.
 
-    Buckets hold about equal numbers of rows, so a window over (group, bucket) never has
-    to take a whole group. Equal values always share one bucket.
+    The FANOUT ** levels buckets hold about equal numbers of rows, so a window over
+    (group, bucket) never has to take a whole group. Equal values always share one bucket.
     """
     names = list(measures)
     groups = list(groups)
     rows, keys = _keyed(df, value, groups, [m.alias(k) for k, m in measures.items()])
+    buckets = FANOUT ** levels
     cuts = [i / buckets for i in range(1, buckets)]
     sketch = materialize(
-        rows.groupBy(*keys).agg(F.percentile_approx("_x", cuts, buckets * 50).alias("_cuts"))
+        rows.groupBy(*keys).agg(_sketched(cuts, max(buckets * 20, ACCURACY)).alias("_cuts"))
     )
-    small = few_groups or not groups or fits_broadcast(sketch)
+    small = few_groups or not groups or fits_broadcast(sketch, CUT_CELLS // buckets)
     sums = [F.sum(n).alias(n) for n in names]
-    counts = (
-        attach(rows if small else rows.groupBy(*keys, "_x").agg(*sums), sketch, keys, "inner", small)
-        .withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c <= F.col("_x"))))
-        .groupBy(*keys, "_bucket", "_x").agg(*sums)
-    )
-    return counts, keys
+    collapsed = rows if small else rows.groupBy(*keys, "_x").agg(*sums)
+    located = _with_sketch(collapsed, sketch, groups, ["_cuts"], small)
+    return _with_bucket(located, levels).groupBy(*keys, "_bucket", "_x").agg(*sums), keys
 
 
 def before(measure: str, partition: list[str], order: str) -> Column:

@@ -71,10 +71,9 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def bin_of(value: Column, edges: Column, count: int) -> Column:
+def bin_of(value: str, edges: str, count: int) -> Column:
     """Number of edges at or below `value`; a plain sum, so it stays inside generated code."""
-    steps = [F.when(edges.getItem(i) <= value, 1).otherwise(0) for i in range(count)]
-    return reduce(lambda a, b: a + b, steps)
+    return F.expr(" + ".join(f"IF({edges}[{i}] <= {value}, 1, 0)" for i in range(count)))
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:

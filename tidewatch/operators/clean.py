@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidewatch.functions.storage import materialize
+
 
 def dedup_global(df: DataFrame) -> DataFrame:
     """One copy of every distinct row. Copies collapse inside each task before the shuffle."""
@@ -27,7 +29,9 @@ def mark_duplicates(df: DataFrame, keys: list[str], row_id: str, output: str = "
 
 
 def verified_distinct(df: DataFrame) -> tuple[DataFrame, int]:
-    """Safety dedup before training: the distinct rows and how many copies were dropped."""
-    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    removed = counted.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))).first()[0]
-    return dedup_global(df), removed
+    """Safety dedup before training: the distinct rows and how many copies were dropped.
+
+    The rows are stored once, since splitting and fitting read them many times.
+    """
+    distinct = materialize(dedup_global(df))
+    return distinct, df.count() - distinct.count()

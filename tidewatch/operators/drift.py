@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import vocabulary as v
+from tidewatch.functions.joins import attach, fits_broadcast
 from tidewatch.functions.ranks import before, bucketed_counts, exact_quantiles, upto
 from tidewatch.functions.scalars import bin_of, long_form, not_missing, ratio
 from tidewatch.functions.storage import materialize
@@ -18,26 +19,29 @@ def common_features(reference: DataFrame, production: DataFrame, features: list[
     return [c for c in features if c in reference.columns and c in production.columns]
 
 
-def reference_edges(reference: DataFrame, buckets: int = v.PSI_BUCKETS) -> DataFrame:
+def reference_edges(reference: DataFrame, buckets: int = v.PSI_BUCKETS, few: bool = False) -> DataFrame:
     """(feature, edges) from a long reference (feature, value): padded linear percentiles.
 
     Kept once computed: reference and production are both counted against these very edges.
     """
     probs = [i / buckets for i in range(buckets + 1)]
-    quantiles = exact_quantiles(reference, "value", probs, ["feature"], few_groups=True)
+    quantiles = exact_quantiles(reference, "value", probs, ["feature"], few_groups=few)
     q = F.col("quantiles")
     edges = [q[0] - v.PSI_EDGE_PAD, *[q[i] for i in range(1, buckets)], q[buckets] + v.PSI_EDGE_PAD]
     return materialize(quantiles.select("feature", F.array(*edges).alias("edges")))
 
 
-def bucket_shares(cells: DataFrame, edges: DataFrame, keys: list[str], buckets: int = v.PSI_BUCKETS) -> DataFrame:
+def bucket_shares(
+    cells: DataFrame, edges: DataFrame, keys: list[str], buckets: int = v.PSI_BUCKETS, small: bool | None = None
+) -> DataFrame:
     """(keys…, n, shares): part of all clean values in each bucket; outside values in none.
 
     The last bucket is closed. Empty buckets appear because every bucket is its own counter.
     """
     value, last = F.col("value"), F.col("edges")[buckets]
-    place = F.when(value == last, buckets - 1).otherwise(bin_of(value, F.col("edges"), buckets + 1) - 1)
-    binned = cells.join(F.broadcast(edges), "feature", "left").withColumn(
+    place = F.when(value == last, buckets - 1).otherwise(bin_of("value", "edges", buckets + 1) - 1)
+    small = fits_broadcast(edges) if small is None else small
+    binned = attach(cells, edges, ["feature"], "left", small).withColumn(
         "_bin", F.when(not_missing(value) & (value <= last), place)
     )
     counted = binned.groupBy(*keys).agg(
@@ -54,17 +58,20 @@ def stability(expected: Column, actual: Column) -> Column:
     return F.aggregate(terms, F.lit(0.0), lambda a, t: a + t)
 
 
-def psi_long(reference: DataFrame, production: DataFrame, keys: list[str] = (), buckets: int = v.PSI_BUCKETS) -> DataFrame:
+def psi_long(
+    reference: DataFrame, production: DataFrame, keys: list[str] = (), buckets: int = v.PSI_BUCKETS, few: bool = False
+) -> DataFrame:
     """PSI per feature (and per key) of long frames (feature, value); 0 when a side is empty.
 
-    Features are bounded by the schema, so edges and reference shares are small by nature.
+    `few` says that the schema bounds the number of features; else it is checked.
     """
-    edges = reference_edges(reference, buckets)
-    expected = bucket_shares(reference, edges, ["feature"], buckets).select(
+    edges = reference_edges(reference, buckets, few)
+    small = few or fits_broadcast(edges)
+    expected = bucket_shares(reference, edges, ["feature"], buckets, small).select(
         "feature", F.col("n").alias("n_reference"), F.col("shares").alias("_expected")
     )
-    actual = bucket_shares(production, edges, ["feature", *keys], buckets)
-    joined = actual.join(F.broadcast(expected), "feature", "left")
+    actual = bucket_shares(production, edges, ["feature", *keys], buckets, small)
+    joined = attach(actual, expected, ["feature"], "left", small)
     filled = (F.col("n") > 0) & (F.coalesce(F.col("n_reference"), F.lit(0)) > 0)
     psi = F.when(filled, stability(F.col("_expected"), F.col("shares"))).otherwise(F.lit(0.0))
     return joined.select("feature", *keys, psi.alias("psi"))
@@ -73,7 +80,7 @@ def psi_long(reference: DataFrame, production: DataFrame, keys: list[str] = (),
 def psi_by_feature(reference: DataFrame, production: DataFrame, features: list[str], buckets: int = v.PSI_BUCKETS) -> DataFrame:
     """One PSI per common feature, also for an empty production frame."""
     names = common_features(reference, production, features)
-    found = psi_long(long_form(reference, names), long_form(production, names), buckets=buckets)
+    found = psi_long(long_form(reference, names), long_form(production, names), buckets=buckets, few=True)
     listed = reference.sparkSession.createDataFrame([(c,) for c in names], "feature string")
     return listed.join(found, "feature", "left").select("feature", F.coalesce("psi", F.lit(0.0)).alias("psi"))
 
@@ -81,7 +88,7 @@ def psi_by_feature(reference: DataFrame, production: DataFrame, features: list[s
 def psi_by_batch(reference: DataFrame, production: DataFrame, features: list[str], batch: str, buckets: int = v.PSI_BUCKETS) -> DataFrame:
     """PSI and short status per production batch and feature against one reference."""
     names = common_features(reference, production, features)
-    found = psi_long(long_form(reference, names), long_form(production, names, keep=[batch]), [batch], buckets)
+    found = psi_long(long_form(reference, names), long_form(production, names, keep=[batch]), [batch], buckets, few=True)
     return found.withColumn("status", drift_status(F.col("psi")))
 
 
@@ -110,7 +117,7 @@ def kolmogorov_tail(strength: Column) -> Column:
     return F.when(strength.isNotNull(), F.least(F.greatest(tail, F.lit(0.0)), F.lit(1.0)))
 
 
-def ks_long(reference: DataFrame, production: DataFrame) -> DataFrame:
+def ks_long(reference: DataFrame, production: DataFrame, few: bool = False) -> DataFrame:
     """Two-sample KS per feature of long frames: statistic, asymptotic p-value, sizes.
 
     Both samples collapse to distinct values; running counts are taken inside value buckets
@@ -120,12 +127,12 @@ def ks_long(reference: DataFrame, production: DataFrame) -> DataFrame:
         production.select("feature", "value", F.lit(0).alias("_r"), F.lit(1).alias("_p"))
     )
     measures = {"_ref": F.col("_r").cast("long"), "_prod": F.col("_p").cast("long")}
-    counts, keys = bucketed_counts(both, "value", measures, ["feature"], few_groups=True)
+    counts, keys = bucketed_counts(both, "value", measures, ["feature"], few_groups=few)
     totals = counts.groupBy(*keys).agg(F.sum("_ref").alias("n_reference"), F.sum("_prod").alias("n_production"))
     inner = [*keys, "_bucket"]
     gap = ratio(upto("_ref", inner, "_x"), F.col("n_reference")) - ratio(upto("_prod", inner, "_x"), F.col("n_production"))
     pieces = (
-        counts.join(F.broadcast(totals), keys)
+        counts.join(F.broadcast(totals) if few else totals, keys)
         .withColumn("_gap", gap)
         .groupBy(*inner, "n_reference", "n_production").agg(
             F.max("_gap").alias("_high"), F.min("_gap").alias("_low"),
@@ -142,7 +149,7 @@ def ks_long(reference: DataFrame, production: DataFrame) -> DataFrame:
 
 def ks_by_feature(reference: DataFrame, production: DataFrame, features: list[str]) -> DataFrame:
     names = common_features(reference, production, features)
-    return ks_long(long_form(reference, names), long_form(production, names))
+    return ks_long(long_form(reference, names), long_form(production, names), few=True)
 
 
 def drift_table(reference: DataFrame, production: DataFrame, features: list[str]) -> DataFrame:

@@ -21,10 +21,10 @@ def class_counts(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def median_by_class(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
-    """(class, feature, median), exact."""
+def median_by_class(df: DataFrame, column: str, values: Sequence[str], keep_input: bool = False) -> DataFrame:
+    """(class, feature, median), exact. `keep_input` stores class and values once, for derived inputs."""
     cells = long_form(df.withColumn("class", F.col(column)), list(values), keep=["class"])
-    medians = exact_quantiles(cells, "value", [0.5], ["class", "feature"])
+    medians = exact_quantiles(cells, "value", [0.5], ["class", "feature"], keep_input=keep_input)
     return medians.select("class", "feature", F.col("quantiles")[0].alias("median"))
 
 

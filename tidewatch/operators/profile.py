@@ -179,29 +179,31 @@ def cardinality(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 # Spread ------------------------------------------------------------------------------------
 
 
-def quartile_bounds(df: DataFrame, columns: list[str], factor: float) -> DataFrame:
-    """(feature, lower, upper) fences; columns with zero interquartile range are dropped."""
-    quartiles = exact_quantiles(long_form(df, columns), "value", [0.25, 0.75], ["feature"], few_groups=True)
+def outliers_long(cells: DataFrame, factor: float = v.IQR_FACTOR) -> DataFrame:
+    """Outliers of a long frame (feature, value) whose features are columns of known tables.
+
+    Values strictly outside [Q1 - f·IQR, Q3 + f·IQR], count and percent of all rows; features
+    with a zero range or without outliers are left out.
+    """
+    quartiles = exact_quantiles(cells, "value", [0.25, 0.75], ["feature"], few_groups=True)
     q1, q3 = F.col("quantiles")[0], F.col("quantiles")[1]
-    return quartiles.where(q3 != q1).select(
+    bounds = quartiles.where(q3 != q1).select(
         "feature", (q1 - factor * (q3 - q1)).alias("lower"), (q3 + factor * (q3 - q1)).alias("upper")
     )
-
-
-def outliers_iqr(df: DataFrame, columns: list[str] | None = None, factor: float = v.IQR_FACTOR) -> DataFrame:
-    """Values strictly outside the fences, count and percent of all rows, only where any exist."""
-    names = columns or numeric_columns(df, exclude=["is_anomaly"])
-    bounds = quartile_bounds(df, names, factor)
-    cells = attach(long_form(df, names), bounds, ["feature"], "inner", small=True)
     outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     return (
-        cells.groupBy("feature")
+        attach(cells, bounds, ["feature"], "inner", small=True).groupBy("feature")
         .agg(F.count_if(outside).alias("outliers"), F.count("*").alias("_rows"))
         .where("outliers > 0")
         .select("feature", "outliers", share_pct(F.col("outliers"), F.col("_rows"), 2).alias("pct"))
     )
 
 
+def outliers_iqr(df: DataFrame, columns: list[str] | None = None, factor: float = v.IQR_FACTOR) -> DataFrame:
+    """Extreme outliers of the numeric columns."""
+    return outliers_long(long_form(df, columns or numeric_columns(df, exclude=["is_anomaly"])), factor)
+
+
 def top_outliers(findings: DataFrame, limit: int = 5) -> DataFrame:
     return findings.orderBy(F.desc("pct"), "feature").limit(limit)
 
@@ -264,8 +266,11 @@ def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFr
     """
     names = columns or numeric_columns(df, exclude=["is_anomaly"])
     spark = df.sparkSession
-    gaps = df.agg(*[(F.count(c) < F.count("*")).alias(c) for c in names]).first()
-    flat = df.agg(*[F.min(c).eqNullSafe(F.max(c)).alias(c) for c in names]).first()
+    shape = df.agg(F.count("*").alias("n"), *[
+        F.struct(F.count(c).alias("n"), F.min(c).eqNullSafe(F.max(c)).alias("flat")).alias(f"c_{c}") for c in names
+    ]).first()
+    gaps = {c: shape[f"c_{c}"].n < shape.n for c in names}
+    flat = {c: shape[f"c_{c}"].flat for c in names}
     dense = [c for c in names if not gaps[c] and not flat[c]]
     order = {c: i for i, c in enumerate(names)}
     found = []

@@ -16,10 +16,13 @@ from tidewatch.operators.targets import feature_columns, pipeline_targets
 
 
 def prepare_features(raw: DataFrame) -> tuple[DataFrame, PipelineModel]:
-    """Targets, global dedup, then the column pipeline; returns the clean table and the fitted pipeline."""
-    distinct = dedup_global(pipeline_targets(raw))
-    pipeline = models.feature_pipeline().fit(distinct)
-    return pipeline.transform(distinct), pipeline
+    """Targets, global dedup, then the column pipeline; returns the clean table and the fitted pipeline.
+
+    Whether a column is constant does not depend on copies, so fitting skips the dedup shuffle.
+    """
+    marked = pipeline_targets(raw)
+    pipeline = models.feature_pipeline().fit(marked)
+    return pipeline.transform(dedup_global(marked)), pipeline
 
 
 @dataclass

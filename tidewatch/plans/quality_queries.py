@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewatch.functions.scalars import long_form
 from tidewatch.operators import clean, explore, gates, profile, targets
 from tidewatch.plans.registry import query, shown
 from tidewatch.sources import tables, views
@@ -224,12 +225,12 @@ def outliers_iqr3(spark, folder):
 
 @query("top5_outlier_columns", f"SELECT * FROM ({ALL_OUTLIERS}) ORDER BY pct DESC, feature LIMIT 5")
 def top5_outlier_columns(spark, folder):
-    findings = profile.union_all([
-        profile.outliers_iqr(read_table(spark, folder, "lineitem"), ITEM_COLUMNS),
-        profile.outliers_iqr(read_table(spark, folder, "events"), ["value", "user_id"]),
-        profile.outliers_iqr(read_table(spark, folder, "documents"), ["n_chars"]),
+    cells = profile.union_all([
+        long_form(read_table(spark, folder, "lineitem"), ITEM_COLUMNS),
+        long_form(read_table(spark, folder, "events"), ["value", "user_id"]),
+        long_form(read_table(spark, folder, "documents"), ["n_chars"]),
     ])
-    return profile.top_outliers(findings)
+    return profile.top_outliers(profile.outliers_long(cells))
 
 
 @query("skewness_adjusted", """
@@ -330,7 +331,7 @@ def category_counts(spark, folder):
     UNION ALL SELECT o_orderpriority, 'dst_bytes', round(quantile_cont(l_quantity, 0.5::DOUBLE), 6)
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def median_by_class(spark, folder):
-    return shown(explore.median_by_class(_classed_bytes(spark, folder), "label", ["src_bytes", "dst_bytes"]))
+    return shown(explore.median_by_class(_classed_bytes(spark, folder), "label", ["src_bytes", "dst_bytes"], keep_input=True))
 
 
 def _classed_bytes(spark, folder):

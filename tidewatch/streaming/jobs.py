@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidewatch import vocabulary as v
+from tidewatch.functions.joins import attach, fits_broadcast
 from tidewatch.operators.batches import batch_incidents, batch_verdict, route
 from tidewatch.operators.drift import bucket_shares, drift_status, stability
 from tidewatch.operators.encode import decide
@@ -78,11 +79,13 @@ def drift_stream(stream: DataFrame, edges: DataFrame, expected: DataFrame, keys:
     reference and stored; a micro-batch only counts.
     """
 
+    small = fits_broadcast(edges)
+    known = expected.select("feature", F.col("shares").alias("_expected"))
+
     def work(frame: DataFrame, batch_id: int) -> None:
-        actual = bucket_shares(frame, edges, ["feature", *keys], buckets)
-        known = expected.select("feature", F.col("shares").alias("_expected"))
+        actual = bucket_shares(frame, edges, ["feature", *keys], buckets, small)
         psi = F.when((F.col("n") > 0) & F.col("_expected").isNotNull(), stability(F.col("_expected"), F.col("shares"))).otherwise(0.0)
-        found = actual.join(F.broadcast(known), "feature", "left").select("feature", *keys, psi.alias("psi"))
+        found = attach(actual, known, ["feature"], "left", small).select("feature", *keys, psi.alias("psi"))
         found.withColumn("status", drift_status(F.col("psi"))).write.mode("overwrite").parquet(f"{output}/data/micro={batch_id}")
 
     return _per_batch(stream, output, work)
