@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.functions import ranks
 from tidewatch.operators import drift
 
 
@@ -87,6 +88,14 @@ def test_ks_statistic(spark, samples):
         assert 0 <= found[c].p_value <= 1
 
 
+def test_ks_over_cells(spark, samples, monkeypatch):
+    monkeypatch.setattr(ranks, "TASK_ROWS", 20)
+    reference = frame(spark, **{c: s[0] for c, s in samples.items()})
+    production = frame(spark, **{c: s[1] for c, s in samples.items()})
+    found = {r.feature: r.ks for r in drift.ks_by_feature(reference, production, list(samples)).collect()}
+    assert found == pytest.approx({c: ks_brute(*s) for c, s in samples.items()})
+
+
 def test_kolmogorov_tail_known_values(spark):
     # Tabulated quantiles of the limiting distribution.
     df = spark.createDataFrame([(0.0,), (0.5,), (0.8276,), (1.2238,), (1.3581,), (1.6276,), (9.0,)], "k double")

@@ -3,6 +3,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from tidewatch.functions import ranks
 from tidewatch.operators import evaluate
 
 
@@ -29,6 +30,14 @@ def test_auc(scored):
     assert exact.evaluate(df) == pytest.approx(auc)
 
 
+def test_auc_over_cells(scored, monkeypatch):
+    df, label, score = scored
+    monkeypatch.setattr(ranks, "TASK_ROWS", 10)
+    assert evaluate.roc_auc(df, "score", "label").first().auc == pytest.approx(auc_brute(label, score), abs=1e-12)
+    found = {r.g: r.auc for r in evaluate.roc_auc(df, "score", "label", ["g"]).collect()}
+    assert found["odd"] == pytest.approx(auc_brute(label[1::2], score[1::2]))
+
+
 def test_auc_by_group_and_single_class(scored):
     df, label, score = scored
     found = {r.g: r.auc for r in evaluate.roc_auc(df, "score", "label", ["g"]).collect()}

@@ -5,13 +5,13 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tidewatch.functions import joins, ranks
-from tidewatch.functions.ranks import bucketed_counts, exact_quantiles, upto
+from tidewatch.functions.ranks import cell_counts, exact_quantiles, upto
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
-def quantiles(df, **options):
-    rows = exact_quantiles(df, "x", PROBS, ["g"], **options).collect()
+def quantiles(df):
+    rows = exact_quantiles(df, "x", PROBS, ["g"]).collect()
     return {r.g: list(r.quantiles) for r in rows}
 
 
@@ -35,19 +35,33 @@ def test_matches_numpy(skewed):
         assert values == pytest.approx(np.quantile(clean[clean.g == g].x, PROBS), abs=1e-12)
 
 
-def test_coarse_sketch_changes_nothing(skewed):
+@pytest.mark.parametrize("task_rows", [1, 40, 1000])
+def test_rounds_of_cells_change_nothing(skewed, monkeypatch, task_rows):
     _, df = skewed
-    assert quantiles(df, accuracy=3) == quantiles(df)
+    expected = quantiles(df)
+    monkeypatch.setattr(ranks, "TASK_ROWS", task_rows)
+    assert quantiles(df) == expected
 
 
 def test_many_groups_path_changes_nothing(skewed, monkeypatch):
     _, df = skewed
     expected = quantiles(df)
-    monkeypatch.setattr(ranks, "fits_broadcast", lambda *_: False)
+    monkeypatch.setattr(ranks, "BROADCAST_ROWS", 1)
+    assert quantiles(df) == expected
+    monkeypatch.setattr(ranks, "TASK_ROWS", 100)
     assert quantiles(df) == expected
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_one_value_holding_almost_all_rows(spark, monkeypatch):
+    """The copies fill every cell edge; the rare values must still be told apart."""
+    monkeypatch.setattr(ranks, "TASK_ROWS", 5)
+    xs = [0.0] * 5000 + [1 + i / 7 for i in range(40)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").repartition(4)
+    probs = [0.5, 0.993, 0.997, 1.0]
+    assert list(exact_quantiles(df, "x", probs).first().quantiles) == pytest.approx(np.quantile(xs, probs))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(values=st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=40))
 def test_any_values(spark, values):
     df = spark.createDataFrame([(float(x),) for x in values], "x double")
@@ -56,14 +70,16 @@ def test_any_values(spark, values):
     assert list(row.quantiles) == pytest.approx(np.quantile(values, PROBS), rel=1e-12, abs=1e-9)
 
 
-def test_running_counts_over_buckets(skewed):
+@pytest.mark.parametrize("task_rows", [50, 3])
+def test_running_counts_over_cells(skewed, monkeypatch, task_rows):
     frame, df = skewed
-    counts, keys = bucketed_counts(df, "x", {"n": F.lit(1)}, ["g"], levels=1)
-    per_bucket = counts.withColumn("r", upto("n", [*keys, "_bucket"], "_x")).groupBy("g", "_bucket").agg(
+    monkeypatch.setattr(ranks, "TASK_ROWS", task_rows)
+    counts, keys = cell_counts(df, "x", {"n": F.lit(1)}, ["g"])
+    per_cell = counts.withColumn("r", upto("n", [*keys, "_cell"], "_x")).groupBy("g", "_cell").agg(
         F.max("r").alias("last"), F.sum("n").alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")
-    ).orderBy("g", "_bucket").collect()
-    assert all(r["last"] == r.n for r in per_bucket)
-    hot = [r for r in per_bucket if r.g == "hot"]
+    ).orderBy("g", "_cell").collect()
+    assert all(r["last"] == r.n for r in per_cell)
+    hot = [r for r in per_cell if r.g == "hot"]
     assert len(hot) > 3 and all(a.hi < b.lo for a, b in zip(hot, hot[1:]))
     assert sum(r.n for r in hot) == (frame.dropna().g == "hot").sum()
 

@@ -1,8 +1,10 @@
-"""Exact order statistics without ever sorting a whole group in one task.
+"""Exact order statistics and running counts without ordering a whole large group in one task.
 
-A mergeable sketch cuts the value range into ordered pieces; exact counts per piece tell
-where a rank lies; only the few rows of that piece are then ordered. The sketch steers the
-work and never decides a result, so results are exact whatever its error.
+While a group holds more rows than one task should order (TASK_ROWS), its value range is cut
+into FANOUT ** LEVELS ordered cells of about equal size by a mergeable sketch, and again
+inside each cell if needed. Cells are exact: every row is counted in one of them, equal
+values always share one, and only the cells' totals are ordered across the group. The sketch
+steers the work and never decides a result.
 """
 
 from __future__ import annotations
@@ -12,36 +14,69 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewatch.functions.joins import attach, fits_broadcast
-from tidewatch.functions.scalars import bin_of, not_missing
+from tidewatch.functions.joins import BROADCAST_ROWS, attach, fits_broadcast
+from tidewatch.functions.scalars import not_missing
 from tidewatch.functions.storage import materialize
 
+TASK_ROWS = 4_000_000
+FANOUT, LEVELS = 8, 3
+CELLS = FANOUT ** LEVELS
 ACCURACY = 10_000
-FANOUT = 8
-LEVELS = 3  # 512 buckets
-CUT_CELLS = 2_000_000  # most bucket edges to broadcast: 16 MB
+CUT_CELLS = 2_000_000  # most cell edges to broadcast: 16 MB
+MAX_ROUNDS = 4
 
 
 def _keyed(df: DataFrame, value: str, groups: list[str], extra: list[Column] = ()) -> tuple[DataFrame, list[str]]:
+    """(keys…, _x, extra…) without missing values or groups; `_all` stands in for no groups."""
     keys = groups or ["_all"]
     lead = [F.col(g) for g in groups] or [F.lit(0).alias("_all")]
-    number = F.col(value).cast("double")
-    rows = df.select(*lead, number.alias("_x"), *extra).where(not_missing(F.col("_x")))
-    return (rows.where(reduce(lambda a, b: a & b, [F.col(g).isNotNull() for g in groups])) if groups else rows), keys
+    rows = df.select(*lead, F.col(value).cast("double").alias("_x"), *extra)
+    present = [F.col(g).isNotNull() for g in groups]
+    return rows.where(reduce(lambda a, b: a & b, present, not_missing(F.col("_x")))), keys
 
 
-def _sketched(probs: list[float], accuracy: int) -> Column:
-    """Approximate quantiles of `_x`; one parsed expression, as hundreds of literals are slow to build."""
-    listed = ", ".join(f"{p!r}D" for p in probs)
-    return F.expr(f"percentile_approx(_x, array({listed}), {accuracy})")
+def _sizes(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, bool, int]:
+    """Rows per group, whether the groups are few enough to broadcast, and the largest group."""
+    sizes = materialize(rows.groupBy(*keys).agg(F.count("*").alias("n")))
+    groups, largest = sizes.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).first()
+    return sizes, groups <= BROADCAST_ROWS, largest
 
 
-def _with_sketch(rows: DataFrame, sketch: DataFrame, groups: list[str], columns: list[str], small: bool) -> DataFrame:
-    """Give every row the sketch of its group; without groups it is one value for all rows."""
-    if groups:
-        return attach(rows, sketch, groups, "inner", small)
-    whole = sketch.select(F.struct(*columns)).scalar()
-    return rows.withColumn("_sketch", whole).select(*rows.columns, *[F.col("_sketch")[c].alias(c) for c in columns])
+def _with_cuts(rows: DataFrame, sketch: DataFrame, keys: list[str], small: bool) -> DataFrame:
+    if keys == ["_all", "_cell"] and sketch.count() == 1:
+        whole = sketch.select("_cuts").scalar()
+        return rows.withColumn("_cuts", whole)
+    return attach(rows, sketch, keys, "inner", small)
+
+
+def _refine(rows: DataFrame, keys: list[str], few: bool) -> DataFrame:
+    """Replace `_cell` by cells CELLS times finer, numbered in value order.
+
+    The edges come from one mergeable sketch per cell, stored so that every reader sees the
+    same; a row finds its cell level by level with FANOUT - 1 comparisons each.
+    """
+    inner = [*keys, "_cell"]
+    probs = ", ".join(f"{i / CELLS!r}D" for i in range(1, CELLS))
+    cuts = F.expr(f"percentile_approx(_x, array({probs}), {ACCURACY})")
+    sketch = materialize(rows.groupBy(*inner).agg(cuts.alias("_cuts")))
+    found, located = "0", _with_cuts(rows, sketch, inner, few and fits_broadcast(sketch, CUT_CELLS // CELLS))
+    for level in range(LEVELS - 1, -1, -1):
+        step = FANOUT ** level
+        below = " + ".join(f"IF(get(_cuts, {found} + {j * step - 1}) <= _x, 1, 0)" for j in range(1, FANOUT))
+        located = located.withColumn(f"_b{level}", F.expr(f"{found} + {step} * ({below})"))
+        found = f"_b{level}"
+    return located.withColumn("_cell", F.expr(f"_cell * {CELLS} + {found}")).select(*rows.columns)
+
+
+def before(measure: str, partition: list[str], order: str) -> Column:
+    """Running sum of `measure` over the rows before the current one."""
+    frame = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(measure).over(frame), F.lit(0))
+
+
+def upto(measure: str, partition: list[str], order: str) -> Column:
+    frame = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return F.sum(measure).over(frame)
 
 
 def _between(a: Column, b: Column, t: Column) -> Column:
@@ -50,110 +85,85 @@ def _between(a: Column, b: Column, t: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: list[float], groups: list[str] = (),
-    accuracy: int = ACCURACY, few_groups: bool = False, keep_input: bool = False,
+    df: DataFrame, value: str, probs: list[float], groups: list[str] = (), keep_input: bool = False,
     position: Callable[[float, Column], Column] = lambda p, n: F.lit(p) * (n - 1),
 ) -> DataFrame:
     """Linearly interpolated quantiles: one row per group (groups…, n, quantiles array).
 
-    Three reads, each with map-side aggregation and tiny shuffles: sketch, piece counts,
-    and the distinct values of the pieces that hold a wanted rank (about 4/accuracy of the
-    rows per probability). Set `few_groups` when the schema bounds the number of groups, and
-    `keep_input` when deriving the rows (a join) costs more than storing group and value.
-    `position` turns a probability and the row count into a 0-based rank.
+    Groups that fit one task are ordered directly, after equal values have collapsed. Larger
+    ones go through rounds: cut into cells, count them exactly, keep only the cells holding a
+    wanted rank. A round leaves about 1/CELLS of the rows per wanted rank.
+
+    `keep_input` stores group and value first, for inputs dearer to derive (a join) than to
+    read back. `position` turns a probability and the row count into a 0-based rank.
     """
     groups = list(groups)
     rows, keys = _keyed(df, value, groups)
     if keep_input:
         rows = materialize(rows)
-    margin = 2.0 / accuracy
-    cuts = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-margin, margin)})
-    sketch = materialize(
-        rows.groupBy(*keys).agg(
-            F.count("*").alias("n"),
-            _sketched(cuts, accuracy).alias("_cuts"),
-        )
-    )
-    small = few_groups or not groups or fits_broadcast(sketch)
-    # Many groups mean shuffle joins: collapse equal values first, so no hot value travels as rows.
-    weighted = (
-        rows.withColumn("_w", F.lit(1).cast("long")) if small
-        else rows.groupBy(*keys, "_x").agg(F.count("*").alias("_w"))
-    )
-    located = _with_sketch(weighted, sketch, groups, ["n", "_cuts"], small).select(
-        *keys, bin_of("_x", "_cuts", len(cuts)).alias("_bin"), "_x", "_w", "n"
-    )
+    sizes, few, largest = _sizes(rows, keys)
 
     places = [position(p, F.col("n")) for p in probs]
     low = [F.floor(p) for p in places]
     high = [F.ceil(p) for p in places]
     ranks = F.array_distinct(F.array(*low, *high))
-
-    bin_keys = [*keys, "_bin"]
-    needed = (
-        located.groupBy(*bin_keys).agg(F.sum("_w").alias("_in_bin"), F.max("n").alias("n"))
-        .withColumn("_before", before("_in_bin", keys, "_bin"))
-        .where(F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in_bin"))))
-        .select(*bin_keys, "_before")
-    )
-    counts = (
-        attach(located, needed, bin_keys, "inner", small)
-        .groupBy(*bin_keys, "_x").agg(F.sum("_w").alias("_c"), F.max("_before").alias("_before"), F.max("n").alias("n"))
-    )
-    end = F.col("_before") + upto("_c", bin_keys, "_x")
-    picked = (
-        counts.withColumn("_end", end)
-        .withColumn("_rank", F.explode(F.filter(
-            ranks, lambda r: (r >= F.col("_end") - F.col("_c")) & (r < F.col("_end")))))
-        .groupBy(*keys).agg(
-            F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_at"))
+    sized = lambda frame: attach(frame, sizes, keys, "inner", few) if groups else frame.withColumn(
+        "n", sizes.select("n").scalar())
+
+    cell = [*keys, "_cell"]
+    start = [F.lit(0).cast("long").alias("_cell"), F.lit(0).cast("long").alias("_before")]
+    if few:
+        rows = rows.select(*keys, *start, "_x", F.lit(1).cast("long").alias("_w"))
+    else:  # many groups mean shuffle joins: collapse equal values first, so no hot value travels as rows
+        rows = rows.groupBy(*keys, "_x").agg(F.count("*").alias("_w")).select(*keys, *start, "_x", "_w")
+    rounds = 0
+    while largest > TASK_ROWS and rounds < MAX_ROUNDS:
+        located = _refine(rows, keys, few)
+        pieces = located.groupBy(*cell).agg(
+            F.sum("_w").alias("_in"), F.count("*").alias("_rows"), F.max("_before").alias("_base")
+        ).withColumn("_parent", F.floor(F.col("_cell") / CELLS))
+        start_at = F.col("_base") + before("_in", [*keys, "_parent"], "_cell")
+        wanted = F.exists(ranks, lambda r: (r >= F.col("_before")) & (r < F.col("_before") + F.col("_in")))
+        needed = materialize(
+            sized(pieces.withColumn("_before", start_at)).where(wanted).select(*cell, "_before", "_rows")
+        )
+        inside = attach(located.drop("_before"), needed.select(*cell, "_before"), cell, "inner", few)
+        # From here on one row per distinct value, so the next cut is even over values, not copies.
+        rows = materialize(
+            inside.groupBy(*cell, "_before", "_x").agg(F.sum("_w").alias("_w")).select(*cell, "_before", "_x", "_w")
+        )
+        largest = rows.groupBy(*cell).agg(F.count("*").alias("r")).agg(F.coalesce(F.max("r"), F.lit(0))).first()[0]
+        rounds += 1
+
+    counts = rows.groupBy(*cell, "_before", "_x").agg(F.sum("_w").alias("_c")) if rounds == 0 else (
+        rows.withColumnRenamed("_w", "_c"))
+    ended = sized(counts.withColumn("_end", F.col("_before") + upto("_c", cell, "_x")))
+    hit = F.filter(ranks, lambda r: (r >= F.col("_end") - F.col("_c")) & (r < F.col("_end")))
+    picked = ended.select(*keys, "n", "_x", F.explode(hit).alias("_rank")).groupBy(*keys).agg(
+        F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("_rank", "_x"))).alias("_at")
     )
     at = F.col("_at")
     values = [_between(at[lo], at[hi], place - lo) for place, lo, hi in zip(places, low, high)]
     return picked.select(*groups, "n", F.array(*values).alias("quantiles"))
 
 
-def _with_bucket(rows: DataFrame, levels: int) -> DataFrame:
-    """Add `_bucket` among FANOUT ** levels, found level by level with FANOUT - 1 comparisons each."""
-    found = "0"
-    for level in range(levels - 1, -1, -1):
-        step = FANOUT ** level
-        below = " + ".join(f"IF(get(_cuts, {found} + {j * step - 1}) <= _x, 1, 0)" for j in range(1, FANOUT))
-        rows = rows.withColumn(f"_b{level}", F.expr(f"{found} + {step} * ({below})"))
-        found = f"_b{level}"
-    return rows.withColumnRenamed(found, "_bucket")
-
-
-def bucketed_counts(
-    df: DataFrame, value: str, measures: dict[str, Column], groups: list[str] = (),
-    levels: int = LEVELS, few_groups: bool = False,
+def cell_counts(
+    df: DataFrame, value: str, measures: dict[str, Column], groups: list[str] = ()
 ) -> tuple[DataFrame, list[str]]:
-    """Sums of `measures` per distinct value, each value tagged with an ordered bucket.
+    """Sums of `measures` per distinct value `_x`, each tagged with an ordered `_cell`.
 
-    The FANOUT ** levels buckets hold about equal numbers of rows, so a window over
-    (group, bucket) never has to take a whole group. Equal values always share one bucket.
+    A cell holds about TASK_ROWS rows at most, so a window over (keys, _cell) is one task's
+    work; totals of cells are then ordered per group. Returns the counts and the key columns.
     """
-    names = list(measures)
-    groups = list(groups)
+    names, groups = list(measures), list(groups)
     rows, keys = _keyed(df, value, groups, [m.alias(k) for k, m in measures.items()])
-    buckets = FANOUT ** levels
-    cuts = [i / buckets for i in range(1, buckets)]
-    sketch = materialize(
-        rows.groupBy(*keys).agg(_sketched(cuts, max(buckets * 20, ACCURACY)).alias("_cuts"))
-    )
-    small = few_groups or not groups or fits_broadcast(sketch, CUT_CELLS // buckets)
+    _, few, largest = _sizes(rows, keys)
     sums = [F.sum(n).alias(n) for n in names]
-    collapsed = rows if small else rows.groupBy(*keys, "_x").agg(*sums)
-    located = _with_sketch(collapsed, sketch, groups, ["_cuts"], small)
-    return _with_bucket(located, levels).groupBy(*keys, "_bucket", "_x").agg(*sums), keys
-
-
-def before(measure: str, partition: list[str], order: str) -> Column:
-    """Running sum of `measure` over the rows before the current one."""
-    frame = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(measure).over(frame), F.lit(0))
-
-
-def upto(measure: str, partition: list[str], order: str) -> Column:
-    frame = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return F.sum(measure).over(frame)
+    if not few:
+        rows = rows.groupBy(*keys, "_x").agg(*sums)
+    rows = rows.withColumn("_cell", F.lit(0).cast("long"))
+    rounds = 0
+    while largest > TASK_ROWS * CELLS ** rounds and rounds < MAX_ROUNDS:
+        rows = _refine(rows, keys, few)
+        rounds += 1
+    return rows.groupBy(*keys, "_cell", "_x").agg(*sums), keys

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import vocabulary as v
 from tidewatch.functions.joins import attach, fits_broadcast
-from tidewatch.functions.ranks import before, bucketed_counts, exact_quantiles, upto
+from tidewatch.functions.ranks import before, cell_counts, exact_quantiles, upto
 from tidewatch.functions.scalars import bin_of, long_form, not_missing, ratio
 from tidewatch.functions.storage import materialize
 
@@ -19,13 +19,13 @@ def common_features(reference: DataFrame, production: DataFrame, features: list[
     return [c for c in features if c in reference.columns and c in production.columns]
 
 
-def reference_edges(reference: DataFrame, buckets: int = v.PSI_BUCKETS, few: bool = False) -> DataFrame:
+def reference_edges(reference: DataFrame, buckets: int = v.PSI_BUCKETS) -> DataFrame:
     """(feature, edges) from a long reference (feature, value): padded linear percentiles.
 
     Kept once computed: reference and production are both counted against these very edges.
     """
     probs = [i / buckets for i in range(buckets + 1)]
-    quantiles = exact_quantiles(reference, "value", probs, ["feature"], few_groups=few)
+    quantiles = exact_quantiles(reference, "value", probs, ["feature"])
     q = F.col("quantiles")
     edges = [q[0] - v.PSI_EDGE_PAD, *[q[i] for i in range(1, buckets)], q[buckets] + v.PSI_EDGE_PAD]
     return materialize(quantiles.select("feature", F.array(*edges).alias("edges")))
@@ -65,7 +65,7 @@ def psi_long(
 
     `few` says that the schema bounds the number of features; else it is checked.
     """
-    edges = reference_edges(reference, buckets, few)
+    edges = reference_edges(reference, buckets)
     small = few or fits_broadcast(edges)
     expected = bucket_shares(reference, edges, ["feature"], buckets, small).select(
         "feature", F.col("n").alias("n_reference"), F.col("shares").alias("_expected")
@@ -120,16 +120,16 @@ def kolmogorov_tail(strength: Column) -> Column:
 def ks_long(reference: DataFrame, production: DataFrame, few: bool = False) -> DataFrame:
     """Two-sample KS per feature of long frames: statistic, asymptotic p-value, sizes.
 
-    Both samples collapse to distinct values; running counts are taken inside value buckets
-    and bucket totals are added across them, so no feature is gathered in one task.
+    Both samples collapse to distinct values; running counts are taken inside value cells
+    and cell totals are added across them, so no feature is gathered in one task.
     """
     both = reference.select("feature", "value", F.lit(1).alias("_r"), F.lit(0).alias("_p")).unionByName(
         production.select("feature", "value", F.lit(0).alias("_r"), F.lit(1).alias("_p"))
     )
     measures = {"_ref": F.col("_r").cast("long"), "_prod": F.col("_p").cast("long")}
-    counts, keys = bucketed_counts(both, "value", measures, ["feature"], few_groups=few)
+    counts, keys = cell_counts(both, "value", measures, ["feature"])
     totals = counts.groupBy(*keys).agg(F.sum("_ref").alias("n_reference"), F.sum("_prod").alias("n_production"))
-    inner = [*keys, "_bucket"]
+    inner = [*keys, "_cell"]
     gap = ratio(upto("_ref", inner, "_x"), F.col("n_reference")) - ratio(upto("_prod", inner, "_x"), F.col("n_production"))
     pieces = (
         counts.join(F.broadcast(totals) if few else totals, keys)
@@ -138,8 +138,8 @@ def ks_long(reference: DataFrame, production: DataFrame, few: bool = False) -> D
             F.max("_gap").alias("_high"), F.min("_gap").alias("_low"),
             F.sum("_ref").alias("_ref"), F.sum("_prod").alias("_prod"),
         )
-        .withColumn("_start", ratio(before("_ref", keys, "_bucket"), F.col("n_reference"))
-                    - ratio(before("_prod", keys, "_bucket"), F.col("n_production")))
+        .withColumn("_start", ratio(before("_ref", keys, "_cell"), F.col("n_reference"))
+                    - ratio(before("_prod", keys, "_cell"), F.col("n_production")))
     )
     widest = F.max(F.greatest(F.abs(F.col("_start") + F.col("_high")), F.abs(F.col("_start") + F.col("_low"))))
     effective = F.col("n_reference").cast("double") * F.col("n_production") / (F.col("n_reference") + F.col("n_production"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.functions.ranks import before, bucketed_counts
+from tidewatch.functions.ranks import before, cell_counts
 from tidewatch.functions.scalars import ratio, ratio_or_zero
 
 
@@ -82,22 +82,22 @@ def category_recall(df: DataFrame, category: str, label: str, prediction: str) -
 def roc_auc(df: DataFrame, score: str, label: str, groups: list[str] = ()) -> DataFrame:
     """Exact area under the ROC curve (ties count half); NULL when a class is absent.
 
-    Rows collapse to distinct scores, distinct scores are ordered inside score buckets, and
-    only bucket totals are ordered across a group.
+    Rows collapse to distinct scores, distinct scores are ordered inside value cells, and
+    only cell totals are ordered across a group.
     """
     measures = {
         "_pos": (F.col(label) == 1).cast("long"),
         "_neg": (F.col(label) == 0).cast("long"),
     }
-    counts, keys = bucketed_counts(df, score, measures, groups)
-    below = before("_neg", [*keys, "_bucket"], "_x")
+    counts, keys = cell_counts(df, score, measures, groups)
+    below = before("_neg", [*keys, "_cell"], "_x")
     pieces = (
         counts.withColumn("_below", below)
-        .groupBy(*keys, "_bucket").agg(
+        .groupBy(*keys, "_cell").agg(
             F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"),
             F.sum(F.col("_pos") * (F.col("_below") + F.col("_neg") / 2)).alias("_area"),
         )
-        .withColumn("_below", before("_neg", keys, "_bucket"))
+        .withColumn("_below", before("_neg", keys, "_cell"))
     )
     area = F.sum(F.col("_area") + F.col("_pos").cast("double") * F.col("_below"))
     whole = F.sum("_pos").cast("double") * F.sum("_neg")

@@ -185,7 +185,7 @@ def outliers_long(cells: DataFrame, factor: float = v.IQR_FACTOR) -> DataFrame:
     Values strictly outside [Q1 - f·IQR, Q3 + f·IQR], count and percent of all rows; features
     with a zero range or without outliers are left out.
     """
-    quartiles = exact_quantiles(cells, "value", [0.25, 0.75], ["feature"], few_groups=True)
+    quartiles = exact_quantiles(cells, "value", [0.25, 0.75], ["feature"])
     q1, q3 = F.col("quantiles")[0], F.col("quantiles")[1]
     bounds = quartiles.where(q3 != q1).select(
         "feature", (q1 - factor * (q3 - q1)).alias("lower"), (q3 + factor * (q3 - q1)).alias("upper")
