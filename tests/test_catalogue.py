@@ -7,6 +7,8 @@ from tidewatch.plans.catalogue import ORACLES, QUERIES
 
 # A hundred boosting rounds take most of a minute; test_models fits fewer.
 SLOW = {"gbt_fit_score"}
+# No cross joins and no Python in any plan.
+FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"]
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,8 @@ def con(folder):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, folder, con, name):
     result = QUERIES[name](spark, folder)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert [x for x in FORBIDDEN if x in plan] == []
     if name in ORACLES:
         assert differences(result, con, ORACLES[name]) == []
     else:

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import evaluate, models
-from tidewatch.plans.flows import prepare_features, prepare_train_test, train_and_evaluate
+from tidewatch.plans.flows import prepare_features, prepare_train_test, score_records, train_and_evaluate
 from tidewatch.sources import artifacts
 
 
@@ -57,6 +57,18 @@ def test_trees_and_saved_model(data, tmp_path):
     assert rows(again) == rows(boosted) == rows(again)
 
 
+def test_records_score_like_the_training_path(spark, data):
+    model = models.fit_logistic(data.train, data.features, "is_anomaly")
+    rows = [(1, "a", "tcp", "0.5"), (2, "never", "icmp", "2.5"), (3, None, None, "bad")]
+    records = spark.createDataFrame(rows, "id int, service string, protocol_type string, x string")
+    roles = {"numeric": ["x"], "logged": [], "text_defaults": {}, "grouped": "absent"}
+    found = score_records(records, data.encoder, model, data.features, "lr-1", ["id"], **roles).collect()
+    assert [r.id for r in found] == [1, 2, 3] and all(0 <= r.anomaly_score <= 1 and r.model_version == "lr-1" for r in found)
+    typed = data.encoder.transform(records.withColumn("x", F.col("x").try_cast("double")).fillna({"x": 0.0}))
+    direct = models.score(model, typed, ["id"]).collect()
+    assert [r.anomaly_score for r in found] == pytest.approx([r.score for r in direct], abs=1e-4)
+
+
 def test_one_class_is_refused(data):
     with pytest.raises(ValueError):
         models.with_balanced_weight(data.train.where("is_anomaly = 0"), "is_anomaly")

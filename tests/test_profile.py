@@ -99,6 +99,11 @@ def test_text_checks(spark):
     assert stray == {("protocol_type", "TCP", 1), ("protocol_type", None, 1), ("flag", "S9", 1)}
 
 
+def test_approximate_cardinality(spark):
+    df = spark.range(2000).select((F.col("id") % 700).cast("string").alias("t"))
+    assert profile.cardinality(df, relative_error=0.02).first().distinct_values == pytest.approx(700, rel=0.1)
+
+
 def test_duplicates_count_nulls_as_equal(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, "a"), (2, "a"), (1, None)], "x int, y string")
     row = profile.duplicate_profile(df).first()

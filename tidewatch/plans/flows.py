@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidewatch import vocabulary as v
 from tidewatch.operators import evaluate, models
 from tidewatch.operators.clean import dedup_global, verified_distinct
-from tidewatch.operators.encode import stratified_split
+from tidewatch.operators.encode import prepare_records, stratified_split
 from tidewatch.operators.targets import feature_columns, pipeline_targets
 
 
@@ -52,6 +52,23 @@ def prepare_train_test(
     return TrainTest(encoded, encoder.transform(test), features, encoder)
 
 
+def score_records(
+    records: DataFrame, encoder: PipelineModel, model: PipelineModel, features: Sequence[str], version: str, keep: Sequence[str],
+    **roles,
+) -> DataFrame:
+    """Partial raw records -> keep…, anomaly, anomaly_score, model_version.
+
+    The stages fitted in training do the encoding (rate first, indicators last), so training
+    and scoring cannot drift apart. Works on a table and, with a broadcast rate table, on a stream.
+    """
+    rates, indicators = encoder.stages[0], encoder.stages[-1]
+    prepared = prepare_records(
+        records, rates, features, keep, categories=indicators.getOrDefault(indicators.categories),
+        service=rates.getOrDefault(rates.key), **roles,
+    )
+    return models.respond(model, prepared, list(keep), version)
+
+
 def train_and_evaluate(data: TrainTest, category: str, keep: Sequence[str], target: str = "is_anomaly") -> dict[str, tuple[PipelineModel, DataFrame]]:
     """Fit the three classifiers; each comes with its (metric, value) rows, recall per category included."""
     train = data.train.persist()
