@@ -217,6 +217,8 @@ _INCIDENTS = f"""
               FROM {_BATCHES} WHERE amount IS NULL GROUP BY batch
     UNION ALL SELECT batch, 'EXTREME_OUTLIER', 'HIGH', 'amount', event_id::VARCHAR, amount, printf('Fila %d, ''amount'' con valor fuera de rango: %s', event_id, amount)
               FROM {_BATCHES} WHERE TRY_CAST(amount AS DOUBLE) < 0 OR TRY_CAST(amount AS DOUBLE) > 250
+    UNION ALL SELECT batch, 'EXTREME_OUTLIER', 'HIGH', 'user', event_id::VARCHAR, "user", printf('Fila %d, ''user'' con valor fuera de rango: %s', event_id, "user")
+              FROM {_BATCHES} WHERE TRY_CAST("user" AS DOUBLE) < 0 OR TRY_CAST("user" AS DOUBLE) > 250
     UNION ALL SELECT batch, 'INCORRECT_DATATYPE', 'HIGH', 'user', event_id::VARCHAR, "user", printf('Fila %d, ''user'' esperaba tipo numérico pero recibió: %s', event_id, "user")
               FROM {_BATCHES} WHERE TRY_CAST("user" AS DOUBLE) IS NULL
     UNION ALL SELECT batch, 'UNKNOWN_CATEGORY', 'HIGH', 'kind', event_id::VARCHAR, kind, printf('Fila %d, ''kind'' contiene categoría no registrada: %s', event_id, kind)
