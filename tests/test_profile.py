@@ -174,6 +174,12 @@ def test_clean_table_rules(spark):
     assert found == {"required_columns": True, "no_nulls": False, "numeric_types": True, "non_negative": False, "binary_login": False}
 
 
+def test_missing_values_break_the_range_rules(spark):
+    df = spark.createDataFrame([(0, None, 2, None, "a")], "duration int, src_bytes int, dst_bytes int, logged_in int, label string")
+    found = as_dict(gates.clean_table_rules(df), "rule", "passed")
+    assert found == {"required_columns": True, "no_nulls": False, "numeric_types": True, "non_negative": False, "binary_login": False}
+
+
 def test_histogram_like_numpy(spark):
     random = np.random.default_rng(5)
     data = {"tenths": np.round(random.integers(0, 11, 400) / 10, 1), "one": np.full(7, 0.3), "wide": random.exponential(3, 300)}

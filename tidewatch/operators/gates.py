@@ -58,6 +58,7 @@ def clean_table_rules(df: DataFrame) -> DataFrame:
     required = ["duration", "src_bytes", "dst_bytes", "logged_in", "label"]
     kinds = dict(df.dtypes)
     numeric = all(kinds.get(c) in ("int", "bigint", "double", "float", "smallint", "tinyint") for c in ("duration", "src_bytes"))
+    holds = lambda condition: F.coalesce(condition, F.lit(False))  # noqa: E731  a missing value breaks the rule
     nulls = sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0))
     rules = {
         "required_columns": F.lit(all(c in kinds for c in required)),
@@ -65,8 +66,8 @@ def clean_table_rules(df: DataFrame) -> DataFrame:
         "numeric_types": F.lit(numeric),
     }
     if numeric:
-        rules["non_negative"] = F.count_if((F.col("duration") < 0) | (F.col("src_bytes") < 0)) == 0
+        rules["non_negative"] = F.count_if(~holds((F.col("duration") >= 0) & (F.col("src_bytes") >= 0))) == 0
     if "logged_in" in kinds:
-        rules["binary_login"] = F.count_if(~F.col("logged_in").isin(0, 1)) == 0
+        rules["binary_login"] = F.count_if(~holds(F.col("logged_in").isin(0, 1))) == 0
     rows = [F.struct(F.lit(name).alias("rule"), passed.alias("passed")) for name, passed in rules.items()]
     return df.agg(F.array(*rows).alias("_rules")).select(F.inline("_rules"))
