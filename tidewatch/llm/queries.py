@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import quality_rules as rules, sql
+from tidewatch.llm import decontaminate, quality_rules as rules, sql
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -13,3 +13,9 @@ from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return rules.apply_rules(documents(spark, folder).select("doc_id", "text")).select(*columns)
+
+
+@query("op10_decontaminate", sql.CONTAMINATION)
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text")
+    return decontaminate.digest(decontaminate.contamination(documents(spark, folder).select("doc_id", "text"), benchmark))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidewatch.llm import quality_rules as rules
 from tidewatch.llm.common import ALNUM_WORD, BLANK_WORD
+from tidewatch.llm.decontaminate import WINDOW
 
 
 def quality_sql(table: str, keep: list[rules.Rule] = rules.RULES) -> str:
@@ -34,3 +35,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 QUALITY_RULES = quality_sql("documents")
+
+
+def contamination_sql(table: str) -> str:
+    """Words, hits and items of every row of `table` (doc_id, text) against `benchmark`."""
+    words = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{ALNUM_WORD}')"
+    return f"""
+WITH c_items AS (
+  SELECT item_id, w, least(len(w), {WINDOW}) AS n FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) > 0
+), c_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS g FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM c_items)
+), c_docs AS (
+  SELECT doc_id, {words} AS w FROM {table}
+), c_places AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM c_docs, (SELECT DISTINCT n FROM c_items))
+), c_hits AS (
+  SELECT doc_id, item_id, i, n FROM c_places JOIN c_windows USING (n, g)
+), c_covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM c_hits) GROUP BY doc_id
+), c_found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM c_hits GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM c_docs LEFT JOIN c_covered USING (doc_id) LEFT JOIN c_found USING (doc_id)"""
+
+
+CONTAMINATION = contamination_sql("documents")
