@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, quality_rules as rules, sql
+from tidewatch.llm import decontaminate, near_duplicates, quality_rules as rules, sql
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -19,3 +19,9 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text")
     return decontaminate.digest(decontaminate.contamination(documents(spark, folder).select("doc_id", "text"), benchmark))
+
+
+@query("op7_near_duplicates")
+def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(documents(spark, folder).select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
