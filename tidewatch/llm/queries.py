@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import decontaminate, near_duplicates, quality_rules as rules, sql
+from tidewatch.functions.storage import fresh_folder
+from tidewatch.llm import decontaminate, near_duplicates, packing, quality_rules as rules, sql, token_files
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
+#: Folder of the public vocabulary files; the module that comes with them knows it.
+TOKENIZERS = None
+
+
+def tokenizer(name: str) -> str:
+    if TOKENIZERS:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 @query("op5_quality_rules", sql.QUALITY_RULES)
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -25,3 +37,15 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op7_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = near_duplicates.near_duplicates(documents(spark, folder).select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op3_token_files")
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = fresh_folder(spark, "tokens")
+    token_files.write_tokens(documents(spark, folder).select("doc_id", "text"), target, tokenizer("word_bpe_49k.json"), 2)
+    return token_files.digest(token_files.read_tokens(spark, target))
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.digest(packing.pack(documents(spark, folder).select("doc_id", "text"), tokenizer("byte_bpe_50k.json"), 1))
