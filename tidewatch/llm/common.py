@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +27,21 @@ ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 KEY = ["_id", "_hash"]
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, if it is not installed there."""
+    root, paths = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = paths.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        paths["PYTHONPATH"] = os.pathsep.join(p for p in (known, root) if p)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text (null becomes empty) and the row key; every other column is left behind."""
+    importable(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     return docs.select(
         "doc_id", text.alias("text"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.storage import fresh_folder
-from tidewatch.llm import decontaminate, near_duplicates, packing, quality_rules as rules, sql, token_files
+from tidewatch.llm import decontaminate, near_duplicates, packing, quality_rules as rules, secrets, sql, token_files
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -49,3 +49,9 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_packing")
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.digest(packing.pack(documents(spark, folder).select("doc_id", "text"), tokenizer("byte_bpe_50k.json"), 1))
+
+
+@query("op4_secrets")
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    return secrets.digest(secrets.scan(docs, secrets.train(docs)))
