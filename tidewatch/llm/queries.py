@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.storage import fresh_folder
-from tidewatch.llm import decontaminate, near_duplicates, packing, quality_rules as rules, secrets, sql, token_files
+from tidewatch.llm import decontaminate, licenses, near_duplicates, packing, quality_rules as rules, secrets, sql, token_files
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -55,3 +55,8 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = documents(spark, folder).select("doc_id", "text")
     return secrets.digest(secrets.scan(docs, secrets.train(docs)))
+
+
+@query("op9_licenses")
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.digest(licenses.scan(documents(spark, folder).select("doc_id", "text")))
