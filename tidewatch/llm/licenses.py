@@ -139,15 +139,18 @@ def scan_text(text: str) -> tuple[int, list[tuple[str, int]], set[str], float]:
     """(words, base places as (label, word), labels of the method, score)."""
     words = text.encode().translate(_SPACED).split()
     joined = " " + b" ".join(words).decode() + " "
-    places, labels, values, tagged = [], set(), [], False
+    places, notices, labels, values, tagged = [], [], set(), [], False
     for end, phrase in automaton().iter(joined):
         if phrase in BASE:
             places.append((BASE[phrase], joined.count(" ", 0, end - len(phrase))  - 1))
         if phrase in NOTICES:
+            notices.append((end - len(phrase), end, phrase))
+        tagged |= phrase == TAG
+    for start, end, phrase in notices:  # a phrase within a longer one is not a notice of its own
+        if not any(s <= start and end <= e and (s, e) != (start, end) for s, e, _ in notices):
             label, kind = NOTICES[phrase]
             labels.add(label)
             values.append(FREEDOM[kind])
-        tagged |= phrase == TAG
     if tagged:
         for m in TAGGED.finditer(text):
             try:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.storage import fresh_folder
-from tidewatch.llm import decontaminate, licenses, near_duplicates, packing, quality_rules as rules, secrets, sql, token_files
+from tidewatch.llm import decontaminate, licenses, near_duplicates, packing, quality_classifier as quality, quality_rules as rules, secrets, sql, token_files
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -60,3 +60,11 @@ def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_licenses")
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.digest(licenses.scan(documents(spark, folder).select("doc_id", "text")))
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
+    held_out = quality.remainder(4) == 2
+    return quality.predicted(quality.score(docs, quality.train(docs, labels, "quality", ~held_out)), held_out)

@@ -10,9 +10,13 @@ _BYTE = _draw.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _BASE, _STEP, _SALT = (np.uint64(int(x) | 1) for x in _draw.integers(1, 2**63, 3, dtype=np.uint64))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE = _BYTE[_LOWER]
-_BLANK = np.zeros(256, bool)
-_BLANK[[32, 9, 10, 11, 12, 13]] = True
+#: A random number for each byte; the lowered one gives A-Z the numbers of a-z.
+EXACT, LOWERED = _BYTE, _BYTE[_LOWER]
+#: Bytes that belong to a word: all but ASCII blanks; letters, digits and all beyond ASCII.
+UNBROKEN = np.ones(256, bool)
+UNBROKEN[[32, 9, 10, 11, 12, 13]] = False
+ALNUM = np.zeros(256, bool)
+ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -21,13 +25,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word (A-Z lowered, split at ASCII blanks) and, for each text, where its words begin in them.
+def word_hashes(data: np.ndarray, at: np.ndarray, parts: np.ndarray = UNBROKEN, numbers: np.ndarray = LOWERED) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word (a run of bytes in `parts` within a text) and, for each text, where its words begin in them.
 
     The value of a word is the sum of a random number for each byte times a power for its place,
     modulo 2**64, mixed; equal words get equal hashes on every machine.
     """
-    solid = ~_BLANK[data]
+    solid = parts[data]
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     heads = at[:-1][at[:-1] < len(data)]
@@ -40,7 +44,7 @@ def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     place -= np.maximum.accumulate(np.where(first, place, 0))
     powers = np.full(int(place.max()) + 1, _BASE)
     powers[0] = 1
-    values = _BYTE[data] * np.cumprod(powers)[place]
+    values = numbers[data] * np.cumprod(powers)[place]
     values[~solid] = 0
     return mix(np.add.reduceat(values, starts)), bounds
 
