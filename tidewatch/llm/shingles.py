@@ -25,17 +25,32 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def word_marks(data: np.ndarray, at: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes belong to words, and which ones begin a word; a text's start ends the word before."""
+    solid = parts[data]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    heads = at[:-1][at[:-1] < len(data)]
+    first[heads] = solid[heads]
+    return solid, first
+
+
+def word_spans(data: np.ndarray, at: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of every word."""
+    solid, first = word_marks(data, at, parts)
+    stops = np.concatenate([~solid, [True]])
+    stops[at] = True
+    starts, stops = np.flatnonzero(first), np.flatnonzero(stops)
+    return starts, stops[np.searchsorted(stops, starts, side="right")] if len(starts) else starts
+
+
 def word_hashes(data: np.ndarray, at: np.ndarray, parts: np.ndarray = UNBROKEN, numbers: np.ndarray = LOWERED) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word (a run of bytes in `parts` within a text) and, for each text, where its words begin in them.
 
     The value of a word is the sum of a random number for each byte times a power for its place,
     modulo 2**64, mixed; equal words get equal hashes on every machine.
     """
-    solid = parts[data]
-    first = solid.copy()
-    first[1:] &= ~solid[:-1]
-    heads = at[:-1][at[:-1] < len(data)]
-    first[heads] = solid[heads]
+    solid, first = word_marks(data, at, parts)
     starts = np.flatnonzero(first)
     bounds = np.searchsorted(starts, at)
     if not len(starts):
