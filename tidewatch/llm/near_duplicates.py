@@ -8,12 +8,14 @@ Contract of a link: 100 * |A and B| >= PERCENT * |A or B| over the sets of disti
    A class keeps its rarest `COORDINATES - MATCHES + 1` pairs as prefix: classes that agree in
    MATCHES coordinates share a pair of their prefixes, however common their other pairs are.
 3. Two rounds link the members of each posting list to its most central class (the one whose pairs
-   are the most common); what still lies in different components after them is compared pair by pair.
-   So a family of n near copies costs about n comparisons, and no link between components is lost.
+   are the most common). What still lies in different components after them is compared pair by
+   pair, under an exact bound: a shingle that no other remaining class holds is missing from every
+   partner, so with u such shingles J(A, B) <= (|A| - u) / max(|A|, |B| + u). So a family of n near
+   copies costs about n comparisons, and no link between components is lost.
 4. A candidate pair must agree in MATCHES coordinates; then the full sets decide.
 
-At similarity 0.85 a pair agrees in 54 of 64 coordinates on average; the chance of fewer than 40
-is about 5 in a million, and falls with the similarity. That is the only approximation.
+At similarity 0.85 a pair agrees in 109 of 128 coordinates on average; the chance of fewer than 90
+is about 2 in 100,000, and falls with the similarity. That is the only approximation.
 
 Texts without words have an empty set and stay alone. Null ids: a row without id never names a
 component; it stays only if its whole group has no id. Repeated rows are copies with the same id.
@@ -33,8 +35,8 @@ from tidewatch.llm.components import components
 from tidewatch.llm.shingles import SEED, shingle_sets
 
 PERCENT = 85
-COORDINATES = 64
-MATCHES = 40
+COORDINATES = 128
+MATCHES = 90
 PREFIX = COORDINATES - MATCHES + 1
 PIVOT_ROUNDS = 2
 
@@ -76,6 +78,13 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, data, at in text_chunks(batches):
+        sets = shingle_sets(data, at)
+        owner = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
+        yield pa.RecordBatch.from_arrays([rows.column("node").take(owner), pa.array(np.concatenate(sets).view(np.int64))], ["node", "shingle"])
+
+
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
@@ -112,26 +121,52 @@ class Candidates:
         own = own.join(self.classes.select("node", "n"), "node")
         return own.select("node", "n", "weight", F.explode("_p").alias("_x")).select("node", "n", "weight", "_x.token")
 
+    def texts(self, nodes: DataFrame) -> DataFrame:
+        """(node, text) of one document of each class in `nodes` (a row for each repeated row of it)."""
+        wanted = stored(self.classes.select("node", *KEY).join(nodes, "node", "left_semi"), "wanted")
+        return self.docs.join(F.broadcast(wanted) if small_enough(wanted, 24) else wanted, KEY).select("node", "text")
+
+    def unshared(self, posts: DataFrame) -> DataFrame:
+        """(node, u): how many shingles of a class no other class of `posts` holds, where there are any."""
+        rows = self.texts(posts.select("node").distinct()).mapInArrow(_shingles, "node long, shingle long")
+        alone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
+        return stored(alone.groupBy("node").agg(F.count("*").alias("u")), "unshared")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """(a, b) of the distinct pairs (a, b) whose full sets are similar enough."""
         near = lambda side: self.classes.select(F.col("node").alias(side), F.col("signature").alias(f"_{side}"))
         pairs = pairs.join(near("a"), "a").join(near("b"), "b").filter(F.size(F.array_intersect("_a", "_b")) >= MATCHES)
         pairs = stored(pairs.select("a", "b"), "pairs")
         nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = stored(self.classes.select("node", *KEY).join(nodes, "node", "left_semi"), "wanted")
-        texts = self.docs.join(F.broadcast(wanted) if small_enough(wanted, 24) else wanted, KEY)
-        sets = stored(texts.select("node", "text").mapInArrow(_sets, "node long, shingles binary"), "sets")
+        sets = stored(self.texts(nodes).mapInArrow(_sets, "node long, shingles binary"), "sets")
         side = lambda k, v: sets.select(F.col("node").alias(k), F.col("shingles").alias(v))
         both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
         return stored(both.select("a", "b", "x", "y").mapInArrow(_linked, "a long, b long").distinct(), "links")
 
 
 def pairs_with(posts: DataFrame, chosen: DataFrame) -> DataFrame:
-    """Pairs of a posting list's members and the class chosen for the list, unless already in one component."""
-    met = posts.join(chosen, "token").filter("root <> p.root AND 100 * least(n, p.n) >= %d * greatest(n, p.n)" % PERCENT)
+    """Pairs of a posting list's members and the class chosen for the list, unless in one component or too different by size."""
+    met = posts.join(chosen, "token").filter(f"root <> p.root AND 100 * least(n, p.n) >= {PERCENT} * greatest(n, p.n)")
     return met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
 
 
+def pairs_within(posts: DataFrame, unshared: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of a posting list's members that may still be linked, each from one of its lists only.
+
+    The join's condition holds, from cheap to dear: other components, the bound by size and unshared
+    shingles, the list being the first that both are posted in, and enough equal coordinates.
+    """
+    own = posts.join(unshared, "node", "left").withColumn("u", F.coalesce("u", F.lit(0))).filter(f"100 * (n - u) >= {PERCENT} * n")
+    lists = own.groupBy("node").agg(F.collect_list("token").alias("lists"))
+    own = own.join(lists, "node").join(classes.select("node", "signature"), "node").select("token", "node", "n", "u", "root", "lists", "signature")
+    a, b = own.alias("a"), own.alias("b")
+    near = f"100 * (a.n - a.u) >= {PERCENT} * greatest(a.n, b.n + a.u) AND 100 * (b.n - b.u) >= {PERCENT} * greatest(b.n, a.n + b.u)"
+    once = F.array_min(F.array_intersect("a.lists", "b.lists")) == F.col("a.token")
+    enough = F.size(F.array_intersect("a.signature", "b.signature")) >= MATCHES
+    met = a.join(b, (F.col("a.token") == F.col("b.token")) & F.expr(f"a.node < b.node AND a.root <> b.root AND {near}") & once & enough)
+    return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, _id, _hash, n_shingles, component_id, kept): one row for each row of `docs`."""
     candidates = Candidates(docs)
@@ -149,10 +184,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             break
         if turn < PIVOT_ROUNDS:
             pick = F.struct((F.col("weight") if turn == 0 else F.xxhash64("node")).alias("w"), "node", "n", "root")
-            chosen = posts.groupBy("token").agg(F.max(pick).alias("p"))
+            pairs = pairs_with(posts, posts.groupBy("token").agg(F.max(pick).alias("p")))
         else:
-            chosen = posts.select("token", F.struct("node", "n", "root").alias("p"))
-        found = candidates.links(pairs_with(posts, chosen))
+            pairs = pairs_within(posts, candidates.unshared(posts), candidates.classes)
+        found = candidates.links(pairs)
         links = found if links is None else links.unionByName(found)
         roots = stored(components(links), "roots")
     classes = candidates.classes.select("digest", "first_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
