@@ -8,7 +8,7 @@ from tidewatch.llm.tokens import Encoder, with_end
 FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
 ODD = [
     "", " ", "\n\n", "don't they'll WE'RE 'tis ''s", "a  b\t\tc \n d", "x  y", "x  y", "été  là", "é É́",
-    "foo...bar!?baz", "a<|endoftext|>b <|startoftext|>", "İstanbul ſtraße ΑΣ", "12 345 6a7", "日本語 テキスト。", "\x1c a\x1db \x85 c", "end ", "  lead",
+    "foo...bar!?baz", "a<|endoftext|>b <|startoftext|>", "A<|ENDOFTEXT|>b", "İstanbul ſtraße ΑΣ", "12 345 6a7", "日本語 テキスト。", "\x1c a\x1db \x85 c", "end ", "  lead",
 ]
 
 
