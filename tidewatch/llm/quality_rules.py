@@ -111,6 +111,18 @@ def verdict(rules: list[Rule] = RULES) -> Column:
     return passed
 
 
-def apply_rules(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+def apply_rules(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
     """`docs` with the measures, `base_failed` and `kept`."""
-    return measure(docs.drop("base_failed", "kept")).withColumns({"base_failed": base_failed(), "kept": verdict(rules)})
+    return measure(docs.drop("base_failed", "kept"), text).withColumns({"base_failed": base_failed(), "kept": verdict(rules)})
+
+
+def good_documents(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+    """Rows of `docs`, all columns as they are, that the rules keep.
+
+    A plain filter on `kept` would be pushed below the projections, where every measure is spelled
+    out again inside the next one's lambda; the outer explode of none or one row is not.
+    """
+    row = F.struct(*docs.columns).alias("_row")
+    judged = apply_rules(docs.select(row, F.col("text").alias("_text")), rules, "_text")
+    chosen = judged.select(F.explode_outer(F.when(F.col("kept"), F.array("_row"))).alias("_row"))
+    return chosen.filter(F.col("_row").isNotNull()).select("_row.*")
