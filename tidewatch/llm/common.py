@@ -52,7 +52,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it back: computed once, lineage cut, columns prunable."""
     path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

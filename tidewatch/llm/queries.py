@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.storage import fresh_folder
-from tidewatch.llm import decontaminate, licenses, near_duplicates, packing, quality_classifier as quality, quality_rules as rules, secrets, sql, token_files, toxicity
+from tidewatch.llm import decontaminate, licenses, near_duplicates, packing, quality_classifier as quality, quality_rules as rules, secrets, sql, suffix_dedup, token_files, toxicity
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -76,3 +76,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
     held_out = quality.remainder(3) == 1
     return quality.predicted(toxicity.score(docs, toxicity.train(docs, labels, "toxic", ~held_out)), held_out)
+
+
+@query("op2_suffix_dedup")
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.removed(documents(spark, folder).select("doc_id", "text")))
