@@ -80,9 +80,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, data, at in text_chunks(batches):
-        sets = shingle_sets(data, at)
-        owner = pa.array(np.repeat(np.arange(len(sets)), [len(s) for s in sets]))
-        yield pa.RecordBatch.from_arrays([rows.column("node").take(owner), pa.array(np.concatenate(sets).view(np.int64))], ["node", "shingle"])
+        sets = [s.view(np.int64) for s in shingle_sets(data, at)]
+        yield pa.RecordBatch.from_arrays([rows.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,11 +125,14 @@ class Candidates:
         wanted = stored(self.classes.select("node", *KEY).join(nodes, "node", "left_semi"), "wanted")
         return self.docs.join(F.broadcast(wanted) if small_enough(wanted, 24) else wanted, KEY).select("node", "text")
 
-    def unshared(self, posts: DataFrame) -> DataFrame:
-        """(node, u): how many shingles of a class no other class of `posts` holds, where there are any."""
-        rows = self.texts(posts.select("node").distinct()).mapInArrow(_shingles, "node long, shingle long")
+    def sets(self, posts: DataFrame) -> DataFrame:
+        """(node, shingles, u) of the classes of `posts`; u counts the shingles that no other of them holds."""
+        found = self.texts(posts.select("node").distinct()).mapInArrow(_shingles, "node long, shingles array<long>")
+        found = stored(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
+        rows = found.select("node", F.explode("shingles").alias("shingle"))
         alone = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
-        return stored(alone.groupBy("node").agg(F.count("*").alias("u")), "unshared")
+        alone = alone.groupBy("node").agg(F.count("*").alias("u"))
+        return found.join(alone, "node", "left").withColumn("u", F.coalesce("u", F.lit(0)))
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """(a, b) of the distinct pairs (a, b) whose full sets are similar enough."""
@@ -150,20 +152,21 @@ def pairs_with(posts: DataFrame, chosen: DataFrame) -> DataFrame:
     return met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
 
 
-def pairs_within(posts: DataFrame, unshared: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs of a posting list's members that may still be linked, each from one of its lists only.
+def links_within(posts: DataFrame, sets: DataFrame) -> DataFrame:
+    """All links between members of a posting list that lie in different components.
 
-    The join's condition holds, from cheap to dear: other components, the bound by size and unshared
-    shingles, the list being the first that both are posted in, and enough equal coordinates.
+    The join's condition holds, from cheap to dear: the bound by size and unshared shingles, the
+    list being the first that both are posted in, and the comparison of the full sets.
     """
-    own = posts.join(unshared, "node", "left").withColumn("u", F.coalesce("u", F.lit(0))).filter(f"100 * (n - u) >= {PERCENT} * n")
+    own = posts.join(sets, "node").filter(f"100 * (n - u) >= {PERCENT} * n")
     lists = own.groupBy("node").agg(F.collect_list("token").alias("lists"))
-    own = own.join(lists, "node").join(classes.select("node", "signature"), "node").select("token", "node", "n", "u", "root", "lists", "signature")
+    own = stored(own.join(lists, "node").select("token", "node", "n", "u", "root", "lists", "shingles"), "last")
     a, b = own.alias("a"), own.alias("b")
-    near = f"100 * (a.n - a.u) >= {PERCENT} * greatest(a.n, b.n + a.u) AND 100 * (b.n - b.u) >= {PERCENT} * greatest(b.n, a.n + b.u)"
+    bound = f"100 * (a.n - a.u) >= {PERCENT} * greatest(a.n, b.n + a.u) AND 100 * (b.n - b.u) >= {PERCENT} * greatest(b.n, a.n + b.u)"
     once = F.array_min(F.array_intersect("a.lists", "b.lists")) == F.col("a.token")
-    enough = F.size(F.array_intersect("a.signature", "b.signature")) >= MATCHES
-    met = a.join(b, (F.col("a.token") == F.col("b.token")) & F.expr(f"a.node < b.node AND a.root <> b.root AND {near}") & once & enough)
+    common = F.size(F.array_intersect("a.shingles", "b.shingles"))
+    near = 100 * common >= PERCENT * (F.col("a.n") + F.col("b.n") - common)
+    met = a.join(b, (F.col("a.token") == F.col("b.token")) & F.expr(f"a.node < b.node AND a.root <> b.root AND {bound}") & once & near)
     return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
 
 
@@ -184,10 +187,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             break
         if turn < PIVOT_ROUNDS:
             pick = F.struct((F.col("weight") if turn == 0 else F.xxhash64("node")).alias("w"), "node", "n", "root")
-            pairs = pairs_with(posts, posts.groupBy("token").agg(F.max(pick).alias("p")))
+            found = candidates.links(pairs_with(posts, posts.groupBy("token").agg(F.max(pick).alias("p"))))
         else:
-            pairs = pairs_within(posts, candidates.unshared(posts), candidates.classes)
-        found = candidates.links(pairs)
+            found = stored(links_within(posts, candidates.sets(posts)), "links")
         links = found if links is None else links.unionByName(found)
         roots = stored(components(links), "roots")
     classes = candidates.classes.select("digest", "first_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
