@@ -5,8 +5,6 @@ import pytest
 from oracle import connect, differences
 from tidewatch.plans.catalogue import ORACLES, QUERIES
 
-# A hundred boosting rounds take most of a minute; test_models fits fewer.
-SLOW = {"gbt_fit_score"}
 # No cross joins and no Python in any plan.
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"]
 
@@ -16,7 +14,7 @@ def con(folder):
     return connect(folder)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, folder, con, name):
     result = QUERIES[name](spark, folder)
     plan = result._jdf.queryExecution().executedPlan().toString()

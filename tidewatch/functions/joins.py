@@ -2,41 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewatch.functions.storage import materialize
 
 BROADCAST_ROWS = 50_000
-SALTS = 16
+BROADCAST_BYTES = 16 << 20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: 8 for each column, and the length of text, binary and array columns."""
+    sizes = [F.lit(8 * len(df.columns))]
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(f.name), F.lit(0)))
+        elif isinstance(f.dataType, T.ArrayType):
+            sizes.append(8 * F.greatest(F.size(f.name), F.lit(0)))
+    return reduce(lambda a, b: a + b, sizes)
 
 
-def fits_broadcast(dim: DataFrame, row_bound: int = BROADCAST_ROWS) -> bool:
-    """True when `dim` has at most `row_bound` rows; stops counting just past the bound."""
-    return dim.limit(row_bound + 1).count() <= row_bound
+def fits_broadcast(dim: DataFrame, row_bound: int = BROADCAST_ROWS, byte_bound: int = BROADCAST_BYTES) -> bool:
+    """True when `dim` keeps both bounds, counted; reads just past the row bound at most."""
+    size = dim.limit(row_bound + 1).agg(F.count("*").alias("n"), F.coalesce(F.sum(row_bytes(dim)), F.lit(0)).alias("b")).first()
+    return size["n"] <= row_bound and size["b"] <= byte_bound
 
 
 def attach(df: DataFrame, dim: DataFrame, keys: list[str], how: str, small: bool) -> DataFrame:
-    """Join `dim` to `df`: broadcast when known small, else a shuffle join with salted keys.
+    """Join `dim` to `df`: broadcast when known small, else a shuffle join.
 
-    With salting each dimension row is repeated SALTS times and each fact row goes to one
-    of the copies by a hash of its other columns, so a key holding a third of all rows is
-    spread over SALTS tasks. The salt is a function of the row, hence stable on retries.
+    A key that holds a large part of `df` is split by adaptive execution: both sides come straight
+    from an exchange that the join itself asks for, so equal rows are spread as well.
     """
     added = [] if how == "left_semi" else [c for c in dim.columns if c not in keys]
-    columns = [*df.columns, *added]
-    if small:
-        return df.join(F.broadcast(dim), keys, how).select(*columns)
-    spread = [
-        f.name for f in df.schema.fields
-        if f.name not in keys and not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    salt = F.pmod(F.xxhash64(*spread), F.lit(SALTS)) if spread else F.lit(0).cast("long")
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    return (
-        df.withColumn("_salt", salt)
-        .join(dim.withColumn("_salt", copies), [*keys, "_salt"], how)
-        .select(*columns)
-    )
+    return df.join(F.broadcast(dim) if small else dim, keys, how).select(*df.columns, *added)
 
 
 def lookup_join(

@@ -23,7 +23,6 @@ FANOUT, LEVELS = 8, 3
 CELLS = FANOUT ** LEVELS
 ACCURACY = 10_000
 CUT_CELLS = 2_000_000  # most cell edges to broadcast: 16 MB
-MAX_ROUNDS = 4
 
 
 def _keyed(df: DataFrame, value: str, groups: list[str], extra: list[Column] = ()) -> tuple[DataFrame, list[str]]:
@@ -117,7 +116,7 @@ def exact_quantiles(
     else:  # many groups mean shuffle joins: collapse equal values first, so no hot value travels as rows
         rows = rows.groupBy(*keys, "_x").agg(F.count("*").alias("_w")).select(*keys, *start, "_x", "_w")
     rounds = 0
-    while largest > TASK_ROWS and rounds < MAX_ROUNDS:
+    while largest > TASK_ROWS:
         located = _refine(rows, keys, few)
         pieces = located.groupBy(*cell).agg(
             F.sum("_w").alias("_in"), F.count("*").alias("_rows"), F.max("_before").alias("_base")
@@ -152,18 +151,17 @@ def cell_counts(
 ) -> tuple[DataFrame, list[str]]:
     """Sums of `measures` per distinct value `_x`, each tagged with an ordered `_cell`.
 
-    A cell holds about TASK_ROWS rows at most, so a window over (keys, _cell) is one task's
+    A cell holds TASK_ROWS distinct values at most, so a window over (keys, _cell) is one task's
     work; totals of cells are then ordered per group. Returns the counts and the key columns.
     """
     names, groups = list(measures), list(groups)
     rows, keys = _keyed(df, value, groups, [m.alias(k) for k, m in measures.items()])
     _, few, largest = _sizes(rows, keys)
     sums = [F.sum(n).alias(n) for n in names]
-    if not few:
-        rows = rows.groupBy(*keys, "_x").agg(*sums)
-    rows = rows.withColumn("_cell", F.lit(0).cast("long"))
-    rounds = 0
-    while largest > TASK_ROWS * CELLS ** rounds and rounds < MAX_ROUNDS:
-        rows = _refine(rows, keys, few)
-        rounds += 1
-    return rows.groupBy(*keys, "_cell", "_x").agg(*sums), keys
+    # One row per distinct value, so cells are even over values and copies can't fill one.
+    rows = rows.groupBy(*keys, "_x").agg(*sums).withColumn("_cell", F.lit(0).cast("long"))
+    cell = [*keys, "_cell"]
+    while largest > TASK_ROWS:
+        rows = materialize(_refine(rows, keys, few))
+        largest = rows.groupBy(*cell).agg(F.count("*").alias("r")).agg(F.coalesce(F.max("r"), F.lit(0))).first()[0]
+    return rows.select(*cell, "_x", *names), keys

@@ -53,8 +53,9 @@ def parse_float_literal(value: Column) -> Column:
     return parse_number(F.regexp_replace(text(value), GROUPED_DIGITS, ""))
 
 
-def number_or_zero(value: Column) -> Column:
-    number = parse_number(value)
+def number_or_zero(value: Column, kind: T.DataType | None = None) -> Column:
+    """0 for what is missing or no number; a column known to be numeric is not printed and parsed again."""
+    number = value.cast("double") if isinstance(kind, T.NumericType) else parse_number(value)
     return F.when(not_missing(number), number).otherwise(F.lit(0.0))
 
 
@@ -86,6 +87,11 @@ def text_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
 
 
+def digested(df: DataFrame) -> DataFrame:
+    """Text columns as 32-byte digests, equal exactly where the texts are: for counting without moving texts."""
+    return df.withColumns({c: F.unhex(F.sha2(F.col(c), 256)) for c in text_columns(df)})
+
+
 def long_form(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:
     """(keep…, feature, value) with one row per column, values as double."""
     doubles = [F.col(c).cast("double").alias(c) for c in columns if c not in keep]

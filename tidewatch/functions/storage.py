@@ -30,11 +30,12 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute once, keep on shared storage, drop the lineage.
+    """Compute once, keep as Parquet on shared storage, drop the lineage; readers prune columns.
 
     Used for small fitted results that later steps read more than once (quantile sketches,
     bucket edges, lookup tables), so that every reader sees the very same values even when
     a lost executor forces part of the job to run again.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = fresh_folder(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,7 +3,9 @@
 A host or service may hold a large part of all rows, so no window is partitioned by it
 alone. Time (or the running number) is cut into blocks; each block also receives the few
 earlier rows its first frames reach back to, and those helper rows are dropped afterwards.
-Frames are therefore complete and every task is bounded by a block, not by a key.
+Inside a block, rows at one position are summed first; then a frame is the running sum up to
+its end less the running sum before its start. So a block costs one sort and one pass, however
+many rows a frame holds.
 """
 
 from __future__ import annotations
@@ -11,12 +13,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions.scalars import ratio
 
 MICROS = 1_000_000
-Frames = Mapping[str, Callable[[WindowSpec], Column]]
+Measures = Mapping[str, Column]
 
 
 def _with_context(df: DataFrame, position: str, reach: int, block: int) -> DataFrame:
@@ -38,12 +40,21 @@ def _on_known(df: DataFrame, needed: list[str], build: Callable[[DataFrame], Dat
     return build(df.where(known)).unionByName(df.where(~known), allowMissingColumns=True)
 
 
-def trailing_range(df: DataFrame, keys: list[str], position: str, reach: int, block: int, frames: Frames) -> DataFrame:
-    """Add frame aggregates over rows of the same key with position in [p - reach, p]."""
-    spread = _with_context(df, position, reach, block)
-    window = Window.partitionBy(*keys, "_block").orderBy(position).rangeBetween(-reach, 0)
-    added = spread.withColumns({name: build(window) for name, build in frames.items()})
-    return added.where(~F.col("_context")).drop("_block", "_context")
+def trailing_range(df: DataFrame, keys: list[str], position: str, reach: int, block: int, measures: Measures) -> DataFrame:
+    """Add sums of the measures over rows of the same key with position in [p - reach, p]."""
+    names, place = list(measures), [*keys, "_block"]
+    taken = _with_context(df.select(*keys, position, *[m.alias(n) for n, m in measures.items()]), position, reach, block)
+    cells = taken.groupBy(*place, position).agg(*[F.sum(n).alias(n) for n in names], F.min("_context").alias("_context"))
+    # A mark just before the frame's start (kind 0) stands ahead of the rows at its place (kind 1).
+    none = [F.lit(0).cast("long").alias(n) for n in names]
+    marks = cells.where(~F.col("_context")).select(*place, position, (F.col(position) - reach).alias("_at"), F.lit(0).alias("_kind"), *none)
+    steps = cells.select(*place, position, F.col(position).alias("_at"), F.lit(1).alias("_kind"), *names).unionByName(marks)
+    running = Window.partitionBy(*place).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = steps.select(*place, position, "_kind", *[F.sum(n).over(running).alias(n) for n in names])
+    frames = summed.groupBy(*place, position).agg(
+        *[F.sum(F.when(F.col("_kind") == 1, F.col(n)).otherwise(-F.col(n))).alias(n) for n in names], F.count("*").alias("_n"),
+    ).where("_n = 2").drop("_n", "_block")
+    return df.join(frames, [*keys, position])
 
 
 def two_second_features(
@@ -69,10 +80,9 @@ def _two_second(
         "_syn": (syn_error if syn_error is not None else F.lit(False)).cast("int"),
         "_rej": (rejected if rejected is not None else F.lit(False)).cast("int"),
     })
-    total = lambda name: lambda w: F.sum(name).over(w)
-    rows = lambda w: F.count(F.lit(1)).over(w)
-    by_host = trailing_range(base, [host], "_t", reach, block, {"count": rows, "_hs": total("_syn"), "_hr": total("_rej")})
-    by_service = trailing_range(by_host, [service], "_t", reach, block, {"srv_count": rows, "_ss": total("_syn"), "_sr": total("_rej")})
+    rows = F.lit(1)
+    by_host = trailing_range(base, [host], "_t", reach, block, {"count": rows, "_hs": F.col("_syn"), "_hr": F.col("_rej")})
+    by_service = trailing_range(by_host, [service], "_t", reach, block, {"srv_count": rows, "_ss": F.col("_syn"), "_sr": F.col("_rej")})
     both = trailing_range(by_service, [host, service], "_t", reach, block, {"_same": rows})
     same = ratio(F.col("_same"), F.col("count"))
     return both.withColumns({
@@ -135,11 +145,10 @@ def _hundred(
     })
     numbered = running_number(base, host, ts, row_id, block_seconds, "_k")
     reach = last - 1
-    total = lambda name: lambda w: F.sum(name).over(w)
-    rows = lambda w: F.count(F.lit(1)).over(w)
+    rows = F.lit(1)
     frames = lambda keys, added, frame: trailing_range(frame, keys, "_k", reach, block_rows, added)
-    by_host = frames([host], {"dst_host_count": rows, "_hs": total("_syn"), "_hr": total("_rej")}, numbered)
-    result = frames([host, service], {"dst_host_srv_count": rows, "_ss": total("_syn"), "_sr": total("_rej")}, by_host)
+    by_host = frames([host], {"dst_host_count": rows, "_hs": F.col("_syn"), "_hr": F.col("_rej")}, numbered)
+    result = frames([host, service], {"dst_host_srv_count": rows, "_ss": F.col("_syn"), "_sr": F.col("_rej")}, by_host)
     n, m = F.col("dst_host_count"), F.col("dst_host_srv_count")
     columns = {
         "dst_host_same_srv_rate": ratio(m, n),

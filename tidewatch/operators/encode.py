@@ -33,7 +33,9 @@ def stratified_split(
         rows, "_hash", [test_share], [stratum], position=lambda p, n: F.floor(F.lit(p) * n + 0.5)
     ).select(stratum, F.col("quantiles")[0].alias("_threshold"))
     located = lookup_join(rows, thresholds, [stratum])
-    side = F.when(F.col("_hash") < F.col("_threshold"), "test").otherwise("train")
+    # No row has the rank: the share takes the whole stratum.
+    whole = F.col("_threshold").isNull() & F.col(stratum).isNotNull()
+    side = F.when((F.col("_hash") < F.col("_threshold")) | whole, "test").otherwise("train")
     return located.withColumn(output, side).select(*df.columns, output)
 
 
@@ -44,7 +46,7 @@ def fill_absent(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 def coerce_numbers(df: DataFrame, columns: Sequence[str] = v.SCORING_NUMERIC) -> DataFrame:
     """Read each column as a number, unreadable or missing values become 0."""
-    return df.withColumns({c: number_or_zero(F.col(c)) for c in columns if c in df.columns})
+    return df.withColumns({c: number_or_zero(F.col(c), df.schema[c].dataType) for c in columns if c in df.columns})
 
 
 def align_columns(df: DataFrame, expected: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

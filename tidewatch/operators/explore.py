@@ -11,8 +11,6 @@ from tidewatch.functions.joins import lookup_join
 from tidewatch.functions.ranks import exact_quantiles
 from tidewatch.functions.scalars import log1p_clipped, long_form, not_missing, ratio, text
 
-MAX_PIVOT_VALUES = 10_000
-
 
 def class_counts(df: DataFrame, column: str) -> DataFrame:
     return (
@@ -62,19 +60,19 @@ def boxplot_by_class(df: DataFrame, column: str, values: Sequence[str], reach: f
 
 
 def crosstab_pct(df: DataFrame, rows: str, columns: str, values: Sequence[str] | None = None) -> DataFrame:
-    """Share of each value within each class in percent; absent combinations give 0."""
-    both = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
-    if values is None:
-        found = both.select(text(F.col(columns))).distinct().limit(MAX_PIVOT_VALUES + 1).collect()
-        if len(found) > MAX_PIVOT_VALUES:
-            raise ValueError(f"{columns!r} has too many values to become columns")
-        values = sorted(r[0] for r in found)
-    cells = F.array(*[
-        F.struct(F.lit(x).alias("value"), F.count_if(F.col(columns) == x).alias("n")) for x in values
-    ])
-    counted = both.groupBy(F.col(rows).alias("class")).agg(F.count("*").alias("total"), cells.alias("cells"))
-    return counted.select("class", "total", F.inline("cells")).select(
-        "class", "value", F.round(ratio(F.col("n"), F.col("total")) * 100, 1).alias("pct")
+    """Share of each value within each class in percent; absent combinations give 0.
+
+    The result has classes times values rows, whatever their number.
+    """
+    both = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull()).select(
+        F.col(rows).alias("class"), text(F.col(columns)).alias("value")
+    )
+    counts = both.groupBy("class", "value").agg(F.count("*").alias("n"))
+    totals = both.groupBy("class").agg(F.count("*").alias("total"))
+    known = F.array(*[F.lit(x) for x in values]) if values is not None else counts.select(F.collect_set("value")).scalar()
+    grid = totals.select("class", "total", F.explode(known).alias("value"))
+    return grid.join(counts, ["class", "value"], "left").select(
+        "class", "value", F.round(ratio(F.coalesce("n", F.lit(0)), F.col("total")) * 100, 1).alias("pct")
     )
 
 

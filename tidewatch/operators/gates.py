@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import vocabulary as v
-from tidewatch.functions.scalars import ratio
+from tidewatch.functions.scalars import digested, ratio
 
 
 class GateFailure(Exception):
@@ -21,8 +21,8 @@ def gate_table(
     required: Sequence[str] = ("label",),
     max_duplicate_rate: float = v.MAX_DUPLICATE_RATE,
 ) -> DataFrame:
-    """(position, gate, observed, threshold, passed), from one grouped pass over the data."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    """(position, gate, observed, threshold, passed), from one grouped pass over the data; texts travel as digests."""
+    groups = digested(df).groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     rows = F.coalesce(F.sum("_copies"), F.lit(0))
     rate = ratio(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)), rows)
     width = len(df.columns)

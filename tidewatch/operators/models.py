@@ -88,8 +88,8 @@ def _fit_trees(classifier: Estimator, weighted: DataFrame, features: list[str])
     return Pipeline(stages=[_assembled(features), classifier]).fit(weighted)
 
 
-def fit_forest(train: DataFrame, features: list[str], target: str, trees: int = v.TREES, max_depth: int = 10) -> PipelineModel:
-    """Balanced random forest; the published one has no depth limit, MLlib's cap is 30."""
+def fit_forest(train: DataFrame, features: list[str], target: str, trees: int = v.TREES, max_depth: int = 30) -> PipelineModel:
+    """Balanced random forest; the published one has no depth limit, and 30 is the deepest that MLlib grows."""
     classifier = RandomForestClassifier(
         featuresCol="_features", labelCol=target, weightCol="_weight", numTrees=trees,
         featureSubsetStrategy="sqrt", maxDepth=max_depth, seed=v.SEED, maxMemoryInMB=512,

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidewatch import vocabulary as v
 from tidewatch.functions.joins import attach
 from tidewatch.functions.ranks import exact_quantiles
-from tidewatch.functions.scalars import any_of, long_form, numeric_columns, parse_number, ratio, text, text_columns
+from tidewatch.functions.scalars import any_of, digested, long_form, numeric_columns, parse_number, ratio, text, text_columns
 
 PAIR_BATCH = 40
 
@@ -64,7 +64,7 @@ def encoded_missing(df: DataFrame, tokens: Sequence[str] = v.MISSING_TOKENS) ->
 
 def duplicate_profile(df: DataFrame) -> DataFrame:
     """Exact copies beyond the first; nulls compare equal. Copies collapse before the shuffle."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    groups = digested(df).groupBy(*df.columns).agg(F.count("*").alias("_copies"))
     total = F.coalesce(F.sum("_copies"), F.lit(0))
     extra = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
     return groups.agg(
@@ -172,7 +172,7 @@ def cardinality(df: DataFrame, columns: list[str] | None = None, relative_error:
     if relative_error is not None:
         return per_column(df, {c: {"distinct_values": F.approx_count_distinct(c, relative_error)} for c in names})
     cells = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), text(F.col(c)).alias("value")) for c in names
+        F.struct(F.lit(c).alias("column"), F.unhex(F.sha2(text(F.col(c)), 256)).alias("value")) for c in names
     ]))
     distinct = df.select(cells.alias("cell")).select("cell.*").distinct()
     return distinct.groupBy("column").agg(F.count("value").alias("distinct_values"))

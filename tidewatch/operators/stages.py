@@ -6,7 +6,8 @@ Every stage saves and loads with the pipeline, so training and scoring share one
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, Transformer
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (
     DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
@@ -19,8 +20,6 @@ from tidewatch.functions.joins import attach, fits_broadcast
 from tidewatch.functions.scalars import grouped_flag, log1p_clipped, ratio, text
 from tidewatch.functions.storage import materialize
 
-MAX_CATEGORIES = 10_000
-
 
 class _Columns(Params):
     columns = Param(Params._dummy(), "columns", "columns the stage works on", TypeConverters.toListString)
@@ -129,15 +128,22 @@ class IndicatorEncoder(Estimator, _Columns, DefaultParamsReadable, DefaultParams
     def _fit(self, df: DataFrame) -> IndicatorModel:
         found: dict[str, list[str]] = {}
         for c in self.present(df):
-            # Values become columns, so their number is bounded; past the bound this is an error.
-            values = df.select(text(F.col(c)).alias("x")).where("x is not null").distinct().limit(MAX_CATEGORIES + 1)
-            listed = sorted(r.x for r in values.collect())
-            if len(listed) > MAX_CATEGORIES:
-                raise ValueError(f"{c!r} has more than {MAX_CATEGORIES} values; encode it as a rate instead")
-            found[c] = listed
+            # One output column for each value: as many come to the driver as the result has columns.
+            values = df.select(text(F.col(c)).alias("x")).where("x is not null").distinct()
+            found[c] = sorted(r.x for r in values.collect())
         return IndicatorModel.fixed(found)
 
 
+def sparse_indicators(columns: list[str]) -> Pipeline:
+    """One sparse 0/1 vector `<c>_vector` for each column, for columns of many values.
+
+    Values are indexed by frequency; one not seen in fitting, or NULL, takes the vector's last place.
+    """
+    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep") for c in columns]
+    encoder = OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_vector" for c in columns], dropLast=False)
+    return Pipeline(stages=[*indexers, encoder])
+
+
 class _RateParams(Params):
     key = Param(Params._dummy(), "key", "column whose values get a rate", TypeConverters.toString)
     target = Param(Params._dummy(), "target", "0/1 target", TypeConverters.toString)

@@ -23,7 +23,7 @@ def add_category(
         return df
     if label not in df.columns:
         raise ValueError(f"neither {output!r} nor {label!r} is in the data")
-    table = v.labels_to_categories(v.DOTTED_TAXONOMY) if mapping is None else mapping
+    table = v.DOTTED_TAXONOMY if mapping is None else mapping
     key = clean_label(F.col(label)) if clean else F.col(label)
     return df.withColumn(output, map_values(key, table, default))
 
@@ -46,8 +46,7 @@ def profile_targets(df: DataFrame) -> DataFrame:
     """Targets of the quality profile: cleaned labels, default 'unknown', both or neither added."""
     if "attack_category" in df.columns or "label" not in df.columns:
         return df
-    plain = v.labels_to_categories(v.PLAIN_TAXONOMY)
-    with_category = add_category(df, mapping=plain, default=v.PLAIN_DEFAULT, clean=True)
+    with_category = add_category(df, mapping=v.PLAIN_TAXONOMY, default=v.PLAIN_DEFAULT, clean=True)
     return add_anomaly(with_category.drop("is_anomaly"), source="label", clean=True)
 
 

@@ -337,18 +337,21 @@ _RECENT = "ORDER BY k RANGE BETWEEN 99 PRECEDING AND CURRENT ROW"
 
 @query("window_100_rates", f"""
     WITH k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k, CASE WHEN value > 50 THEN 1 ELSE 0 END AS e,
-                      CASE WHEN value < 5 THEN 1 ELSE 0 END AS r FROM events),
+                      CASE WHEN value < 5 THEN 1 ELSE 0 END AS r, event_id % 7 AS port, event_id % 4 AS source FROM events),
          w AS (SELECT event_id, count(*) OVER (PARTITION BY user_id {_LAST}) AS n, count(*) OVER (PARTITION BY user_id, event_type {_RECENT}) AS m,
                       sum(e) OVER (PARTITION BY user_id {_LAST}) AS hs, sum(e) OVER (PARTITION BY user_id, event_type {_RECENT}) AS ss,
-                      sum(r) OVER (PARTITION BY user_id {_LAST}) AS hr, sum(r) OVER (PARTITION BY user_id, event_type {_RECENT}) AS sr FROM k)
+                      sum(r) OVER (PARTITION BY user_id {_LAST}) AS hr, sum(r) OVER (PARTITION BY user_id, event_type {_RECENT}) AS sr,
+                      count(*) OVER (PARTITION BY user_id, port {_RECENT}) AS sp, count(*) OVER (PARTITION BY user_id, event_type, source {_RECENT}) AS so FROM k)
     SELECT event_id, n AS dst_host_count, m AS dst_host_srv_count, round(m / n, 6) AS dst_host_same_srv_rate, round(1 - m / n, 6) AS dst_host_diff_srv_rate,
            round(hs / n, 6) AS dst_host_serror_rate, round(ss / m, 6) AS dst_host_srv_serror_rate,
-           round(hr / n, 6) AS dst_host_rerror_rate, round(sr / m, 6) AS dst_host_srv_rerror_rate FROM w""")
+           round(hr / n, 6) AS dst_host_rerror_rate, round(sr / m, 6) AS dst_host_srv_rerror_rate,
+           round(sp / n, 6) AS dst_host_same_src_port_rate, round(1 - so / m, 6) AS dst_host_srv_diff_host_rate FROM w""")
 def window_100_rates(spark, folder):
     added = behaviour.hundred_connection_features(
-        views.events(spark, folder), "user_id", "event_type", "ts", "event_id", F.col("value") > 50, F.col("value") < 5
+        views.events(spark, folder).withColumns({"port": F.col("event_id") % 7, "source": F.col("event_id") % 4}),
+        "user_id", "event_type", "ts", "event_id", F.col("value") > 50, F.col("value") < 5, "port", "source",
     )
-    return shown(added.drop("ts", "user_id", "event_type", "value", "props"))
+    return shown(added.drop("ts", "user_id", "event_type", "value", "props", "port", "source"))
 
 
 # Run log ------------------------------------------------------------------------------------

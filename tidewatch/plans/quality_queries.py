@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidewatch.functions.scalars import long_form
+from tidewatch.functions.storage import fresh_folder
 from tidewatch.operators import clean, explore, gates, profile, targets
 from tidewatch.plans.registry import query, shown
-from tidewatch.sources import tables, views
+from tidewatch.sources import runlog, tables, views
 from tidewatch.sources.tables import read_table
 
 PRIORITIES = "CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HIGH' THEN 'urgent' WHEN '3-MEDIUM' THEN 'normal' WHEN '5-LOW' THEN 'normal' ELSE 'desconocido' END"
@@ -391,3 +392,50 @@ def quality_report(spark, folder):
     """All checks as one findings table (each check has its own query with SQL above)."""
     view = views.connections(spark, folder).drop("l_orderkey", "l_linenumber")
     return shown(profile.quality_report(targets.add_category(view)))
+
+
+# Sources ------------------------------------------------------------------------------------
+
+
+@query("nan_profile", """
+    SELECT 'missing' AS "check", 'value' AS "column", count(*) FILTER (event_id % 50 = 0 OR value IS NULL) AS "rows" FROM events
+    UNION ALL SELECT 'impossible', 'value_negativos', count(*) FILTER (event_id % 50 <> 0 AND value - 50 < 0) FROM events
+    UNION ALL SELECT 'impossible', 'value_rate_fuera_de_[0,1]', count(*) FILTER (event_id % 50 <> 0 AND (value / 50 < 0 OR value / 50 > 1)) FROM events""")
+def nan_profile(spark, folder):
+    """NaN in a stored table is missing after reading: no range rule and no count takes it for a number."""
+    nan = lambda value: F.when(F.col("event_id") % 50 == 0, F.lit(float("nan"))).otherwise(value)
+    events = read_table(spark, folder, "events").select("event_id", nan(F.col("value") - 50).alias("value"), nan(F.col("value") / 50).alias("value_rate"))
+    path = fresh_folder(spark, "nan")
+    tables.write_table(events, path)
+    stored = tables.read_parquet(spark, path)
+    missing = profile.null_profile(stored, ["value"]).select(F.lit("missing").alias("check"), "column", F.col("nulls").alias("rows"))
+    impossible = profile.impossible_values(stored, ["value"], ["value_rate"])
+    return missing.unionByName(impossible.select(F.lit("impossible").alias("check"), F.col("finding").alias("column"), "rows"))
+
+
+@query("csv_roundtrip", """
+    SELECT event_id, event_type, CASE WHEN event_id % 40 <> 0 THEN round(value, 6) END AS value, CASE WHEN event_id % 40 = 0 THEN 'n/a' END AS bad_value
+    FROM events""")
+def csv_roundtrip(spark, folder):
+    """Written as CSV and read with types; unreadable cells are listed, not lost."""
+    events = read_table(spark, folder, "events").select(
+        "event_id", "event_type", F.when(F.col("event_id") % 40 == 0, "n/a").otherwise(F.col("value").cast("string")).alias("value")
+    )
+    path = fresh_folder(spark, "csv")
+    tables.write_table(events, path, "csv")
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType()), T.StructField("value", T.DoubleType())])
+    back = tables.read_csv(spark, path, schema, bad_cells="bad")
+    return shown(back.select("event_id", "event_type", "value", F.col("bad")["value"].alias("bad_value")))
+
+
+@query("run_log_twice", """
+    SELECT event_type AS run_name, md5(event_type) AS fingerprint, 'FINISHED' AS status FROM events GROUP BY 1""")
+def run_log_twice(spark, folder):
+    """Runs appended to a stored log, with copies inside one call and again in a second call."""
+    runs = read_table(spark, folder, "events").select(
+        F.col("event_type").alias("run_name"), F.md5(F.col("event_type")).alias("fingerprint"), F.lit(runlog.FINISHED).alias("status")
+    )
+    path = fresh_folder(spark, "runs")
+    for _ in range(2):
+        runlog.append_runs(path, runs)
+    return spark.read.parquet(path)

@@ -59,18 +59,21 @@ def report_row(metrics: DataFrame, run_name: str, algorithm: str, parameters: Ma
 
 
 def new_runs(log: DataFrame, runs: DataFrame, key: str = "fingerprint") -> DataFrame:
-    """Runs whose fingerprint has not finished yet."""
-    return runs.join(log.where(F.col("status") == FINISHED).select(key), key, "left_anti").select(*runs.columns)
+    """Runs whose fingerprint has not finished yet, each fingerprint once."""
+    return runs.dropDuplicates([key]).join(log.where(F.col("status") == FINISHED).select(key), key, "left_anti").select(*runs.columns)
 
 
 def append_runs(log_path: str, runs: DataFrame) -> None:
-    """Append the new runs to the Parquet log; repeating the call adds nothing."""
+    """Append the new runs to the Parquet log; repeating the call adds nothing.
+
+    One writer at a time: two concurrent calls don't see each other's rows.
+    """
     spark = runs.sparkSession
     try:
         log = spark.read.parquet(log_path)
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        runs.write.mode("append").parquet(log_path)
+        runs.dropDuplicates(["fingerprint"]).write.mode("append").parquet(log_path)
         return
     new_runs(log, runs).write.mode("append").parquet(log_path)

@@ -35,23 +35,33 @@ def _checked(path: str, read) -> DataFrame:
         raise
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, bad_cells: str | None = None
+) -> DataFrame:
     """CSV with a header, columns matched to `schema` by name.
 
     Types come from the schema, so nothing is inferred by an extra pass; without a schema
-    every column is text, for batches that still have to be checked. Gaps become NULL.
+    every column is text, for batches that still have to be checked. Gaps and NaN become NULL.
+    A cell that its type can't read becomes NULL too; name a column in `bad_cells` to keep such
+    cells' texts (a map from column name to text, NULL for a sound row), or leave out the schema.
     """
-    raw = _checked(path, spark.read.option("header", True).option("nanValue", "").csv)
+    raw = _checked(path, spark.read.option("header", True).csv)
     if schema is None:
         return raw
-    wanted = {f.name: f.dataType for f in schema.fields}
-    return raw.select(*[
-        F.col(c).try_cast(wanted[c]).alias(c) if c in wanted else F.col(c) for c in raw.columns
-    ])
+    wanted = {f.name: f.dataType for f in schema.fields if f.name in raw.columns}
+    cells = [F.col(c).try_cast(wanted[c]).alias(c) if c in wanted else F.col(c) for c in raw.columns]
+    typed = [c for c in wanted if not isinstance(wanted[c], T.StringType)]
+    if bad_cells is not None and typed:
+        lost = F.map_from_entries(F.array_compact(F.array(*[
+            F.when(F.col(c).isNotNull() & F.col(c).try_cast(wanted[c]).isNull(), F.struct(F.lit(c).alias("key"), F.col(c).alias("value"))) for c in typed
+        ])))
+        cells.append(F.when(F.size(lost) > 0, lost).alias(bad_cells))
+    return nan_to_null(raw.select(*cells))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return _checked(path, spark.read.parquet)
+    """A Parquet table; NaN becomes NULL."""
+    return nan_to_null(_checked(path, spark.read.parquet))
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
