@@ -49,6 +49,13 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of `docs`, all columns as they are, whose key is not in `gone` (_id, _hash)."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"), F.xxhash64(text).alias("_hash"))
+    return rows.join(gone.select(*KEY).distinct(), KEY, "left_anti").select("_row.*")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as Parquet to the shared folder and read it back: computed once, lineage cut, columns prunable."""
     path = fresh_folder(df.sparkSession, label)

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.common import ALNUM_WORD, KEY, ascii_lower, keyed, small_enough, stored
+from tidewatch.llm.common import ALNUM_WORD, KEY, ascii_lower, keyed, small_enough, stored, without
 
 WINDOW = 10
 GRAM = 5
@@ -143,6 +143,4 @@ def digest(found: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of `docs`, all columns, in which no window of the benchmark occurs."""
-    dirty = contamination(docs, benchmark).filter("n_hit > 0").select(*KEY).distinct()
-    own = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(-(2**63))), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-    return own.join(dirty, KEY, "left_anti").select(*docs.columns)
+    return without(docs, contamination(docs, benchmark).filter("n_hit > 0"))

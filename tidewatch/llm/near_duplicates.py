@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import KEY, keyed, small_enough, stored, text_chunks
+from tidewatch.llm.common import KEY, keyed, small_enough, stored, text_chunks, without
 from tidewatch.llm.components import components
 from tidewatch.llm.shingles import SEED, shingle_sets
 
@@ -202,6 +202,4 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def first_of_each(docs: DataFrame) -> DataFrame:
     """Rows of `docs`, all columns, that stand first (smallest id) in their group of near duplicates."""
-    gone = near_duplicates(docs).filter("NOT kept").select(*KEY)
-    own = docs.withColumns({"_id": F.coalesce("doc_id", F.lit(-(2**63))), "_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-    return own.join(gone.distinct(), KEY, "left_anti").select(*docs.columns)
+    return without(docs, near_duplicates(docs).filter("NOT kept"))

@@ -61,11 +61,11 @@ def stop_pattern() -> str:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with the columns of MEASURES (long)."""
-    kept = [c for c in docs.columns if c not in MEASURES]
+    """`_row`, a struct of all columns of `docs`, and the columns of MEASURES (long)."""
+    kept = ["_row"]
     body = F.coalesce(F.col(text), F.lit(""))
     words = docs.select(
-        *kept, body.alias("_body"), F.regexp_extract_all(body, F.lit(BLANK_WORD), F.lit(0)).alias("_words"),
+        F.struct(*docs.columns).alias("_row"), body.alias("_body"), F.regexp_extract_all(body, F.lit(BLANK_WORD), F.lit(0)).alias("_words"),
         F.filter(F.split(body, "\n", -1), lambda line: line.rlike(BLANK_WORD)).alias("_lines"),
     )
     counted = words.select(
@@ -111,18 +111,21 @@ def verdict(rules: list[Rule] = RULES) -> Column:
     return passed
 
 
+def judged(docs: DataFrame, rules: list[Rule], text: str) -> DataFrame:
+    return measure(docs, text).withColumns({"base_failed": base_failed(), "kept": verdict(rules)})
+
+
 def apply_rules(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
     """`docs` with the measures, `base_failed` and `kept`."""
-    return measure(docs.drop("base_failed", "kept"), text).withColumns({"base_failed": base_failed(), "kept": verdict(rules)})
+    added = [*MEASURES, "base_failed", "kept"]
+    return judged(docs, rules, text).select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in added], *added)
 
 
-def good_documents(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+def good_documents(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
     """Rows of `docs`, all columns as they are, that the rules keep.
 
     A plain filter on `kept` would be pushed below the projections, where every measure is spelled
     out again inside the next one's lambda; the outer explode of none or one row is not.
     """
-    row = F.struct(*docs.columns).alias("_row")
-    judged = apply_rules(docs.select(row, F.col("text").alias("_text")), rules, "_text")
-    chosen = judged.select(F.explode_outer(F.when(F.col("kept"), F.array("_row"))).alias("_row"))
+    chosen = judged(docs, rules, text).select(F.explode_outer(F.when(F.col("kept"), F.array("_row"))).alias("_row"))
     return chosen.filter(F.col("_row").isNotNull()).select("_row.*")
