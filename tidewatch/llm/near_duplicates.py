@@ -7,8 +7,8 @@ Contract of a link: 100 * |A and B| >= PERCENT * |A or B| over the sets of disti
 2. Every class is posted under its (coordinate, value) pairs. Pairs that occur once are skipped.
    A class keeps its rarest `COORDINATES - MATCHES + 1` pairs as prefix: classes that agree in
    MATCHES coordinates share a pair of their prefixes, however common their other pairs are.
-3. Two rounds link the members of each posting list to its most central class (the one whose pairs
-   are the most common). What still lies in different components after them is compared pair by
+3. A first round links the members of each posting list to its most central class (the one whose pairs
+   are the most common). What still lies in different components after it is compared pair by
    pair, under an exact bound: a shingle that no other remaining class holds is missing from every
    partner, so with u such shingles J(A, B) <= (|A| - u) / max(|A|, |B| + u). So a family of n near
    copies costs about n comparisons, and no link between components is lost.
@@ -38,7 +38,7 @@ PERCENT = 85
 COORDINATES = 128
 MATCHES = 90
 PREFIX = COORDINATES - MATCHES + 1
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
 
 _FACTORS = np.random.default_rng(SEED + 1).integers(1, 2**63, (2, COORDINATES), dtype=np.uint64)
 _FACTORS[0] = _FACTORS[0] * np.uint64(2) + np.uint64(1)
