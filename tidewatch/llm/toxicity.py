@@ -80,8 +80,12 @@ def word_bags(data: np.ndarray, at: np.ndarray) -> Bag:
     return (both % BUCKETS).astype(np.int32), np.searchsorted(both, np.arange(len(at)) * BUCKETS), np.minimum(1.0, FULL * share)
 
 
-def bags_of(texts: list[str]) -> Bag:
-    return word_bags(*text_bytes(pa.array(texts, pa.large_string())))
+def bags_of(texts: list[str], at_once: int = 256) -> Bag:
+    """`word_bags` of many texts, some at a time, so that only the finished bags are held."""
+    parts = [word_bags(*text_bytes(pa.array(texts[i : i + at_once], pa.large_string()))) for i in range(0, len(texts), at_once)]
+    begins = np.cumsum([0, *(len(ids) for ids, _, _ in parts)])
+    lo = np.concatenate([*(lo[:-1] + b for (_, lo, _), b in zip(parts, begins)), begins[-1:]])
+    return np.concatenate([p[0] for p in parts]), lo, np.concatenate([p[2].astype(np.float32) for p in parts])
 
 
 def values(weights: np.ndarray, bag: Bag) -> np.ndarray:
