@@ -247,3 +247,32 @@ def test_secret_candidates_are_judged_whole():
         base = [s for s in spans if s[1] < 3]
         assert all(b <= s or e <= a for a, kind, b in spans if kind == 3 for s, _, e in base)
     assert secrets.places(0, 30) == [0] and secrets.places(5, 105)[-1] == 57
+
+
+def test_secret_network_is_not_taught_other_shapes_as_harmless(spark):
+    rng = np.random.default_rng(8)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    hexes, words = [draw("0123456789abcdef", 24) for _ in range(200)], [draw("abcdefghijklmnopqrstuvwxyz", 20) for _ in range(200)]
+    keys = [secrets.token(rng, shape) for shape in ("github", "payment", "jwt", "base64") for _ in range(25)]
+    docs = spark.createDataFrame([(i, f"the key is {x} and so on") for i, x in enumerate(hexes + words + keys)], "doc_id long, text string")
+    known = tuple(s for s in secrets.SHAPES if s not in ("github", "payment", "jwt", "base64"))
+    found = {r.doc_id: {x.kind for x in r.spans} for r in secrets.scan(docs, secrets.train(docs, known)).collect()}
+    # The shapes of `keys` are neither base patterns nor planted: recall on shapes that training never saw.
+    assert np.mean(["network" in found[i] for i in range(400, 500)]) > 0.9
+    assert np.mean(["network" in found[i] for i in range(200, 400)]) < 0.05
+    assert secrets.alike(keys[0]) and not secrets.alike("/usr/lib/python3/site-packages/module.py")
+
+
+def test_each_document_is_judged_by_the_other_fold():
+    a, b = _Marked(), _Marked()
+    a.threshold, b.threshold = 0.5, 2.0
+    texts = [f"see ghp_Zq81LmXw0aVt55Rk{i}" for i in range(20)]
+    found = secrets.all_spans(texts, secrets.Folds((a, b)))
+    assert [bool(s) for s in found] == [secrets.fold(t) == 0 for t in texts] and {secrets.fold(t) for t in texts} == {0, 1}
+
+
+def test_few_findings_take_the_fixed_network(spark):
+    docs = spark.createDataFrame([(1, "export KEY ghp_Zq81LmXw0aVt55RkPq3sUu7bNc2dEf6gHi9j now"), (2, "see /usr/lib/python3/site-packages/module.py there")], "doc_id long, text string")
+    assert secrets.train(docs) is None
+    masked = {r.doc_id: r.text for r in secrets.redact(docs, None).collect()}
+    assert masked[1] == "export KEY [SECRET] now" and masked[2] == docs.where("doc_id = 2").first().text
