@@ -74,3 +74,18 @@ def test_last_connections(df, rows, block_rows, block_seconds):
 def test_block_shorter_than_window_is_refused(df):
     with pytest.raises(ValueError):
         two_second_features(df, "host", "service", "ts", seconds=10, block_seconds=5)
+
+
+def test_connections_without_port_or_source_stay(spark, rows):
+    some = [(i, host, service, ts, bad, None if i % 5 == 0 else port, None if i % 7 == 0 else source) for i, host, service, ts, bad, port, source in rows]
+    df = spark.createDataFrame(some, "id int, host int, service string, ts timestamp, bad boolean, port int, source int").repartition(4)
+    found = {r.id: r for r in hundred_connection_features(df, "host", "service", "ts", "id", source_port="port", source="source", last=10, block_rows=10).collect()}
+    assert len(found) == len(some)
+    ordered = sorted(some, key=lambda r: (r[3], r[0]))
+    for host in range(5):
+        mine = [r for r in ordered if r[1] == host]
+        for k, (i, _, service, _, _, port, source) in enumerate(mine):
+            last = mine[max(0, k - 9): k + 1]
+            same = [r for r in last if r[2] == service]
+            assert near(found[i].dst_host_same_src_port_rate, sum(r[5] == port for r in last) / len(last))
+            assert near(found[i].dst_host_srv_diff_host_rate, 1 - sum(r[6] == source for r in same) / len(same))

@@ -41,7 +41,7 @@ def _on_known(df: DataFrame, needed: list[str], build: Callable[[DataFrame], Dat
 
 
 def trailing_range(df: DataFrame, keys: list[str], position: str, reach: int, block: int, measures: Measures) -> DataFrame:
-    """Add sums of the measures over rows of the same key with position in [p - reach, p]."""
+    """Add sums of the measures over rows of the same key with position in [p - reach, p]; NULL keys are equal."""
     names, place = list(measures), [*keys, "_block"]
     taken = _with_context(df.select(*keys, position, *[m.alias(n) for n, m in measures.items()]), position, reach, block)
     cells = taken.groupBy(*place, position).agg(*[F.sum(n).alias(n) for n in names], F.min("_context").alias("_context"))
@@ -54,7 +54,10 @@ def trailing_range(df: DataFrame, keys: list[str], position: str, reach: int, bl
     frames = summed.groupBy(*place, position).agg(
         *[F.sum(F.when(F.col("_kind") == 1, F.col(n)).otherwise(-F.col(n))).alias(n) for n in names], F.count("*").alias("_n"),
     ).where("_n = 2").drop("_n", "_block")
-    return df.join(frames, [*keys, position])
+    # Keys may be NULL (a connection without a port), so they are matched null-safely.
+    sums = frames.withColumnsRenamed({c: f"_of_{c}" for c in [*keys, position]})
+    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(sums[f"_of_{c}"]) for c in [*keys, position]])
+    return df.join(sums, same).select(*[df[c] for c in df.columns], *names)
 
 
 def two_second_features(
