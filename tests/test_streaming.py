@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import long_form
 from tidewatch.operators import drift
-from tidewatch.operators.batches import batch_incidents
+from tidewatch.operators.batches import batch_incidents, batch_verdict, route
 from tidewatch.operators.encode import linear_score, prepare_records
 from tidewatch.operators.service import service_metrics, window_counts
 from tidewatch.streaming import jobs
@@ -82,3 +82,31 @@ def test_repeats_leave_once(spark, table, stream):
     twice = source.withColumn("_n", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_n")
     jobs.dedup_stream(twice, ["event_id"], "ts", output, late="30 days").awaitTermination()
     assert rows(spark.read.parquet(f"{output}/data").select("event_id", "kind")) == rows(table.select("event_id", "kind"))
+
+
+def test_gate_of_batches_in_several_micro_batches(spark, table, stream):
+    source, output = stream
+    fields = {"value": "numeric", "kind": "categorical"}
+    # Copies of a row lie in different files; one bad cell of batch 'a' comes in the last file only.
+    batches = lambda df: df.select("event_id", F.when(F.col("event_id") % 2 == 0, "a").otherwise("b").alias("b"),
+                                   F.when(F.col("event_id") == 118, "99").when(F.col("event_id") % 5 > 0, "7").alias("value"), F.lit("ok").alias("kind"))
+    jobs.gate_stream(batches(source), fields, "event_id", "b", output, ["ok"], (0, 15)).awaitTermination()
+    found = jobs.gate_results(spark, output, fields, "event_id", "b")
+    whole = batches(table)
+    incidents = batch_incidents(whole, fields, "event_id", "b", ["ok"], (0, 15))
+    verdict = batch_verdict(whole, incidents, "b")
+    accepted, quarantine = route(whole, verdict, "b")
+    want = {"incidents": incidents, "verdict": verdict, "accepted": accepted, "quarantine": quarantine}
+    assert {k: rows(df.select(*want[k].columns)) for k, df in found.items()} == {k: rows(df) for k, df in want.items()}
+    assert accepted.count() == 60 and quarantine.count() == 60
+
+
+def test_drift_over_several_micro_batches(spark, table, stream):
+    source, output = stream
+    reference = long_form(table.where("event_id < 50"), ["value"])
+    edges = drift.reference_edges(reference)
+    expected = drift.bucket_shares(reference, edges, ["feature"])
+    jobs.drift_stream(long_form(source, ["value"], keep=["kind"]), edges, expected, ["kind"], output).awaitTermination()
+    found = {r.kind: r.psi for r in jobs.total_drift(spark, output, expected, ["kind"]).collect()}
+    want = {r.kind: r.psi for r in drift.psi_long(reference, long_form(table, ["value"], keep=["kind"]), ["kind"]).collect()}
+    assert len(found) == 3 and found == pytest.approx(want)

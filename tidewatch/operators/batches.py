@@ -60,12 +60,19 @@ def cell_incidents(
     return df.select(batch, F.inline(F.array_compact(F.array(*checks))))
 
 
-def batch_incidents(
-    df: DataFrame, expected: Mapping[str, str], row_id: str, batch: str,
-    allowed: Sequence[str] = v.PROTOCOLS, value_range: tuple[float, float] = v.VALUE_RANGE,
-) -> DataFrame:
-    """All incidents: schema, duplicates, missing values and bad cells, per batch."""
-    data_columns = [c for c in df.columns if c not in (row_id, batch)]
+def batch_counts(df: DataFrame, expected: Mapping[str, str], row_id: str, batch: str) -> DataFrame:
+    """(batch, one count of nulls per checked column); counts of parts of a batch add up."""
+    checked = [c for c in expected if c in df.columns and c not in (row_id, batch)]
+    return df.groupBy(batch).agg(F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in checked])
+
+
+def row_copies(df: DataFrame, row_id: str, batch: str) -> DataFrame:
+    """(batch, data columns, _n): how often each row occurs, whatever its id."""
+    return df.groupBy(batch, *[c for c in df.columns if c not in (row_id, batch)]).agg(F.count("*").alias("_n"))
+
+
+def counted_incidents(counts: DataFrame, copies: DataFrame, data_columns: Sequence[str], expected: Mapping[str, str], batch: str) -> DataFrame:
+    """Schema, missing values and duplicates, from the finished counts of each batch."""
     missing = [c for c in expected if c not in data_columns]
     extra = [c for c in data_columns if c not in expected]
 
@@ -74,21 +81,28 @@ def batch_incidents(
         whole.append(_incident("SCHEMA_ERROR", F.lit(v.INCIDENT_TEXT["SCHEMA_ERROR"] % missing)))
     if extra:
         whole.append(_incident("SCHEMA_MODIFICATION", F.lit(v.INCIDENT_TEXT["SCHEMA_MODIFICATION"] % extra)))
-    checked = [c for c in expected if c in data_columns]
-    nulls = {c: F.count_if(F.col(c).isNull()) for c in checked}
+    nulls = {c: F.col(f"_null_{c}") for c in expected if c in data_columns}
     whole += [
         F.when(n > 0, _incident("MISSING_VALUES", _say("MISSING_VALUES", F.lit(c), n), F.lit(c), value=n))
         for c, n in nulls.items()
     ]
-    per_batch = df.groupBy(batch).agg(F.array_compact(F.array(*whole)).alias("_found")).select(batch, F.inline("_found"))
+    per_batch = counts.select(batch, F.inline(F.array_compact(F.array(*whole)))) if whole else None
 
-    copies = df.groupBy(batch, *data_columns).agg((F.count("*") - 1).alias("_extra"))
-    extras = copies.groupBy(batch).agg(F.sum("_extra").alias("_extra")).where("_extra > 0")
+    extras = copies.groupBy(batch).agg(F.sum(F.col("_n") - 1).alias("_extra")).where("_extra > 0")
     duplicated = _incident("DUPLICATED_ROWS", _say("DUPLICATED_ROWS", F.col("_extra")), value=F.col("_extra"))
     duplicates = extras.select(batch, F.inline(F.array(duplicated)))
+    return duplicates if per_batch is None else per_batch.unionByName(duplicates)
+
 
+def batch_incidents(
+    df: DataFrame, expected: Mapping[str, str], row_id: str, batch: str,
+    allowed: Sequence[str] = v.PROTOCOLS, value_range: tuple[float, float] = v.VALUE_RANGE,
+) -> DataFrame:
+    """All incidents: schema, duplicates, missing values and bad cells, per batch."""
+    data_columns = [c for c in df.columns if c not in (row_id, batch)]
+    counted = counted_incidents(batch_counts(df, expected, row_id, batch), row_copies(df, row_id, batch), data_columns, expected, batch)
     cells = cell_incidents(df, expected, row_id, batch, allowed, value_range)
-    return per_batch.unionByName(duplicates).unionByName(cells)
+    return counted.unionByName(cells)
 
 
 def batch_verdict(batches: DataFrame, incidents: DataFrame, batch: str) -> DataFrame:

@@ -31,10 +31,10 @@ def reference_edges(reference: DataFrame, buckets: int = v.PSI_BUCKETS) -> DataF
     return materialize(quantiles.select("feature", F.array(*edges).alias("edges")))
 
 
-def bucket_shares(
+def bucket_counts(
     cells: DataFrame, edges: DataFrame, keys: list[str], buckets: int = v.PSI_BUCKETS, small: bool | None = None
 ) -> DataFrame:
-    """(keys…, n, shares): part of all clean values in each bucket; outside values in none.
+    """(keys…, n, _b0, _b1, …): clean values, and those in each bucket; outside values in none.
 
     The last bucket is closed. Empty buckets appear because every bucket is its own counter.
     """
@@ -44,12 +44,23 @@ def bucket_shares(
     binned = attach(cells, edges, ["feature"], "left", small).withColumn(
         "_bin", F.when(not_missing(value) & (value <= last), place)
     )
-    counted = binned.groupBy(*keys).agg(
+    return binned.groupBy(*keys).agg(
         F.count_if(not_missing(value)).alias("n"),
         *[F.count_if(F.col("_bin") == i).alias(f"_b{i}") for i in range(buckets)],
     )
+
+
+def shares_of(counts: DataFrame, keys: list[str], buckets: int = v.PSI_BUCKETS) -> DataFrame:
+    """(keys…, n, shares) of bucket counts."""
     shares = F.array(*[ratio(F.col(f"_b{i}"), F.col("n")) for i in range(buckets)])
-    return counted.select(*keys, "n", shares.alias("shares"))
+    return counts.select(*keys, "n", shares.alias("shares"))
+
+
+def bucket_shares(
+    cells: DataFrame, edges: DataFrame, keys: list[str], buckets: int = v.PSI_BUCKETS, small: bool | None = None
+) -> DataFrame:
+    """(keys…, n, shares): part of all clean values in each bucket."""
+    return shares_of(bucket_counts(cells, edges, keys, buckets, small), keys, buckets)
 
 
 def stability(expected: Column, actual: Column) -> Column:

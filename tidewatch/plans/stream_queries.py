@@ -14,12 +14,25 @@ from tidewatch.sources import views
 from tidewatch.sources.tables import read_table
 from tidewatch.streaming import jobs
 
+#: Micro-batches of the jobs whose groups reach over several of them.
+PARTS = 4
+
 
 def _events(spark, folder):
     schema = read_table(spark, folder, "events").schema
     return jobs.file_stream(spark, folder, schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _events_in_parts(spark, folder):
+    """The events as several files, dealt to PARTS micro-batches."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    files = max(PARTS, events.rdd.getNumPartitions())
+    parts = fresh_folder(spark, "parts")
+    events.repartition(files).write.parquet(parts)
+    stream = jobs.file_stream(spark, parts, read_table(spark, folder, "events").schema, files=-(-files // PARTS))
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def _finish(running):
     running.awaitTermination()
 
@@ -38,9 +51,9 @@ def stream_score(spark, folder):
 @query("stream_gate", batch._INCIDENTS)
 def stream_gate(spark, folder):
     output = fresh_folder(spark, "gate")
-    rows = batch.event_batches(_events(spark, folder))
+    rows = batch.event_batches(_events_in_parts(spark, folder))
     _finish(jobs.gate_stream(rows, batch.EXPECTED_FIELDS, "event_id", "batch", output, batch.KINDS, batch.AMOUNTS))
-    return spark.read.parquet(f"{output}/incidents").drop("micro")
+    return jobs.gate_results(spark, output, batch.EXPECTED_FIELDS, "event_id", "batch")["incidents"]
 
 
 @query("stream_drift", f"""
@@ -51,9 +64,9 @@ def stream_drift(spark, folder):
     reference = long_form(views.events(spark, folder).where(F.dayofmonth("ts") <= 7), features)
     edges = drift.reference_edges(reference)
     expected = drift.bucket_shares(reference, edges, ["feature"])
-    weekly = _events(spark, folder).withColumn("week", F.floor((F.dayofmonth("ts") - 1) / 7))
+    weekly = _events_in_parts(spark, folder).withColumn("week", F.floor((F.dayofmonth("ts") - 1) / 7))
     _finish(jobs.drift_stream(long_form(weekly, features, keep=["week"]), edges, expected, ["week"], output))
-    return shown(spark.read.parquet(f"{output}/data").drop("micro"))
+    return shown(jobs.total_drift(spark, output, expected, ["week"]))
 
 
 @query("stream_metrics", batch.HOURLY_SQL)
