@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.storage import fresh_folder
-from tidewatch.llm import decontaminate, licenses, near_duplicates, packing, quality_classifier as quality, quality_rules as rules, secrets, sql, suffix_dedup, token_files, toxicity
+from tidewatch.llm import bpe_automaton, decontaminate, licenses, near_duplicates, packing, quality_classifier as quality, quality_rules as rules, secrets, sql, suffix_dedup, token_files, toxicity
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -81,3 +81,10 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_suffix_dedup")
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.removed(documents(spark, folder).select("doc_id", "text")))
+
+
+@query("op12_bpe_automaton")
+def op12_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer("byte_bpe_50k.json")
+    ids = bpe_automaton.encode(documents(spark, folder).select("doc_id", "text"), path)
+    return bpe_automaton.digest(bpe_automaton.decode(ids, path), path)
