@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.storage import fresh_folder
-from tidewatch.llm import bpe_automaton, decontaminate, licenses, near_duplicates, packing, quality_classifier as quality, quality_rules as rules, secrets, sql, suffix_dedup, token_files, toxicity
+from tidewatch.llm import bpe_automaton, decontaminate, lexical_search, licenses, near_duplicates, packing, quality_classifier as quality, quality_rules as rules, secrets, sql, suffix_dedup, token_files, toxicity
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -88,3 +88,9 @@ def op12_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer("byte_bpe_50k.json")
     ids = bpe_automaton.encode(documents(spark, folder).select("doc_id", "text"), path)
     return bpe_automaton.digest(bpe_automaton.decode(ids, path), path)
+
+
+@query("op13_lexical_search", sql.LEXICAL_SEARCH)
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text")
+    return lexical_search.search(documents(spark, folder).select("doc_id", "text"), items)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidewatch.llm import quality_rules as rules
 from tidewatch.llm.common import ALNUM_WORD, BLANK_WORD
 from tidewatch.llm.decontaminate import WINDOW
+from tidewatch.llm.lexical_search import TOP
 
 
 def quality_sql(table: str, keep: list[rules.Rule] = rules.RULES) -> str:
@@ -37,9 +38,13 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 QUALITY_RULES = quality_sql("documents")
 
 
+#: Words of letters and digits, A-Z lowered.
+LOWERED_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{ALNUM_WORD}')"
+
+
 def contamination_sql(table: str) -> str:
     """Words, hits and items of every row of `table` (doc_id, text) against `benchmark`."""
-    words = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{ALNUM_WORD}')"
+    words = LOWERED_WORDS
     return f"""
 WITH c_items AS (
   SELECT item_id, w, least(len(w), {WINDOW}) AS n FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) > 0
@@ -63,3 +68,24 @@ FROM c_docs LEFT JOIN c_covered USING (doc_id) LEFT JOIN c_found USING (doc_id)"
 
 
 CONTAMINATION = contamination_sql("documents")
+
+#: The best documents of every row of `benchmark`.
+LEXICAL_SEARCH = f"""
+WITH s_docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, {LOWERED_WORDS} AS words FROM documents
+), s_all AS (
+  SELECT count(*) FILTER (len(words) > 0)::BIGINT AS docs, sum(len(words))::BIGINT AS terms FROM s_docs
+), s_items AS (
+  SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, unnest({LOWERED_WORDS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+), s_counts AS (
+  SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(words) AS n, unnest(words) AS term FROM s_docs)
+  WHERE term IN (SELECT term FROM s_items) GROUP BY ALL
+), s_weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM s_counts, s_all GROUP BY term, docs
+), s_parts AS (
+  SELECT rid, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))) AS part FROM s_counts JOIN s_weights USING (term), s_all
+), s_scores AS (
+  SELECT item_id, rid, doc_id, sum(repeats * part)::BIGINT AS score FROM s_items JOIN s_parts USING (term) GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, rid) AS rank FROM s_scores WHERE score > 0) WHERE rank <= {TOP}"""
