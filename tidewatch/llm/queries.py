@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.storage import fresh_folder
-from tidewatch.llm import bpe_automaton, decontaminate, lexical_search, licenses, near_duplicates, packing, quality_classifier as quality, quality_rules as rules, secrets, sql, suffix_dedup, token_files, toxicity
+from tidewatch.llm import bpe_automaton, decontaminate, lexical_search, licenses, near_duplicates, packing, prefix_trie, quality_classifier as quality, quality_rules as rules, secrets, sql, suffix_dedup, token_files, toxicity
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -94,3 +94,9 @@ def op12_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     items = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text")
     return lexical_search.search(documents(spark, folder).select("doc_id", "text"), items)
+
+
+@query("op11_prefix_trie", sql.PREFIX_TRIE)
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return prefix_trie.trie(prefix_trie.shared_heads(prefix_trie.sequences(turns)))

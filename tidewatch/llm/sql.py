@@ -89,3 +89,28 @@ WITH s_docs AS (
 )
 SELECT item_id, rank::INTEGER AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, rid) AS rank FROM s_scores WHERE score > 0) WHERE rank <= {TOP}"""
+
+#: Every node of the prefix trie of `conversations`; crc32 is spelled out bit by bit.
+PREFIX_TRIE = """
+WITH t_ids AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)
+), t_own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS s FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), t_built AS (
+  SELECT a.conv_id AS c, list_concat(coalesce(b.s, [])[1 : h], a.s[h + 1 : len(a.s)]) AS s
+  FROM t_own a JOIN t_ids USING (conv_id) LEFT JOIN t_own b ON b.conv_id = a.conv_id - a.conv_id % 5
+), t_nodes AS (
+  SELECT d, s[1 : d] AS p, min(c) AS conv_id, count(*) AS n, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d), '') AS ends
+  FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM t_built) GROUP BY d, s[1 : d]
+), t_children AS (
+  SELECT p[1 : d - 1] AS p, count(*) AS k FROM t_nodes WHERE d > 0 GROUP BY p[1 : d - 1]
+), t_sized AS (
+  SELECT t_nodes.*, coalesce(k, 0) AS k, CASE WHEN d = 0 THEN 0 ELSE (n - 1) * strlen(p[d].t) END AS saved FROM t_nodes LEFT JOIN t_children USING (p)
+), t_below AS (
+  SELECT p[1 : u] AS p, sum(saved) AS saved, count(*) FILTER (k = 0) AS leaves FROM (SELECT *, unnest(range(d + 1)) AS u FROM t_sized) GROUP BY p[1 : u]
+)
+SELECT a.conv_id, a.d::BIGINT AS depth, b.conv_id AS parent_conv_id, a.n::BIGINT AS n_convs, a.k::BIGINT AS n_children, t_below.leaves::BIGINT AS n_leaves,
+  t_below.saved::BIGINT AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM t_sized a JOIN t_below USING (p) LEFT JOIN t_nodes b ON a.d > 0 AND b.p = a.p[1 : a.d - 1] AND b.d = a.d - 1"""
