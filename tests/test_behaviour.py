@@ -1,12 +1,17 @@
-"""Block-wise windows against brute force, with a host holding half the rows and bursts of equal times."""
+"""Windows by running sums against brute force, with a host holding half the rows and bursts of equal times."""
 
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.functions.prefix import in_cells, running_number
+from tidewatch.functions.storage import shared_folder
 from tidewatch.operators.behaviour import hundred_connection_features, two_second_features
+from tidewatch.plans.catalogue import QUERIES
+from tidewatch.sources import views
 
 
 @pytest.fixture(scope="module")
@@ -32,8 +37,9 @@ def near(a, b):
     return a == pytest.approx(b, abs=1e-12)
 
 
-def test_last_seconds(df, rows):
-    result = two_second_features(df, "host", "service", "ts", F.col("bad"), ~F.col("bad"), seconds=2, block_seconds=5)
+@pytest.mark.parametrize("cells", [None, 1, 40])
+def test_last_seconds(df, rows, cells):
+    result = two_second_features(df, "host", "service", "ts", F.col("bad"), ~F.col("bad"), seconds=2, cells=cells)
     found = {r.id: r for r in result.collect()}
     assert len(found) == 602 and found[1000]["count"] is None and found[1001]["count"] is None
     for i, host, service, ts, *_ in rows:
@@ -49,11 +55,11 @@ def test_last_seconds(df, rows):
         assert near(row.srv_diff_host_rate, 1 - len(both) / len(same_service))
 
 
-@pytest.mark.parametrize("block_rows, block_seconds", [(10, 3), (10_000, 86_400)])
-def test_last_connections(df, rows, block_rows, block_seconds):
+@pytest.mark.parametrize("cells", [None, 1, 40])
+def test_last_connections(df, rows, cells):
     result = hundred_connection_features(
         df, "host", "service", "ts", "id", F.col("bad"), source_port="port", source="source",
-        last=10, block_rows=block_rows, block_seconds=block_seconds,
+        last=10, cells=cells,
     )
     found = {r.id: r for r in result.collect()}
     assert len(found) == 602 and found[1000].dst_host_count is None
@@ -71,15 +77,36 @@ def test_last_connections(df, rows, block_rows, block_seconds):
             assert near(row.dst_host_srv_diff_host_rate, 1 - sum(r[6] == source for r in same) / len(same))
 
 
-def test_block_shorter_than_window_is_refused(df):
-    with pytest.raises(ValueError):
-        two_second_features(df, "host", "service", "ts", seconds=10, block_seconds=5)
+@pytest.mark.parametrize("name", ["window_2s_counts", "window_100_rates"])
+def test_plans_stay_flat(spark, folder, name):
+    """The input is scanned for the base and for the join, known and unknown rows apart; nothing doubles."""
+    events = views.events(spark, folder)
+    before = len(stored_tables(spark))
+    result = QUERIES[name](spark, folder)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") <= 3 and plan.count("Relation") <= 4, plan
+    assert len(stored_tables(spark)) - before <= 2
+    assert result.count() == events.count()
+
+
+def stored_tables(spark):
+    return list(Path(shared_folder(spark)).glob("table-*"))
+
+
+def test_cells_split_a_hot_key(spark):
+    """A host with two thirds of all rows: no cell holds more than its share, and numbers are those of one order."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 50).alias("host"), (F.col("id") * 7919 % 30_011).alias("ts"), "id")
+    cut = in_cells(df, ["host", "ts", "id"], 16)
+    sizes = [r["count"] for r in cut.groupBy("_cell").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * 30_000 / 16
+    numbered = running_number(df, ["host", "ts", "id"], "k", 16).orderBy("host", "ts", "id").collect()
+    assert [r.k for r in numbered] == list(range(1, 30_001))
 
 
 def test_connections_without_port_or_source_stay(spark, rows):
     some = [(i, host, service, ts, bad, None if i % 5 == 0 else port, None if i % 7 == 0 else source) for i, host, service, ts, bad, port, source in rows]
     df = spark.createDataFrame(some, "id int, host int, service string, ts timestamp, bad boolean, port int, source int").repartition(4)
-    found = {r.id: r for r in hundred_connection_features(df, "host", "service", "ts", "id", source_port="port", source="source", last=10, block_rows=10).collect()}
+    found = {r.id: r for r in hundred_connection_features(df, "host", "service", "ts", "id", source_port="port", source="source", last=10).collect()}
     assert len(found) == len(some)
     ordered = sorted(some, key=lambda r: (r[3], r[0]))
     for host in range(5):

@@ -1,37 +1,29 @@
 """Trailing-window features of a connection: the last seconds, and the last connections per host.
 
-A host or service may hold a large part of all rows, so no window is partitioned by it
-alone. Time (or the running number) is cut into blocks; each block also receives the few
-earlier rows its first frames reach back to, and those helper rows are dropped afterwards.
-Inside a block, rows at one position are summed first; then a frame is the running sum up to
-its end less the running sum before its start. So a block costs one sort and one pass, however
-many rows a frame holds.
+A host or service may hold a large part of all rows, so nothing is partitioned by it. Every row
+enters one long table of marks, for each kind of frame (host; service; host and service; ...): a
+mark where its frame starts, one with what it adds, and where needed one where its frame ends. The table
+is ordered by kind, key and position, running sums go over that order in cells of equal size
+(`functions.prefix`), and a frame is the sum at its end less the sum at its start: two rows of one key
+have nothing but that key's rows between them.
+
+The input is read twice: once for the keys, positions and measures, and once for the join
+that adds all features at the same time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from tidewatch.functions.prefix import running_number, running_sums
 from tidewatch.functions.scalars import ratio
 
 MICROS = 1_000_000
-Measures = Mapping[str, Column]
-
-
-def _with_context(df: DataFrame, position: str, reach: int, block: int) -> DataFrame:
-    """Send each row to its block, and to the next one when frames there still reach it."""
-    if reach > block:
-        raise ValueError("a block must be at least as long as the window")
-    own = F.floor(F.col(position) / block).cast("long")
-    tail = (own + 1) * block - F.col(position) <= reach
-    homes = F.array_compact(F.array(
-        F.struct(own.alias("_block"), F.lit(False).alias("_context")),
-        F.when(tail, F.struct((own + 1).alias("_block"), F.lit(True).alias("_context"))),
-    ))
-    return df.select("*", F.inline(homes))
+#: Order of the marks at one position: a frame's start, what a row adds, a frame's end.
+START, ADDS, END = 0, 1, 2
 
 
 def _on_known(df: DataFrame, needed: list[str], build: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -40,131 +32,102 @@ def _on_known(df: DataFrame, needed: list[str], build: Callable[[DataFrame], Dat
     return build(df.where(known)).unionByName(df.where(~known), allowMissingColumns=True)
 
 
-def trailing_range(df: DataFrame, keys: list[str], position: str, reach: int, block: int, measures: Measures) -> DataFrame:
-    """Add sums of the measures over rows of the same key with position in [p - reach, p]; NULL keys are equal."""
-    names, place = list(measures), [*keys, "_block"]
-    taken = _with_context(df.select(*keys, position, *[m.alias(n) for n, m in measures.items()]), position, reach, block)
-    cells = taken.groupBy(*place, position).agg(*[F.sum(n).alias(n) for n in names], F.min("_context").alias("_context"))
-    # A mark just before the frame's start (kind 0) stands ahead of the rows at its place (kind 1).
-    none = [F.lit(0).cast("long").alias(n) for n in names]
-    marks = cells.where(~F.col("_context")).select(*place, position, (F.col(position) - reach).alias("_at"), F.lit(0).alias("_kind"), *none)
-    steps = cells.select(*place, position, F.col(position).alias("_at"), F.lit(1).alias("_kind"), *names).unionByName(marks)
-    running = Window.partitionBy(*place).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summed = steps.select(*place, position, "_kind", *[F.sum(n).over(running).alias(n) for n in names])
-    frames = summed.groupBy(*place, position).agg(
-        *[F.sum(F.when(F.col("_kind") == 1, F.col(n)).otherwise(-F.col(n))).alias(n) for n in names], F.count("*").alias("_n"),
-    ).where("_n = 2").drop("_n", "_block")
-    # Keys may be NULL (a connection without a port), so they are matched null-safely.
-    sums = frames.withColumnsRenamed({c: f"_of_{c}" for c in [*keys, position]})
-    same = reduce(lambda a, b: a & b, [df[c].eqNullSafe(sums[f"_of_{c}"]) for c in [*keys, position]])
-    return df.join(sums, same).select(*[df[c] for c in df.columns], *names)
+def frame_sums(
+    base: DataFrame, rows: Sequence[str], kinds: Mapping[str, Sequence[str]], position: str, reach: int,
+    measures: Sequence[str], peers: bool, cells: int | None = None,
+) -> DataFrame:
+    """Sums of the measures over each row's frames: (rows…, `<kind>_<measure>`…), one row for each of `base`.
+
+    A kind's frame holds the rows of `base` equal in the kind's columns (NULL equals NULL) with a position in
+    [p - reach, p]. `rows` tell the rows of `base` apart. `peers`: several rows of a key may share a position.
+    """
+    keys = sorted({c for columns in kinds.values() for c in columns})
+    at = F.col(position)
+    tags = [(START, at - reach), (ADDS, at), (END, at)] if peers else [(START, at - reach), (ADDS, at)]
+    marks = [
+        F.struct(
+            F.lit(k).alias("_kind"), *[(F.col(c) if c in columns else F.lit(None).cast(base.schema[c].dataType)).alias(f"_key_{c}") for c in keys],
+            where.alias("_at"), F.lit(tag).alias("_tag"), *[(F.col(m) if tag == ADDS else F.lit(0)).cast("long").alias(f"_sum_{m}") for m in measures],
+        )
+        for k, columns in enumerate(kinds.values()) for tag, where in tags
+    ]
+    table = base.select(*rows, F.inline(F.array(*marks)))
+    order = ["_kind", *[f"_key_{c}" for c in keys], "_at", "_tag", *(rows if peers else [])]
+    summed = running_sums(table, order, [f"_sum_{m}" for m in measures], cells)
+    last = END if peers else ADDS
+    signed = lambda k, m: F.when((F.col("_kind") == k) & (F.col("_tag") == last), F.col(f"_sum_{m}")).when(
+        (F.col("_kind") == k) & (F.col("_tag") == START), -F.col(f"_sum_{m}"))
+    return summed.where(F.col("_tag").isin(START, last)).groupBy(*rows).agg(
+        *[F.sum(signed(k, m)).alias(f"{kind}_{m}") for k, kind in enumerate(kinds) for m in measures])
+
+
+def _flag(condition: Column | None) -> Column:
+    """1 where the condition holds; unknown counts as 0."""
+    return F.coalesce(condition, F.lit(False)).cast("int") if condition is not None else F.lit(0)
 
 
 def two_second_features(
     df: DataFrame, host: str, service: str, ts: str,
     syn_error: Column | None = None, rejected: Column | None = None,
-    seconds: int = 2, block_seconds: int | None = None,
+    seconds: int = 2, cells: int | None = None,
 ) -> DataFrame:
-    """The nine same-host / same-service columns over the last `seconds` (current row included)."""
+    """The nine same-host / same-service columns over the last `seconds` (current row included).
+
+    Connections of one host and service at one instant share their frames, so they are summed first.
+    """
     def build(known: DataFrame) -> DataFrame:
-        return _two_second(known, host, service, ts, syn_error, rejected, seconds, block_seconds)
+        instant = F.unix_micros(F.col(ts).cast("timestamp"))
+        rows = ["_host", "_service", "_t"]
+        base = known.select(
+            F.col(host).alias("_host"), F.col(service).alias("_service"), instant.alias("_t"), _flag(syn_error).alias("syn"), _flag(rejected).alias("rej")
+        ).groupBy(*rows).agg(F.count("*").alias("n"), F.sum("syn").alias("syn"), F.sum("rej").alias("rej"))
+        kinds = {"_h": ["_host"], "_s": ["_service"], "_b": ["_host", "_service"]}
+        sums = frame_sums(base, rows, kinds, "_t", seconds * MICROS, ["n", "syn", "rej"], True, cells)
+        n, m, both = F.col("_h_n"), F.col("_s_n"), F.col("_b_n")
+        features = {
+            "count": n, "srv_count": m,
+            "serror_rate": ratio(F.col("_h_syn"), n), "srv_serror_rate": ratio(F.col("_s_syn"), m),
+            "rerror_rate": ratio(F.col("_h_rej"), n), "srv_rerror_rate": ratio(F.col("_s_rej"), m),
+            "same_srv_rate": ratio(both, n), "diff_srv_rate": 1.0 - ratio(both, n), "srv_diff_host_rate": 1.0 - ratio(both, m),
+        }
+        named = sums.select(*rows, *[c.alias(name) for name, c in features.items()])
+        same = (known[host] == named["_host"]) & (known[service] == named["_service"]) & (instant == named["_t"])
+        return known.join(named, same).select(*[known[c] for c in known.columns], *features)
 
     return _on_known(df, [host, service, ts], build)
 
 
-def _two_second(
-    df: DataFrame, host: str, service: str, ts: str, syn_error: Column | None, rejected: Column | None,
-    seconds: int, block_seconds: int | None,
-) -> DataFrame:
-    reach = seconds * MICROS
-    block = (block_seconds or max(600, 2 * seconds)) * MICROS
-    base = df.withColumns({
-        "_t": F.unix_micros(F.col(ts).cast("timestamp")),
-        "_syn": (syn_error if syn_error is not None else F.lit(False)).cast("int"),
-        "_rej": (rejected if rejected is not None else F.lit(False)).cast("int"),
-    })
-    rows = F.lit(1)
-    by_host = trailing_range(base, [host], "_t", reach, block, {"count": rows, "_hs": F.col("_syn"), "_hr": F.col("_rej")})
-    by_service = trailing_range(by_host, [service], "_t", reach, block, {"srv_count": rows, "_ss": F.col("_syn"), "_sr": F.col("_rej")})
-    both = trailing_range(by_service, [host, service], "_t", reach, block, {"_same": rows})
-    same = ratio(F.col("_same"), F.col("count"))
-    return both.withColumns({
-        "serror_rate": ratio(F.col("_hs"), F.col("count")),
-        "srv_serror_rate": ratio(F.col("_ss"), F.col("srv_count")),
-        "rerror_rate": ratio(F.col("_hr"), F.col("count")),
-        "srv_rerror_rate": ratio(F.col("_sr"), F.col("srv_count")),
-        "same_srv_rate": same,
-        "diff_srv_rate": 1.0 - same,
-        "srv_diff_host_rate": 1.0 - ratio(F.col("_same"), F.col("srv_count")),
-    }).drop("_t", "_syn", "_rej", "_hs", "_hr", "_ss", "_sr", "_same")
-
-
-def running_number(df: DataFrame, key: str, ts: str, row_id: str, block_seconds: int, output: str) -> DataFrame:
-    """0-based number of each row within its key by (ts, row_id), without gathering a key.
-
-    Rows are numbered inside time blocks; block sizes are added up per key over the much
-    smaller table of blocks. Window and join share one partitioning by (key, block).
-    """
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    cut = df.withColumn("_block", F.floor(micros / (block_seconds * MICROS)).cast("long"))
-    inside = Window.partitionBy(key, "_block").orderBy(ts, row_id)
-    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(key, "_block").agg(F.count("*").alias("_n"))
-        .select(key, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    )
-    numbered = cut.withColumn("_local", F.row_number().over(inside) - 1)
-    return numbered.join(offsets, [key, "_block"]).withColumn(
-        output, F.col("_offset") + F.col("_local")
-    ).drop("_block", "_local", "_offset")
-
-
 def hundred_connection_features(
     df: DataFrame, host: str, service: str, ts: str, row_id: str,
     syn_error: Column | None = None, rejected: Column | None = None,
     source_port: str | None = None, source: str | None = None,
-    last: int = 100, block_rows: int = 10_000, block_seconds: int = 86_400,
+    last: int = 100, cells: int | None = None,
 ) -> DataFrame:
     """The dst_host_* columns over the last `last` connections to the host (current row included).
 
-    Counting those with the same service is a range frame over the running number, since the
-    number says which of the host's connections are recent enough.
+    All rows are numbered by (host, ts, row_id) first; the number says which of a host's connections
+    are recent enough, for every kind of frame. `row_id` must tell rows apart; rows without one keep NULL features.
     """
     def build(known: DataFrame) -> DataFrame:
-        return _hundred(
-            known, host, service, ts, row_id, syn_error, rejected, source_port, source, last, block_rows, block_seconds
+        extra = {"_port": source_port, "_source": source}
+        base = known.select(
+            F.col(row_id).alias("_row"), F.col(host).alias("_host"), F.col(service).alias("_service"), F.col(ts).alias("_ts"),
+            *[F.col(c).alias(name) for name, c in extra.items() if c is not None], F.lit(1).alias("n"), _flag(syn_error).alias("syn"), _flag(rejected).alias("rej"),
         )
-
-    return _on_known(df, [host, service, ts], build)
-
-
-def _hundred(
-    df: DataFrame, host: str, service: str, ts: str, row_id: str, syn_error: Column | None, rejected: Column | None,
-    source_port: str | None, source: str | None, last: int, block_rows: int, block_seconds: int,
-) -> DataFrame:
-    base = df.withColumns({
-        "_syn": (syn_error if syn_error is not None else F.lit(False)).cast("int"),
-        "_rej": (rejected if rejected is not None else F.lit(False)).cast("int"),
-    })
-    numbered = running_number(base, host, ts, row_id, block_seconds, "_k")
-    reach = last - 1
-    rows = F.lit(1)
-    frames = lambda keys, added, frame: trailing_range(frame, keys, "_k", reach, block_rows, added)
-    by_host = frames([host], {"dst_host_count": rows, "_hs": F.col("_syn"), "_hr": F.col("_rej")}, numbered)
-    result = frames([host, service], {"dst_host_srv_count": rows, "_ss": F.col("_syn"), "_sr": F.col("_rej")}, by_host)
-    n, m = F.col("dst_host_count"), F.col("dst_host_srv_count")
-    columns = {
-        "dst_host_same_srv_rate": ratio(m, n),
-        "dst_host_diff_srv_rate": 1.0 - ratio(m, n),
-        "dst_host_serror_rate": ratio(F.col("_hs"), n),
-        "dst_host_srv_serror_rate": ratio(F.col("_ss"), m),
-        "dst_host_rerror_rate": ratio(F.col("_hr"), n),
-        "dst_host_srv_rerror_rate": ratio(F.col("_sr"), m),
-    }
-    if source_port is not None:
-        result = frames([host, source_port], {"_port": rows}, result)
-        columns["dst_host_same_src_port_rate"] = ratio(F.col("_port"), n)
-    if source is not None:
-        result = frames([host, service, source], {"_src": rows}, result)
-        columns["dst_host_srv_diff_host_rate"] = 1.0 - ratio(F.col("_src"), m)
-    return result.withColumns(columns).drop("_syn", "_rej", "_k", "_hs", "_hr", "_ss", "_sr", "_port", "_src")
+        numbered = running_number(base, ["_host", "_ts", "_row"], "_k", cells)
+        kinds = {"_h": ["_host"], "_s": ["_host", "_service"]}
+        kinds |= {"_p": ["_host", "_port"]} if source_port is not None else {}
+        kinds |= {"_d": ["_host", "_service", "_source"]} if source is not None else {}
+        sums = frame_sums(numbered, ["_row"], kinds, "_k", last - 1, ["n", "syn", "rej"], False, cells)
+        n, m = F.col("_h_n"), F.col("_s_n")
+        features = {
+            "dst_host_count": n, "dst_host_srv_count": m, "dst_host_same_srv_rate": ratio(m, n), "dst_host_diff_srv_rate": 1.0 - ratio(m, n),
+            "dst_host_serror_rate": ratio(F.col("_h_syn"), n), "dst_host_srv_serror_rate": ratio(F.col("_s_syn"), m),
+            "dst_host_rerror_rate": ratio(F.col("_h_rej"), n), "dst_host_srv_rerror_rate": ratio(F.col("_s_rej"), m),
+        }
+        features |= {"dst_host_same_src_port_rate": ratio(F.col("_p_n"), n)} if source_port is not None else {}
+        features |= {"dst_host_srv_diff_host_rate": 1.0 - ratio(F.col("_d_n"), m)} if source is not None else {}
+        named = sums.select("_row", *[c.alias(name) for name, c in features.items()])
+        return known.join(named, known[row_id] == named["_row"]).select(*[known[c] for c in known.columns], *features)
+
+    return _on_known(df, [host, service, ts, row_id], build)
