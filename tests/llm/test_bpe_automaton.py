@@ -10,7 +10,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tidewatch.llm import bpe_automaton
-from tidewatch.llm.bpe_automaton import Automaton, AutomatonEncoder
+from tidewatch.llm.bpe_automaton import Automaton, AutomatonEncoder, Labels
 from tidewatch.llm.queries import QUERIES
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,8 +76,7 @@ def encoded(texts):
     at = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
     encoder = AutomatonEncoder.of(FILE)
     ids, bounds = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), at)
-    back, cuts = encoder.label.written(ids, bounds)
-    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])], [back[a:b].decode() for a, b in zip(cuts[:-1], cuts[1:])]
+    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])], Labels.of(FILE).texts(ids, bounds)
 
 
 def library(texts):
@@ -106,7 +105,7 @@ def test_rows_and_queries(spark, folder, odd, odd_rows, nothing):
     assert sorted(map(tuple, QUERIES["op12_bpe_automaton"](spark, folder).collect())) == sorted(plain(*r) for r in docs)
     both = bpe_automaton.decode(bpe_automaton.encode(odd, FILE), FILE)
     assert sorted((str(r.doc_id), r.text) for r in both.collect()) == sorted((str(i), t or "") for i, t in odd_rows)
-    assert sorted(map(tuple, bpe_automaton.digest(both, FILE).collect()), key=str) == sorted((plain(*r) for r in odd_rows), key=str)
-    assert bpe_automaton.digest(bpe_automaton.decode(bpe_automaton.encode(nothing, FILE), FILE), FILE).count() == 0
+    assert sorted(map(tuple, bpe_automaton.round_trip(odd, FILE).collect()), key=str) == sorted((plain(*r) for r in odd_rows), key=str)
+    assert bpe_automaton.decode(bpe_automaton.encode(nothing, FILE), FILE).count() == bpe_automaton.round_trip(nothing, FILE).count() == 0
     broken = spark.createDataFrame([(1, bytearray(np.array([220, 128], "<u4").tobytes())), (2, None)], "doc_id long, ids binary")
     assert {r.doc_id: r.text for r in bpe_automaton.decode(broken, FILE).collect()} == {1: tokenizer.decode([220, 128], skip_special_tokens=False), 2: ""}

@@ -34,11 +34,12 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tidewatch.llm.common import importable, keyed, text_chunks
 from tidewatch.llm.tokens import Encoder
@@ -242,11 +243,7 @@ class AutomatonEncoder(Encoder):
         vocabulary = spec["model"]["vocab"]
         ids = {raw(s): i for s, i in vocabulary.items()}
         self.id_of = np.array([ids[label] for label in self.automaton.labels], np.uint32)
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.added = {t.content.encode(): i for i, t in added.items()}
-        labels = {int(i): label for i, label in zip(self.id_of, self.automaton.labels)} | {i: t.content.encode() for i, t in added.items()}
-        self.label = Labels([labels.get(i, b"") for i in range(max(labels) + 1)])
-        self.decimal = Labels([b"%d," % i for i in range(max(labels) + 1)])
+        self.added = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
 
     @classmethod
     def of(cls, path: str) -> "AutomatonEncoder":
@@ -306,6 +303,26 @@ class Labels:
         return raw.tobytes(), np.concatenate([[0], ends])[bounds]
 
 
+    @staticmethod
+    @cache
+    def of(path: str) -> "Labels":
+        """The arc labels of a vocabulary file by id; an id without one has none to write."""
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        letters = byte_letters()
+        labels = {i: bytes(letters[c] for c in s) for s, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        return Labels([labels.get(i, b"") for i in range(max(labels) + 1)])
+
+    @staticmethod
+    @cache
+    def decimal(size: int) -> "Labels":
+        return Labels([b"%d," % i for i in range(size)])
+
+    def texts(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        raw, cuts = self.written(ids, bounds)
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id and ids (unsigned 32-bit little-endian) of every whole text."""
 
@@ -324,11 +341,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     importable(encoded.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = AutomatonEncoder.of(path)
-        for rows, data, at in id_chunks(batches):
-            raw, bounds = encoder.label.written(data, at)
-            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+        labels = Labels.of(path)
+        for rows, ids, at in id_chunks(batches):
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(labels.texts(ids, at), pa.string())], ["doc_id", "ids", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, text string")
@@ -348,16 +363,21 @@ def id_chunks(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterato
             begin = stop
 
 
-def digest(decoded: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens and SHA-256 of the decimal ids joined by commas and of the decoded text."""
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, SHA-256 of the decimal ids joined by commas, and of the text that the ids spell.
+
+    Ids and texts stay in the task that made them; `encode` and `decode` return them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = AutomatonEncoder.of(path)
-        for rows, ids, at in id_chunks(batches):
-            raw, bounds = encoder.decimal.written(ids, at)
-            sums = [hashlib.sha256(raw[a : max(a, b - 1)]).hexdigest() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(at)), pa.array(sums), rows.column("decoded_sha256")], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        encoder, labels = AutomatonEncoder.of(path), Labels.of(path)
+        decimal = Labels.decimal(len(labels.begin) - 1)
+        for rows, data, at in text_chunks(batches):
+            ids, bounds = encoder.encode(data, at)
+            raw, cuts = decimal.written(ids, bounds)
+            spelled = [hashlib.sha256(raw[a : max(a, b - 1)]).hexdigest() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            decoded = [hashlib.sha256(text.encode()).hexdigest() for text in labels.texts(ids, bounds)]
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(np.diff(bounds)), pa.array(spelled), pa.array(decoded)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    kind = decoded.schema["doc_id"].dataType.simpleString()
-    hashed = decoded.select("doc_id", "ids", F.sha2("text", 256).alias("decoded_sha256"))
-    return hashed.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return keyed(docs).select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

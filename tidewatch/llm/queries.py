@@ -85,9 +85,7 @@ def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op12_bpe_automaton")
 def op12_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
-    path = tokenizer("byte_bpe_50k.json")
-    ids = bpe_automaton.encode(documents(spark, folder).select("doc_id", "text"), path)
-    return bpe_automaton.digest(bpe_automaton.decode(ids, path), path)
+    return bpe_automaton.round_trip(documents(spark, folder).select("doc_id", "text"), tokenizer("byte_bpe_50k.json"))
 
 
 @query("op13_lexical_search", sql.LEXICAL_SEARCH)
