@@ -131,3 +131,14 @@ def hundred_connection_features(
         return known.join(named, known[row_id] == named["_row"]).select(*[known[c] for c in known.columns], *features)
 
     return _on_known(df, [host, service, ts, row_id], build)
+
+
+def connection_features(
+    df: DataFrame, host: str, service: str, ts: str, row_id: str,
+    syn_error: Column | None = None, rejected: Column | None = None,
+    source_port: str | None = None, source: str | None = None,
+    seconds: int = 2, last: int = 100, cells: int | None = None,
+) -> DataFrame:
+    """Both sets of columns: the last seconds, and the last connections to the host."""
+    recent = two_second_features(df, host, service, ts, syn_error, rejected, seconds, cells)
+    return hundred_connection_features(recent, host, service, ts, row_id, syn_error, rejected, source_port, source, last, cells)

@@ -335,7 +335,7 @@ _LAST = "ORDER BY ts, event_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW"
 _RECENT = "ORDER BY k RANGE BETWEEN 99 PRECEDING AND CURRENT ROW"
 
 
-@query("window_100_rates", f"""
+LAST_SQL = f"""
     WITH k AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k, CASE WHEN value > 50 THEN 1 ELSE 0 END AS e,
                       CASE WHEN value < 5 THEN 1 ELSE 0 END AS r, event_id % 7 AS port, event_id % 4 AS source FROM events),
          w AS (SELECT event_id, count(*) OVER (PARTITION BY user_id {_LAST}) AS n, count(*) OVER (PARTITION BY user_id, event_type {_RECENT}) AS m,
@@ -345,7 +345,10 @@ _RECENT = "ORDER BY k RANGE BETWEEN 99 PRECEDING AND CURRENT ROW"
     SELECT event_id, n AS dst_host_count, m AS dst_host_srv_count, round(m / n, 6) AS dst_host_same_srv_rate, round(1 - m / n, 6) AS dst_host_diff_srv_rate,
            round(hs / n, 6) AS dst_host_serror_rate, round(ss / m, 6) AS dst_host_srv_serror_rate,
            round(hr / n, 6) AS dst_host_rerror_rate, round(sr / m, 6) AS dst_host_srv_rerror_rate,
-           round(sp / n, 6) AS dst_host_same_src_port_rate, round(1 - so / m, 6) AS dst_host_srv_diff_host_rate FROM w""")
+           round(sp / n, 6) AS dst_host_same_src_port_rate, round(1 - so / m, 6) AS dst_host_srv_diff_host_rate FROM w"""
+
+
+@query("window_100_rates", LAST_SQL)
 def window_100_rates(spark, folder):
     added = behaviour.hundred_connection_features(
         views.events(spark, folder).withColumns({"port": F.col("event_id") % 7, "source": F.col("event_id") % 4}),

@@ -12,7 +12,7 @@ from tidewatch.plans import monitoring_queries as batch
 from tidewatch.plans.registry import query, shown
 from tidewatch.sources import views
 from tidewatch.sources.tables import read_table
-from tidewatch.streaming import jobs
+from tidewatch.streaming import behaviour, jobs
 
 #: Micro-batches of the jobs whose groups reach over several of them.
 PARTS = 4
@@ -83,3 +83,32 @@ def stream_dedup(spark, folder):
     twice = _events(spark, folder).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
     _finish(jobs.dedup_stream(twice, ["event_id"], "ts", output))
     return spark.read.parquet(f"{output}/data").select("event_id", "event_type", "user_id")
+
+
+#: Longest delay of an event on its way into `stream_behaviour`; the watermark waits as long.
+DELAY_SECONDS = 7200
+
+
+def _delayed_events(spark, folder):
+    """Events as PARTS files in the order in which they arrive, each up to DELAY_SECONDS late."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(DELAY_SECONDS * 1_000_000))
+    arriving = events.withColumn("_arrival", arrival)
+    cuts = arriving.agg(F.percentile_approx("_arrival", [k / PARTS for k in range(1, PARTS)])).first()[0]
+    parts = fresh_folder(spark, "arrivals")
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        inside = (F.lit(True) if low is None else F.col("_arrival") > low) & (F.lit(True) if high is None else F.col("_arrival") <= high)
+        arriving.where(inside).drop("_arrival").coalesce(1).write.mode("append").parquet(parts)
+    stream = jobs.file_stream(spark, parts, read_table(spark, folder, "events").schema, files=1)
+    return stream.select("event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+
+
+@query("stream_behaviour", f"""
+    SELECT * FROM ({batch._range_sql("3600 SECONDS")}) JOIN ({batch.LAST_SQL}) USING (event_id)""")
+def stream_behaviour(spark, folder):
+    """The columns at scoring time, from state under a watermark: those of the whole table."""
+    output = fresh_folder(spark, "behaviour")
+    roles = behaviour.Behaviour("user_id", "event_type", "ts", "event_id", "value > 50", "value < 5", "port", "source", 3600)
+    stream = _delayed_events(spark, folder).withColumns({"port": F.col("event_id") % 7, "source": F.col("event_id") % 4})
+    _finish(behaviour.behaviour_stream(stream, roles, output, DELAY_SECONDS))
+    return shown(behaviour.behaviour_so_far(spark, output, roles).drop("ts", "user_id", "event_type", "value", "port", "source"))
