@@ -209,3 +209,47 @@ def test_service_risk_needs_support(spark):
     rows = [("hot", 1)] * 60 + [("rare", 1)] * 49 + [("calm", 0)] * 50
     df = spark.createDataFrame(rows, "service string, is_anomaly int")
     assert [r.service for r in explore.service_risk(df).collect()] == ["hot", "calm"]
+
+
+def test_nan_is_missing_without_a_reader(spark):
+    """Operators meet NaN in derived frames too: it is no gap in a rule, no largest value and no poison for sums."""
+    nan = float("nan")
+    rows = [(float(i % 5), float(i % 5) / 10, i, float(i)) for i in range(20)] + [(nan, nan, 20, 1000.0), (None, 0.1, 21, 3.0)]
+    df = spark.createDataFrame(rows, "a double, rate double, i int, big double")
+    assert {r["column"]: r.nulls for r in profile.null_profile(df).collect()} == {"a": 2, "rate": 1}
+    assert profile.total_nulls(df).first()[0] == 3
+    assert profile.impossible_values(df, ["a"], ["rate"]).count() == 0
+    assert profile.zscore_extremes(df, ["a", "rate"]).first().extreme_rows == 0
+    clean = df.where("NOT isnan(a) AND a IS NOT NULL")
+    skew = lambda frame: profile.skewness(frame, ["a"], limit=None).first().skewness
+    assert skew(df) == pytest.approx(skew(clean))
+    found = {(r.feature_a, r.feature_b): r.r for r in profile.correlation_pairs(df).collect()}
+    both = df.where("NOT isnan(a) AND NOT isnan(rate) AND a IS NOT NULL").toPandas()
+    assert found["a", "rate"] == pytest.approx(both["a"].corr(both["rate"]))
+    assert found["a", "big"] == pytest.approx(both["a"].corr(both["big"]))
+
+
+def test_correlations_need_one_pass(spark, tmp_path):
+    """Many columns with gaps: as pandas has it, and the data is read by one job (and its first rows by another)."""
+    import numpy as np
+    import pandas as pd
+
+    draw = np.random.default_rng(5)
+    data = pd.DataFrame(draw.normal(1e6, 1, (400, 14)).cumsum(axis=1), columns=[f"c{i}" for i in range(14)])
+    data = data.mask(draw.random(data.shape) < 0.2)
+    data["flat"] = 7.0
+    data["rare"] = np.where(np.arange(400) < 2, 1.0, np.nan)
+    path = str(tmp_path / "wide")
+    spark.createDataFrame(data.astype(object).where(data.notna(), None), ", ".join(f"{c} double" for c in data.columns)).repartition(4).write.parquet(path)
+    df = spark.read.parquet(path)
+    spark.sparkContext.setJobGroup("pairs", "correlation")
+    rows = {(r.feature_a, r.feature_b): r.r for r in profile.correlation_pairs(df).collect()}
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("pairs")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 5
+    want = data.corr()
+    names = [c for c in data.columns if c not in ("flat", "rare")]
+    for i, a in enumerate(names):
+        for b in names[i + 1:]:
+            assert rows[a, b] == pytest.approx(want.loc[a, b], abs=1e-9)
+    assert not any("flat" in p or "rare" in p for p in rows)

@@ -20,6 +20,11 @@ def not_missing(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value)
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """The column with NaN as NULL, so that aggregates and comparisons skip both."""
+    return F.nanvl(F.col(name), F.lit(None).cast(df.schema[name].dataType)) if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)) else F.col(name)
+
+
 def clean_label(label: Column) -> Column:
     """Undo a printed bytes literal (b'x.') and strip all trailing dots."""
     bare = F.replace(F.replace(text(label), F.lit("b'"), F.lit("")), F.lit("'"), F.lit(""))

@@ -9,16 +9,21 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewatch import vocabulary as v
 from tidewatch.functions.joins import attach
 from tidewatch.functions.ranks import exact_quantiles
-from tidewatch.functions.scalars import any_of, digested, long_form, numeric_columns, parse_number, ratio, text, text_columns
+from tidewatch.functions.scalars import any_of, digested, known, long_form, numeric_columns, parse_number, ratio, text, text_columns
 
-PAIR_BATCH = 40
+#: Rows looked at for a value near which sums of squares are taken.
+HEAD = 1000
+#: A variance under this part of the mean square is rounding.
+ROUNDING = 1e-12
 
 
 def per_column(df: DataFrame, measures: Mapping[str, Mapping[str, Column]], key: str = "column") -> DataFrame:
@@ -42,14 +47,14 @@ def share_pct(part: Column, whole: Column, digits: int) -> Column:
 
 
 def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Columns that hold nulls, with their counts."""
+    """Columns that hold missing values (NULL or NaN), with their counts."""
     names = columns or df.columns
-    counts = per_column(df, {c: {"nulls": F.count_if(F.col(c).isNull())} for c in names})
+    counts = per_column(df, {c: {"nulls": F.count_if(known(df, c).isNull())} for c in names})
     return counts.where("nulls > 0")
 
 
 def total_nulls(df: DataFrame) -> DataFrame:
-    cells = reduce(lambda a, b: a + b, [F.when(F.col(c).isNull(), 1).otherwise(0) for c in df.columns])
+    cells = reduce(lambda a, b: a + b, [F.when(known(df, c).isNull(), 1).otherwise(0) for c in df.columns])
     return df.agg(F.coalesce(F.sum(cells), F.lit(0)).cast("long").alias("total_null_cells"))
 
 
@@ -121,7 +126,8 @@ def type_profile(df: DataFrame, expected: Mapping[str, str] | None = None) -> Da
     for c, family in expected.items():
         if c not in actual:
             continue
-        stray = F.count_if(F.col(c).isNotNull() & parse_number(F.col(c)).isNull())
+        # A column known to be numeric holds numbers: nothing is printed and parsed again.
+        stray = F.lit(0).cast("long") if actual[c] == "numeric" else F.count_if(F.col(c).isNotNull() & parse_number(F.col(c)).isNull())
         measures[c] = {
             "expected": F.lit(family),
             "actual": F.lit(actual[c]),
@@ -151,14 +157,14 @@ def unexpected_categories(df: DataFrame, allowed: Mapping[str, Sequence] = v.ALL
 def impossible_values(
     df: DataFrame, non_negative: Sequence[str] = v.NON_NEGATIVE, rates: Sequence[str] = v.RATES
 ) -> DataFrame:
-    """Negative counts and rates outside [0, 1]; columns without any are left out."""
+    """Negative counts and rates outside [0, 1]; columns without any are left out, and NaN is missing, not out of range."""
     measures = {}
     for c in non_negative:
         if c in df.columns:
-            measures[f"{c}_negativos"] = {"rows": F.count_if(F.col(c) < 0)}
+            measures[f"{c}_negativos"] = {"rows": F.count_if(known(df, c) < 0)}
     for c in rates:
         if c in df.columns:
-            measures[f"{c}_fuera_de_[0,1]"] = {"rows": F.count_if((F.col(c) < 0) | (F.col(c) > 1))}
+            measures[f"{c}_fuera_de_[0,1]"] = {"rows": F.count_if((known(df, c) < 0) | (known(df, c) > 1))}
     return per_column(df, measures, key="finding").where("rows > 0")
 
 
@@ -215,7 +221,7 @@ def skewness(df: DataFrame, columns: list[str] | None = None, limit: float | Non
     names = columns or numeric_columns(df)
     measures = {}
     for c in names:
-        x = F.col(c).cast("double")
+        x = known(df, c).cast("double")
         n = F.count(x).cast("double")
         adjusted = F.sqrt(n * (n - 1)) / F.when(n > 2, n - 2) * F.skewness(x)
         measures[c] = {"skewness": F.when(F.min(x) == F.max(x), F.lit(0.0)).otherwise(adjusted)}
@@ -232,11 +238,11 @@ def zscore_extremes(
     """
     names = columns or numeric_columns(df, exclude=["is_anomaly"])
     moments = df.agg(F.struct(*[
-        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in names
+        F.struct(F.avg(known(df, c)).alias("mean"), F.stddev_pop(known(df, c)).alias("std")).alias(c) for c in names
     ]).alias("_moments"))
-    known = moments.scalar()
+    of = moments.scalar()
     far = any_of([
-        F.coalesce(F.abs(ratio(F.col(c) - known[c]["mean"], known[c]["std"])) > limit, F.lit(False)) for c in names
+        F.coalesce(F.abs(ratio(known(df, c) - of[c]["mean"], of[c]["std"])) > limit, F.lit(False)) for c in names
     ])
     hit = target if target is not None else F.lit(None).cast("int")
     flags = df.select(far.alias("_far"), (hit == 1).alias("_hit"))
@@ -253,52 +259,51 @@ def zscore_extremes(
 # Correlation -------------------------------------------------------------------------------
 
 
-def _pair_correlation(a: str, b: str) -> Column:
-    """Pearson r over rows where both are present; NULL when either is constant there."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    x, y = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-    return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+def gram_matrix(df: DataFrame, names: Sequence[str]) -> np.ndarray:
+    """M'M over rows (present, x, x * x) of the columns, x being the distance from a value of the column, 0 if missing.
+
+    One job over the data, whatever the number of columns and wherever they have gaps; 3k x 3k numbers reach the
+    driver. The distance keeps sums of squares small; any value near the bulk will do, so it
+    is looked up in the first rows only and decides no result.
+    """
+    middle = df.limit(HEAD).agg(*[F.percentile_approx(known(df, c).cast("double"), 0.5).alias(f"_{k}") for k, c in enumerate(names)]).first()
+    there = [F.when(known(df, c).isNotNull(), 1.0).otherwise(0.0) for c in names]
+    away = [F.coalesce(known(df, c).cast("double") - F.lit(float(middle[f"_{k}"] or 0)), F.lit(0.0)) for k, c in enumerate(names)]
+    cells = df.select(*[x.alias(f"_p{k}") for k, x in enumerate(there)], *[x.alias(f"_x{k}") for k, x in enumerate(away)])
+    vectors = cells.select(array_to_vector(F.array(
+        *[F.col(f"_p{k}") for k in range(len(names))], *[F.col(f"_x{k}") for k in range(len(names))],
+        *[F.col(f"_x{k}") * F.col(f"_x{k}") for k in range(len(names))])).alias("_row"))
+    rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "_row"), numCols=3 * len(names))
+    return rows.computeGramianMatrix().toArray()
+
+
+def _correlations(df: DataFrame, names: Sequence[str], pairs: Sequence[tuple[str, str]]) -> list[tuple[str, str, float | None]]:
+    """Pearson r of each pair over the rows where both are present; None when either is constant there."""
+    gram, k, at = gram_matrix(df, names), len(names), {c: i for i, c in enumerate(names)}
+    out = []
+    for a, b in pairs:
+        i, j = at[a], at[b]
+        n = gram[i, j]
+        sx, sy, sxx, syy, sxy = gram[k + i, j], gram[k + j, i], gram[2 * k + i, j], gram[2 * k + j, i], gram[k + i, k + j]
+        if n == 0:
+            out.append((a, b, None))
+            continue
+        vx, vy = sxx - sx * sx / n, syy - sy * sy / n
+        constant = vx <= ROUNDING * sxx or vy <= ROUNDING * syy
+        out.append((a, b, None if constant else float((sxy - sx * sy / n) / np.sqrt(vx * vy))))
+    return out
 
 
 def correlation_pairs(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(feature_a, feature_b, r) for the upper triangle.
+    """(feature_a, feature_b, r) for the upper triangle, without columns that hold one value only.
 
-    Columns without gaps go through one distributed matrix; a pair touching a column with
-    nulls is computed over its own complete rows. Only k x k numbers reach the driver.
+    Each pair counts its own complete rows; all come from one matrix of sums (`gram_matrix`).
     """
     names = columns or numeric_columns(df, exclude=["is_anomaly"])
-    spark = df.sparkSession
-    shape = df.agg(F.count("*").alias("n"), *[
-        F.struct(F.count(c).alias("n"), F.min(c).eqNullSafe(F.max(c)).alias("flat")).alias(f"c_{c}") for c in names
-    ]).first()
-    gaps = {c: shape[f"c_{c}"].n < shape.n for c in names}
-    flat = {c: shape[f"c_{c}"].flat for c in names}
-    dense = [c for c in names if not gaps[c] and not flat[c]]
-    order = {c: i for i, c in enumerate(names)}
-    found = []
-    if len(dense) > 1:
-        vectors = VectorAssembler(inputCols=dense, outputCol="_vector").transform(
-            df.select(*[F.col(c).cast("double").alias(c) for c in dense])
-        )
-        matrix = Correlation.corr(vectors.select("_vector"), "_vector").first()[0].toArray()
-        found = [
-            (a, b, float(matrix[i, j]))
-            for i, a in enumerate(dense) for j, b in enumerate(dense) if i < j
-        ]
-    schema = "feature_a string, feature_b string, r double"
-    parts = [spark.createDataFrame(found, schema)]
-    loose = [
-        (a, b) for a in names for b in names
-        if order[a] < order[b] and (a not in dense or b not in dense) and not flat[a] and not flat[b]
-    ]
-    for start in range(0, len(loose), PAIR_BATCH):
-        batch = loose[start:start + PAIR_BATCH]
-        structs = [
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), _pair_correlation(a, b).alias("r"))
-            for a, b in batch
-        ]
-        parts.append(df.agg(F.array(*structs).alias("_rows")).select(F.inline("_rows")))
-    return union_all(parts)
+    found = _correlations(df, names, [(a, b) for i, a in enumerate(names) for b in names[i:]]) if names else []
+    flat = {a for a, b, r in found if a == b and r is None}
+    rows = [(a, b, r) for a, b, r in found if a != b and not {a, b} & flat]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double")
 
 
 def correlated_pairs(df: DataFrame, columns: list[str] | None = None, limit: float = v.CORRELATION_LIMIT) -> DataFrame:
@@ -316,11 +321,11 @@ def strongest_pairs(pairs: DataFrame, limit: int = 10) -> DataFrame:
 
 
 def target_correlation(df: DataFrame, features: Sequence[str] = v.KEY_FEATURES, target: str = "is_anomaly") -> DataFrame:
-    """Correlation of each feature with the target, one aggregate; constants give NULL."""
+    """Correlation of each feature with the target, one pass over the data; constants give NULL."""
     present = [c for c in features if c in df.columns]
-    return per_column(df, {c: {"r": _pair_correlation(c, target)} for c in present}, key="feature").orderBy(
-        F.desc_nulls_last("r"), "feature"
-    )
+    found = _correlations(df, list(dict.fromkeys([*present, target])), [(c, target) for c in present]) if present else []
+    rows = df.sparkSession.createDataFrame([(c, r) for c, _, r in found], "feature string, r double")
+    return rows.orderBy(F.desc_nulls_last("r"), "feature")
 
 
 # Classes -----------------------------------------------------------------------------------

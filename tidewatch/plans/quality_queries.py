@@ -413,6 +413,31 @@ def nan_profile(spark, folder):
     return missing.unionByName(impossible.select(F.lit("impossible").alias("check"), F.col("finding").alias("column"), "rows"))
 
 
+_GAPS = "(SELECT event_id, event_type, CASE WHEN event_id % 50 <> 0 THEN value END AS value, CASE WHEN event_id % 30 <> 0 THEN user_id::DOUBLE END AS user_id FROM events)"
+
+
+@query("nan_derived", f"""
+    WITH m AS (SELECT avg(value) AS mv, stddev_pop(value) AS sv, avg(user_id) AS mu, stddev_pop(user_id) AS su FROM {_GAPS})
+    SELECT 'missing' AS "check", 'value' AS "column", count(*) FILTER (value IS NULL)::DOUBLE AS found FROM {_GAPS}
+    UNION ALL SELECT 'missing', 'user_id', count(*) FILTER (user_id IS NULL) FROM {_GAPS}
+    UNION ALL SELECT 'impossible', 'value_fuera_de_[0,1]', count(*) FILTER (value < 0 OR value > 1) FROM {_GAPS}
+    UNION ALL SELECT 'extreme', 'rows', count(*) FILTER (abs((value - mv) / sv) > 3 OR abs((user_id - mu) / su) > 3) FROM {_GAPS}, m
+    UNION ALL SELECT 'skewness', 'value', round(skewness(value), 6) FROM {_GAPS}
+    UNION ALL SELECT 'correlation', 'value', round(corr(value, user_id), 6) + 0.0 FROM {_GAPS}""")
+def nan_derived(spark, folder):
+    """NaN that comes up inside a plan is missing for every check, as if a reader had cleaned it."""
+    nan = lambda column, every: F.when(F.col("event_id") % every == 0, F.lit(float("nan"))).otherwise(F.col(column).cast("double")).alias(column)
+    events = read_table(spark, folder, "events").select("event_id", "event_type", nan("value", 50), nan("user_id", 30))
+    shown_as = lambda check, frame, column, found: frame.select(F.lit(check).alias("check"), column.alias("column"), F.col(found).cast("double").alias("found"))
+    return shown(profile.union_all([
+        shown_as("missing", profile.null_profile(events), F.col("column"), "nulls"),
+        shown_as("impossible", profile.impossible_values(events, [], ["value"]), F.col("finding"), "rows"),
+        shown_as("extreme", profile.zscore_extremes(events, ["value", "user_id"], limit=3), F.lit("rows"), "extreme_rows"),
+        shown_as("skewness", profile.skewness(events, ["value"], limit=None), F.col("feature"), "skewness"),
+        shown_as("correlation", profile.correlation_pairs(events, ["value", "user_id"]), F.col("feature_a"), "r"),
+    ]))
+
+
 @query("csv_roundtrip", """
     SELECT event_id, event_type, CASE WHEN event_id % 40 <> 0 THEN round(value, 6) END AS value, CASE WHEN event_id % 40 = 0 THEN 'n/a' END AS bad_value
     FROM events""")

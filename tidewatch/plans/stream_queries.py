@@ -48,6 +48,21 @@ def stream_score(spark, folder):
     return spark.read.parquet(f"{output}/data")
 
 
+@query("stream_nan", """
+    SELECT event_id, event_id % 50 <> 0 AND 1 / (1 + exp(-(0.02 * value - 1))) >= 0.5 AS anomaly,
+           round(1 / (1 + exp(-(CASE WHEN event_id % 50 = 0 THEN 0 ELSE 0.02::DOUBLE * value END - 1))), 4) AS anomaly_score FROM events""")
+def stream_nan(spark, folder):
+    """A stream over files with NaN scores them as missing (0), as the batch readers do."""
+    parts, output = fresh_folder(spark, "nan"), fresh_folder(spark, "score")
+    nan = F.when(F.col("event_id") % 50 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    events = read_table(spark, folder, "events").select("event_id", nan.alias("value"))
+    events.write.parquet(parts)
+    stream = jobs.file_stream(spark, parts, events.schema)
+    prepare = lambda df: df.withColumn("value", F.coalesce("value", F.lit(0.0)))
+    _finish(jobs.score_stream(stream, prepare, linear_score({"value": 0.02}, -1.0), "linear-2", ["event_id"], output))
+    return spark.read.parquet(f"{output}/data").select("event_id", "anomaly", "anomaly_score")
+
+
 @query("stream_gate", batch._INCIDENTS)
 def stream_gate(spark, folder):
     output = fresh_folder(spark, "gate")

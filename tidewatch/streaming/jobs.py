@@ -20,13 +20,14 @@ from tidewatch.operators.batches import batch_counts, batch_incidents, batch_ver
 from tidewatch.operators.drift import bucket_counts, drift_status, shares_of, stability
 from tidewatch.operators.encode import decide
 from tidewatch.operators.service import service_metrics, window_counts
+from tidewatch.sources.tables import nan_to_null
 
 BATCH = "_batch"
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.parquet", files: int = 1000) -> DataFrame:
-    """`files` bounds how many files make one micro-batch."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files).parquet(folder)
+    """NaN becomes NULL, as in the table readers. `files` bounds how many files make one micro-batch."""
+    return nan_to_null(spark.readStream.schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files).parquet(folder))
 
 
 def _stored(spark: SparkSession, folder: str) -> DataFrame:
