@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.functions.storage import fresh_folder
-from tidewatch.llm import bpe_automaton, decontaminate, lexical_search, licenses, near_duplicates, packing, prefix_trie, quality_classifier as quality, quality_rules as rules, secrets, sql, suffix_dedup, token_files, toxicity
+from tidewatch.llm import bpe_automaton, decontaminate, lexical_search, licenses, near_duplicates, packing, passages, prefix_trie, quality_classifier as quality, quality_rules as rules, secrets, sql, suffix_dedup, token_files, toxicity
 from tidewatch.llm.common import documents
 from tidewatch.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
@@ -80,7 +80,8 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op2_suffix_dedup")
 def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup.digest(suffix_dedup.removed(documents(spark, folder).select("doc_id", "text")))
+    docs = documents(spark, folder).select("doc_id", "text")
+    return suffix_dedup.digest(suffix_dedup.removed(docs), passages.shared(docs))
 
 
 @query("op12_bpe_automaton")

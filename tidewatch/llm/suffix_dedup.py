@@ -12,8 +12,10 @@ so suffixes are sorted one bucket at a time, and only those that can be tied at
    suffixes with a tied sample suffix within reach enter the second sort: bucket by bucket, by
    their SIZE bytes. A suffix whose key occurs twice starts a repeated string.
 
-Keys are 64-bit fingerprints of the bytes (polynomial, modulo 2**64, mixed), in buckets dealt by a
-second, independent fingerprint; a tie is equality of both. Copies of whole texts are set aside first: they are
+Suffixes are not ordered by their bytes: a suffix that carried its next bytes and ranks would move some fifty
+bytes for each byte of text. Keys are 62-bit fingerprints (polynomials modulo two primes, at bases drawn
+for each run), sorted inside buckets; a tie is equality of fingerprints, which two given strings of
+400 bytes have by chance once in 2**62 runs, and at most (400 / 2**31)**2 of the time if they were made for it. Copies of whole texts are set aside first: they are
 removed whole (from SIZE bytes on), and one of them stands for all in both sorts.
 
 Memory: a task holds one chunk of text or one bucket; the number of buckets follows the bytes of
@@ -26,6 +28,7 @@ Null text counts as empty. Repeated rows are copies of each other.
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 from itertools import product
 
@@ -58,29 +61,35 @@ def difference_cover(q: int) -> list[int]:
 
 
 COVER = np.array(difference_cover(FIELD))
-_draw = np.random.default_rng(77)
-_NUMBERS = _draw.integers(1, 2**63, (2, 256), dtype=np.uint64) | np.uint64(1)
-_BASES = [int(x) | 1 for x in _draw.integers(2**40, 2**63, 2, dtype=np.uint64)]
-_powers: dict[tuple[int, bool], np.ndarray] = {}
-
-
-def powers(k: int, n: int, inverse: bool = False) -> np.ndarray:
-    """Powers 0..n-1 of base k (or of its inverse) modulo 2**64; kept for the next chunk."""
-    found = _powers.get((k, inverse))
-    if found is None or len(found) < n:
-        base = pow(_BASES[k], -1, 2**64) if inverse else _BASES[k]
-        found = np.full(n, base, np.uint64)
-        found[0] = 1
-        found = _powers[k, inverse] = np.cumprod(found)
+#: Two primes under 2**31: products fit 64 bits, and so do sums over a chunk of up to 2**33 bytes.
+PRIMES = (2**31 - 1, 2**31 - 19)
+_powers: dict[tuple[int, int], np.ndarray] = {}
+
+
+def powers(base: int, prime: int, n: int) -> np.ndarray:
+    """Powers 0..n-1 of the base modulo the prime, by doubling; the last ones are kept for the next chunk."""
+    found = _powers.get((base, prime), np.ones(1, np.uint64))
+    while len(found) < n:
+        found = np.concatenate([found, found * np.uint64(pow(base, len(found), prime)) % np.uint64(prime)])
+    if (base, prime) not in _powers and len(_powers) >= 8:
+        _powers.clear()
+    _powers[base, prime] = found
     return found[:n]
 
 
-def fingerprints(data: np.ndarray, starts: np.ndarray, width: int, k: int) -> np.ndarray:
-    """Fingerprint k of the `width` bytes from each start; starts don't reach beyond the data."""
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_NUMBERS[k][data] * powers(k, n, True), out=sums[1:])
-    return mix((sums[starts + width] - sums[starts]) * powers(k, n)[starts])
+def fingerprints(data: np.ndarray, starts: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """Fingerprint of the `width` bytes from each start; starts don't reach beyond the data.
+
+    A polynomial in the bytes modulo each prime at a base drawn from the seed, which is drawn anew for each
+    run: no pair of strings is equal for more than `width` of the 2**31 bases of a prime.
+    """
+    draw, n, out = np.random.default_rng(seed), len(data), np.zeros(len(starts), np.uint64)
+    for prime in PRIMES:
+        base, p = int(draw.integers(2**20, prime - 1)), np.uint64(prime)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(pow(base, -1, prime), prime, n) % p, out=sums[1:])
+        out = out * np.uint64(2**31) + (sums[starts + width] - sums[starts]) % p * powers(base, prime, n)[starts] % p
+    return out
 
 
 def sample_starts(length: int) -> np.ndarray:
@@ -102,10 +111,10 @@ def near_starts(length: int, tied: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.cumsum(reach)[:-1] > 0)
 
 
-def distinct_keys(data: np.ndarray, starts: np.ndarray, width: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def distinct_keys(data: np.ndarray, starts: np.ndarray, width: int, buckets: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Keys of a chunk sorted by (bucket, key), each once: (bucket, key, the key's number for each start, how often it occurs)."""
-    key = fingerprints(data, starts, width, 0)
-    bucket = (fingerprints(data, starts, width, 1) % np.uint64(buckets)).astype(np.int64)
+    key = fingerprints(data, starts, width, seed)
+    bucket = (mix(key) % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort((key, bucket))
     k, b = key[order], bucket[order]
     new = np.ones(len(k), bool)
@@ -133,8 +142,8 @@ def chunk_starts(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, np.concatenate(found), np.repeat(np.arange(len(found)), [len(f) for f in found])
 
 
-def _sent(chunk: int, data: np.ndarray, starts: np.ndarray, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    bucket, key, _, _ = distinct_keys(data, starts, width, buckets)
+def _sent(chunk: int, data: np.ndarray, starts: np.ndarray, width: int, buckets: int, seed: int) -> Iterator[pa.RecordBatch]:
+    bucket, key, _, _ = distinct_keys(data, starts, width, buckets, seed)
     cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
     parts = list(zip(cut.tolist(), [*cut[1:].tolist(), len(bucket)]))
     yield pa.RecordBatch.from_arrays([
@@ -167,9 +176,9 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield judge(bucket, rows)
 
 
-def tied_starts(data: np.ndarray, starts: np.ndarray, width: int, buckets: int, answers: list[dict]) -> np.ndarray:
+def tied_starts(data: np.ndarray, starts: np.ndarray, width: int, buckets: int, seed: int, answers: list[dict]) -> np.ndarray:
     """Which starts are tied, from the bits that came back for this chunk and from ties inside it."""
-    bucket, key, number, count = distinct_keys(data, starts, width, buckets)
+    bucket, key, number, count = distinct_keys(data, starts, width, buckets, seed)
     tied = count > 1
     for x in answers:
         mine = np.flatnonzero(bucket == x["bucket"])
@@ -188,25 +197,25 @@ def _all_sample_starts(ends: np.ndarray) -> np.ndarray:
     return np.concatenate([sample_starts(int(e - b)) + b for b, e in zip(begins, ends)])
 
 
-def _send(buckets: int, sample: bool):
+def _send(buckets: int, sample: bool, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 data = np.frombuffer(row["data"], np.uint8)
                 starts = _all_sample_starts(np.array(row["ends"], np.int64)) if sample else chunk_starts(row)[1]
-                yield from _sent(row["chunk"], data, starts, SIZE - PERIOD + 1 if sample else SIZE, buckets)
+                yield from _sent(row["chunk"], data, starts, SIZE - PERIOD + 1 if sample else SIZE, buckets, seed)
 
     return run
 
 
-def _tie_samples(buckets: int):
+def _tie_samples(buckets: int, seed: int):
     """Chunks with answers in; out: the texts that hold a tied sample place, with these places, in chunks of the same numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 data, ends = np.frombuffer(row["data"], np.uint8), np.array(row["ends"], np.int64)
                 starts = _all_sample_starts(ends)
-                tied = starts[tied_starts(data, starts, SIZE - PERIOD + 1, buckets, row["answers"] or [])]
+                tied = starts[tied_starts(data, starts, SIZE - PERIOD + 1, buckets, seed, row["answers"] or [])]
                 begins = np.concatenate([[0], ends[:-1]])
                 lo = np.searchsorted(tied, begins), np.searchsorted(tied, ends)
                 keep = [i for i in range(len(ends)) if lo[1][i] > lo[0][i]]
@@ -220,13 +229,13 @@ def _tie_samples(buckets: int):
     return run
 
 
-def _cut(buckets: int):
+def _cut(buckets: int, seed: int):
     """Chunks of texts with answers in; out: for each text with a repeated string the removed runs and the rest's digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 data, starts, owner = chunk_starts(row)
-                repeated = tied_starts(data, starts, SIZE, buckets, row["answers"] or [])
+                repeated = tied_starts(data, starts, SIZE, buckets, seed, row["answers"] or [])
                 starts, owner = starts[repeated], owner[repeated]
                 begins = [0, *row["ends"][:-1]]
                 out = []
@@ -258,9 +267,10 @@ def _answered(chunks: DataFrame, send, buckets: int, label: str) -> DataFrame:
 def removed(docs: DataFrame) -> DataFrame:
     """(doc_id, _id, _hash, n_bytes, runs, kept_sha256): one row for each row of `docs`; runs are [begin, end) in bytes."""
     whole = keyed(docs).select("doc_id", *KEY, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
-    whole = stored(whole, "texts")
-    copies = whole.groupBy("sha").agg(F.count("*").alias("copies"), F.min(F.struct(*KEY)).alias("first"))
-    copies = stored(whole.join(copies.filter("copies > 1"), "sha").select("doc_id", *KEY, "n_bytes", (F.struct(*KEY) == F.col("first")).alias("stands")), "copies")
+    whole, seed = stored(whole, "texts"), secrets.randbits(60)
+    # Groups of copies are few against rows; the join goes without an exchange by `sha` as long as they fit.
+    groups = stored(whole.groupBy("sha").agg(F.count("*").alias("copies"), F.min(F.struct(*KEY)).alias("first")).filter("copies > 1"), "groups")
+    copies = stored(whole.join(F.broadcast(groups) if small_enough(groups, 96) else groups, "sha").select("doc_id", *KEY, "n_bytes", (F.struct(*KEY) == F.col("first")).alias("stands")), "copies")
     aside = stored(copies.filter("NOT stands").select(*KEY).distinct(), "aside")
     total = whole.filter(f"n_bytes >= {SIZE}").agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(1, -(-int(total * len(COVER) / PERIOD) // BUCKET_KEYS))
@@ -268,12 +278,12 @@ def removed(docs: DataFrame) -> DataFrame:
     texts = keyed(docs).filter(F.octet_length("text") >= SIZE).join(F.broadcast(aside) if small_enough(aside, 16) else aside, KEY, "left_anti")
     chunks = texts.select(*KEY, "text").mapInArrow(_chunked, "ids array<long>, hashes array<long>, ends array<long>, data binary")
     chunks = stored(chunks.withColumn("chunk", F.monotonically_increasing_id()), "chunks")
-    ranked = _answered(chunks, _send(buckets, True), buckets, "ranks")
-    near = stored(ranked.mapInArrow(_tie_samples(buckets), "chunk long, ids array<long>, hashes array<long>, ends array<long>, tied array<binary>, data binary"), "near")
+    ranked = _answered(chunks, _send(buckets, True, seed), buckets, "ranks")
+    near = stored(ranked.mapInArrow(_tie_samples(buckets, seed), "chunk long, ids array<long>, hashes array<long>, ends array<long>, tied array<binary>, data binary"), "near")
     within = near.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0
     buckets = max(1, -(-int(within) // BUCKET_KEYS))
-    found = _answered(near, _send(buckets, False), buckets, "suffixes")
-    cut = stored(found.mapInArrow(_cut(buckets), "_id long, _hash long, runs array<struct<begin: long, end: long>>, kept string").dropDuplicates(KEY), "cut")
+    found = _answered(near, _send(buckets, False, seed), buckets, "suffixes")
+    cut = stored(found.mapInArrow(_cut(buckets, seed), "_id long, _hash long, runs array<struct<begin: long, end: long>>, kept string").dropDuplicates(KEY), "cut")
 
     gone = copies.filter(f"n_bytes >= {SIZE}").select(*KEY).distinct().withColumn("gone", F.lit(True))
     all_rows = whole.join(cut, KEY, "left").join(gone, KEY, "left")
@@ -285,7 +295,15 @@ def removed(docs: DataFrame) -> DataFrame:
     )
 
 
-def digest(found: DataFrame) -> DataFrame:
-    """The contract's columns of `removed`."""
+def digest(found: DataFrame, passages: DataFrame | None = None) -> DataFrame:
+    """The contract's columns of `removed`; with `passages` (see `passages.shared`) also has_repeats.
+
+    has_repeats: bytes were removed, or the document holds a passage that another one holds too, also one of
+    fewer than SIZE bytes, which loses nothing.
+    """
     gone = F.aggregate("runs", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["begin"])
-    return found.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("runs").cast("long").alias("n_spans"), "kept_sha256")
+    columns = ["doc_id", "n_bytes", gone.alias("n_removed"), F.size("runs").cast("long").alias("n_spans"), "kept_sha256"]
+    if passages is None:
+        return found.select(*columns)
+    marked = found.join(passages.withColumn("_shared", F.lit(True)), KEY, "left")
+    return marked.select(*columns, (F.col("_shared").isNotNull() | (F.size("runs") > 0)).alias("has_repeats"))
