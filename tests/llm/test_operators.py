@@ -53,6 +53,28 @@ def test_near_duplicates_against_plain(spark, folder):
     assert got == want
 
 
+def test_long_words_of_two_letters_are_told_apart(spark):
+    """Words that sums of powers modulo 2**64 make equal: no link."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, one), (2, other), (3, one.upper()), (4, other + " x"), (5, one + " x")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_one_row_of_each_group_stays(spark):
+    from conftest import prose
+
+    near = prose(7) + " end"
+    rows = [(1, prose(7), "a"), (1, prose(7), "a"), (1, prose(7), "b"), (2, near, "c"), (None, prose(7), "d"), (None, prose(8), "e"), (None, prose(8), "e"),
+            (None, prose(8).upper(), "f"), (5, prose(9), "g"), (5, prose(10), "h"), (6, None, "i"), (6, None, "i"), (7, prose(9), "j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    kept = near_duplicates.first_of_each(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted((x for x in got if x[0] is not None), key=str) == sorted([(1, prose(7)), (5, prose(10)), (5, prose(9)), (6, None), (6, None)], key=str)
+    assert [i for i, _ in got if i is None] == [None]
+
+
 def test_suffix_dedup_against_plain(spark, folder, odd, odd_rows, nothing):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     want = {i: (n, sum(b - a for a, b in runs), len(runs), hashlib.sha256(rest).hexdigest()) for i, (n, runs, rest) in brute.repeated_bytes(rows).items()}
@@ -154,14 +176,14 @@ def test_secret_network_and_redaction(spark, odd, nothing):
     words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 20)) for _ in range(200)]
     docs = spark.createDataFrame([(i, f"the key is {x} and so on", len(x) + 21) for i, x in enumerate(hexes + words)], "doc_id long, text string, n_chars long")
     net = secrets.train(docs)
-    assert net is not None and 0 < net.threshold <= secrets.EVEN
+    assert 0 < net.threshold <= secrets.EVEN
     p = net.probability(np.stack([secrets.codes(f"the key is {x} and so on", 11, 11 + len(x)) for x in hexes + words]))
     assert (p[:200] >= net.threshold).mean() > 0.95 and (p[200:] >= net.threshold).mean() < 0.05
     masked = secrets.redact(docs, net).first()
     assert "[SECRET]" in masked.text and masked.n_chars == len(masked.text)
-    assert secrets.train(odd) is None
-    assert sorted(map(str, secrets.redact(odd, None).collect())) == sorted(map(str, odd.collect()))
-    assert secrets.digest(secrets.scan(odd, None)).filter("n_hex > 0").count() == 0
+    own = secrets.train(odd)
+    assert sorted(map(str, secrets.redact(odd, own).collect())) == sorted(map(str, odd.collect()))
+    assert secrets.digest(secrets.scan(odd, own)).filter("n_hex > 0").count() == 0
     assert secrets.redact(nothing, secrets.train(nothing)).count() == 0
 
 
@@ -271,8 +293,7 @@ def test_each_document_is_judged_by_the_other_fold():
     assert [bool(s) for s in found] == [secrets.fold(t) == 0 for t in texts] and {secrets.fold(t) for t in texts} == {0, 1}
 
 
-def test_few_findings_take_the_fixed_network(spark):
+def test_few_findings_are_no_other_method(spark):
     docs = spark.createDataFrame([(1, "export KEY ghp_Zq81LmXw0aVt55RkPq3sUu7bNc2dEf6gHi9j now"), (2, "see /usr/lib/python3/site-packages/module.py there")], "doc_id long, text string")
-    assert secrets.train(docs) is None
-    masked = {r.doc_id: r.text for r in secrets.redact(docs, None).collect()}
+    masked = {r.doc_id: r.text for r in secrets.redact(docs, secrets.train(docs)).collect()}
     assert masked[1] == "export KEY [SECRET] now" and masked[2] == docs.where("doc_id = 2").first().text

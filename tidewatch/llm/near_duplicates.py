@@ -171,7 +171,10 @@ def links_within(posts: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, _id, _hash, n_shingles, component_id, kept): one row for each row of `docs`."""
+    """(doc_id, _id, _hash, n_shingles, component_id, kept, group): one row for each row of `docs`.
+
+    `group` tells the components apart, also those without any id; it is NULL for texts without words.
+    """
     candidates = Candidates(docs)
     roots, links = None, None
     for turn in range(PIVOT_ROUNDS + 1):
@@ -194,12 +197,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         roots = stored(components(links), "roots")
     classes = candidates.classes.select("digest", "first_id", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = classes.join(least, "root").select("digest", "component_id")
+    classes = classes.join(least, "root").select("digest", "component_id", F.col("root").alias("group"))
     whole = candidates.signed.select("doc_id", *KEY, "n_shingles", "digest").join(classes, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return whole.select("doc_id", *KEY, "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return whole.select("doc_id", *KEY, "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "group")
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """Rows of `docs`, all columns, that stand first (smallest id) in their group of near duplicates."""
-    return without(docs, near_duplicates(docs).filter("NOT kept"))
+    """One row of `docs`, all columns, of each group of near duplicates; texts without words stay.
+
+    It is the row with the smallest id (null is the largest), then the smallest hash of its text. Of rows
+    equal in both, the one whose columns have the smallest hash stays.
+    """
+    key, found = F.struct(F.col("doc_id").isNull().alias("none"), *KEY), near_duplicates(docs)
+    found = stored(found.filter("`group` IS NOT NULL").select("group", *KEY, key.alias("key")), "grouped")
+    first = found.groupBy("group").agg(F.min("key").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    several = stored(found.join(first, "group").groupBy(*KEY).agg(F.bool_and(F.col("key") == F.col("first")).alias("stays"), F.count("*").alias("n")), "several")
+    rest, again = without(docs, several.filter("NOT stays")), several.filter("stays AND n > 1").select(*KEY)
+    if again.isEmpty():
+        return rest
+    keyed_rows = rest.select(F.struct(*rest.columns).alias("_row"), F.coalesce("doc_id", F.lit(-(2**63))).alias("_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"))
+    one = keyed_rows.join(again, KEY, "left_semi").groupBy(*KEY).agg(F.min_by("_row", F.xxhash64("_row")).alias("_row"))
+    return without(rest, again).unionByName(one.select("_row.*"))

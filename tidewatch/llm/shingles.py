@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
+import pyarrow as pa
 
 SEED = 20_240_601
 _draw = np.random.default_rng(SEED)
@@ -48,7 +51,8 @@ def word_hashes(data: np.ndarray, at: np.ndarray, parts: np.ndarray = UNBROKEN,
     """Hash of every word (a run of bytes in `parts` within a text) and, for each text, where its words begin in them.
 
     The value of a word is the sum of a random number for each byte times a power for its place,
-    modulo 2**64, mixed; equal words get equal hashes on every machine.
+    modulo 2**64, mixed; equal words get equal hashes on every machine. Long words of two letters can be
+    made to collide, so this is for features and samples; links use `sure_word_hashes`.
     """
     solid, first = word_marks(data, at, parts)
     starts = np.flatnonzero(first)
@@ -64,9 +68,25 @@ def word_hashes(data: np.ndarray, at: np.ndarray, parts: np.ndarray = UNBROKEN,
     return mix(np.add.reduceat(values, starts)), bounds
 
 
+def sure_word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As `word_hashes` for words without blanks, A-Z lowered: the BLAKE2b of each distinct word, for which no equal pairs are known."""
+    solid, first = word_marks(data, at, UNBROKEN)
+    edge = first.copy()
+    edge[1:] |= solid[1:] != solid[:-1]
+    edge[:1] = True
+    begin = np.flatnonzero(edge)
+    bounds = np.searchsorted(np.flatnonzero(first), at)
+    if not len(begin):
+        return np.zeros(0, np.uint64), bounds
+    offsets = pa.py_buffer(np.append(begin, len(data)).astype(np.int64))
+    coded = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, offsets, pa.py_buffer(_LOWER[data].tobytes())]).dictionary_encode()
+    own = np.frombuffer(b"".join([blake2b(w, digest_size=8).digest() for w in coded.dictionary.to_pylist()]), np.uint64)
+    return own[coded.indices.to_numpy()[solid[begin]]], bounds
+
+
 def shingle_sets(data: np.ndarray, at: np.ndarray, size: int = 5) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text: `size` words each, or all words if fewer; empty without words."""
-    words, bounds = word_hashes(data, at)
+    words, bounds = sure_word_hashes(data, at)
     joined = words + _SALT
     for k in range(1, size):
         joined = mix(joined[: len(words) - k] * _STEP) + words[k:] if len(words) > k else joined[:0]
