@@ -140,15 +140,20 @@ def scan_text(text: str) -> tuple[int, list[tuple[str, int]], set[str], float]:
     words = text.encode().translate(_SPACED).split()
     joined = " " + b" ".join(words).decode() + " "
     places, notices, labels, values, tagged = [], [], set(), [], False
+    passed = number = 0  # how far words are counted, and the number of blanks up to there
     for end, phrase in automaton().iter(joined):
         if phrase in BASE:
-            places.append((BASE[phrase], joined.count(" ", 0, end - len(phrase))  - 1))
+            start = end - len(phrase)
+            # Places come by their end, and phrases are short: the count goes on from just before the last one.
+            number, passed = (number + joined.count(" ", passed, start), start) if start >= passed else (number - joined.count(" ", start, passed), start)
+            places.append((BASE[phrase], number - 1))
         if phrase in NOTICES:
             notices.append((end - len(phrase), end, phrase))
         tagged |= phrase == TAG
-    for start, end, phrase in notices:  # a phrase within a longer one is not a notice of its own
-        if not any(s <= start and end <= e and (s, e) != (start, end) for s, e, _ in notices):
-            label, kind = NOTICES[phrase]
+    reach = -1
+    for start, end, phrase in sorted(notices, key=lambda x: (x[0], -x[1])):
+        if end > reach:  # a phrase within a longer one is not a notice of its own
+            reach, (label, kind) = end, NOTICES[phrase]
             labels.add(label)
             values.append(FREEDOM[kind])
     if tagged:
