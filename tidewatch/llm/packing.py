@@ -6,7 +6,8 @@ into the open window with the least room that still takes it. The tightest windo
 segment tree whose leaves are the remaining capacities: a node says whether any window with a
 capacity in its range is open, so one walk of log2(window) steps answers a query.
 
-Documents are dealt to groups of about `GROUP_DOCS` by a hash of id and text; a group is one task's
+Pieces are dealt to groups of about `GROUP_BYTES` of text by a hash of id, text, the row's number in its partition and
+the piece's place, so that neither a repeated row nor a very long document fills one group; a group is one task's
 work, of bounded size at any scale, and packs alone. Its only cost is the one or two windows left
 partly open at its end. Sequence ids are `place in group * groups + group`: unique without a
 prefix sum.
@@ -23,11 +24,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import keyed, text_chunks
+from tidewatch.llm.common import KEY, keyed, text_chunks
+from tidewatch.llm.shingles import mix
 from tidewatch.llm.tokens import Encoder, with_end
 
 WINDOW = 2048
-GROUP_DOCS = 8_000
+GROUP_BYTES = 24 << 20
 
 
 class OpenWindows:
@@ -81,9 +83,9 @@ def best_fit_decreasing(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.n
     return place, offset, used
 
 
-def _pieces(path: str, end: int, window: int):
+def _pieces(path: str, end: int, window: int, groups: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path)
+        encoder, rows_before = Encoder.of(path), 0
         for rows, data, at in text_chunks(batches):
             ids, bounds = with_end(*encoder.encode(data, at), end)
             size = np.diff(bounds)
@@ -96,8 +98,12 @@ def _pieces(path: str, end: int, window: int):
             narrow = ids.astype("<u2") if ids.max(initial=0) < 1 << 16 else ids.astype("<u4")
             payload = [narrow[a : a + n].tobytes() for a, n in zip(begin.tolist(), length.tolist())]
             take = pa.array(doc)
+            key = np.asarray(rows.column("_id")).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.asarray(rows.column("_hash")).view(np.uint64)
+            key = mix(key + np.arange(rows_before, rows_before + len(rows)).astype(np.uint64))
+            rows_before += len(rows)
+            group = (mix(key[doc] + (start // window).astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([
-                *(rows.column(c).take(take) for c in ("group", "doc_id", "_hash")),
+                pa.array(group), *(rows.column(c).take(take) for c in ("doc_id", "_hash")),
                 pa.array(start), pa.array(length), pa.array(size[doc]), pa.array(payload, pa.binary()),
             ], ["group", "doc_id", "_hash", "start", "length", "doc_tokens", "payload"])
 
@@ -119,12 +125,13 @@ def _packed(groups: int, window: int):
     return pack_group
 
 
-def pack(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW, group_docs: int = GROUP_DOCS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end: int, window: int = WINDOW, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """(doc_id, start, length, doc_tokens, sequence_id, offset, ids): one row for each piece, ids as little-endian uint32."""
-    groups = max(1, -(-docs.count() // group_docs))
-    rows = keyed(docs).withColumn("group", F.pmod(F.xxhash64("_id", "_hash"), F.lit(groups)))
-    pieces = rows.select("group", "doc_id", "_hash", "text").mapInArrow(
-        _pieces(tokenizer, end, window),
+    # A document without text still is a piece, so a few bytes stand for each row.
+    size = docs.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16), F.lit(0))).first()[0]
+    groups = max(1, -(-size // group_bytes))
+    pieces = keyed(docs).select("doc_id", *KEY, "text").mapInArrow(
+        _pieces(tokenizer, end, window, groups),
         "group long, doc_id long, _hash long, start long, length long, doc_tokens long, payload binary",
     )
     return pieces.groupBy("group").applyInArrow(
