@@ -96,3 +96,21 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: i
             n = max(1, int(np.searchsorted(at, at[0] + size, side="right")) - 1)
             yield batch.slice(begin, n), *text_bytes(texts.slice(begin, n))
             begin += n
+
+
+def one_text_each(docs: DataFrame, ids: DataFrame, bytes_at_most: int) -> DataFrame:
+    """(doc_id, text) for the ids (a bounded table with doc_id): each id once, with its text of the smallest hash.
+
+    Ids are taken by hash while their texts stay within `bytes_at_most` (the first one is taken in any
+    case), so what is fitted on is bounded by rows and by bytes, whatever the table repeats.
+    """
+    found = keyed(docs).join(F.broadcast(ids.select("doc_id").distinct()), "doc_id")
+    one = stored(found.groupBy("doc_id").agg(F.min(F.struct("_hash", "text")).alias("x")).select("doc_id", "x.text"), "chosen")
+    sizes = one.select("doc_id", F.octet_length("text").alias("n"), F.xxhash64("doc_id").alias("h")).collect()
+    left, taken = bytes_at_most, []
+    for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"])):
+        if not taken or r["n"] <= left:
+            taken.append((r["doc_id"],))
+            left -= r["n"]
+    kept = docs.sparkSession.createDataFrame(taken, one.select("doc_id").schema)
+    return one.join(F.broadcast(kept), "doc_id")

@@ -25,13 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.common import KEY, keyed, text_bytes, text_chunks
+from tidewatch.llm.common import KEY, keyed, one_text_each, stored, text_array, text_bytes, text_chunks
 from tidewatch.llm.shingles import EXACT, UNBROKEN, mix, word_hashes
 
 BUCKETS = 1 << 17
 NGRAMS = (3, 4)
 DIMENSIONS = 12
 TRAIN_ROWS = 1_500
+TRAIN_BYTES = 64 << 20
 EPOCHS = 5
 RATE = 0.5
 SEED = 11
@@ -80,12 +81,19 @@ def bags(texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def fit(texts: list[str], labels: np.ndarray, share: float) -> np.ndarray:
+def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = bags(text_array(batch.column("text")))
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id"), pa.array([ids.astype("<i4").tobytes() for ids, _ in found], pa.binary()), pa.array([w.astype("<f4").tobytes() for _, w in found], pa.binary()),
+        ], ["doc_id", "ids", "weights"])
+
+
+def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, share: float) -> np.ndarray:
     """Scores of the buckets (log odds of label 1 for a text made of nothing else); `share` is label 1's true share."""
     rng = np.random.default_rng(SEED)
     vectors = (rng.random((BUCKETS, DIMENSIONS), dtype=np.float32) - 0.5) / DIMENSIONS
     layer, bias = np.zeros((DIMENSIONS, 2), np.float32), np.zeros(2, np.float32)
-    docs = bags(pa.array(texts, pa.large_string()))
     steps, done = EPOCHS * len(docs), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(len(docs)).tolist():
@@ -108,21 +116,32 @@ def fit(texts: list[str], labels: np.ndarray, share: float) -> np.ndarray:
     return (vectors @ odds + (bias[1] - bias[0]) + prior).astype(np.float32)
 
 
+def one_label_each(labels: DataFrame, label: str, allowed: Column) -> DataFrame:
+    """(doc_id, label) where `allowed` holds; of an id's several labels the smallest counts."""
+    return labels.filter(allowed & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("label"))
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, rows: int = TRAIN_ROWS) -> np.ndarray | float:
-    """A table of bucket scores from the labelled rows for which `allowed` (over doc_id) holds; a plain share if they don't tell classes apart."""
-    own = labels.filter(allowed & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label")).dropDuplicates(["doc_id"])
+    """A table of bucket scores from the labelled rows for which `allowed` (over doc_id) holds; a plain share if they don't tell classes apart.
+
+    Fitted on at most `rows` ids of each label and TRAIN_BYTES of text; tasks make the bags, the driver fits.
+    """
+    own = one_label_each(labels, label, allowed)
     count = {r["label"]: r["n"] for r in own.groupBy("label").agg(F.count("*").alias("n")).collect()}
     total = sum(count.values())
     if len(count) < 2:
         return count.get(1, 0) / total if total else 0.5
     drawn = [own.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for k in (0, 1)]
     drawn = drawn[0].unionByName(drawn[1])
-    found = keyed(docs).select("doc_id", "_hash", "text").join(F.broadcast(drawn), "doc_id").collect()
-    found.sort(key=lambda r: (r["doc_id"], r["_hash"]))
+    drawn = stored(drawn, "drawn")
+    texts = one_text_each(docs, drawn, TRAIN_BYTES)
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    found = texts.mapInArrow(_bagged, f"doc_id {kind}, ids binary, weights binary").join(F.broadcast(drawn), "doc_id").collect()
+    found.sort(key=lambda r: r["doc_id"])
     seen = np.array([r["label"] for r in found], np.int64)
     if len(set(seen.tolist())) < 2:
         return count[1] / total
-    return fit([r["text"] for r in found], seen, count[1] / total)
+    return fit([(np.frombuffer(r["ids"], "<i4"), np.frombuffer(r["weights"], "<f4")) for r in found], seen, count[1] / total)
 
 
 def score(docs: DataFrame, model: np.ndarray | float) -> DataFrame:

@@ -30,13 +30,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.common import KEY, keyed, text_bytes, text_chunks
+from tidewatch.llm.common import KEY, keyed, one_text_each, stored, text_chunks
+from tidewatch.llm.quality_classifier import one_label_each
 from tidewatch.llm.shingles import ALNUM, LOWERED, mix, word_hashes, word_spans
 
 BUCKETS = 1 << 18
 POSITIVE_ROWS = 2_000
 UNLABELLED_ROWS = 4_000
 CALIBRATION_ROWS = 4_000
+TRAIN_BYTES = 96 << 20
 PREFIXES = (4, 5, 6, 7, 8)
 FULL = 20
 LEAST_DOCS = 5
@@ -80,12 +82,17 @@ def word_bags(data: np.ndarray, at: np.ndarray) -> Bag:
     return (both % BUCKETS).astype(np.int32), np.searchsorted(both, np.arange(len(at)) * BUCKETS), np.minimum(1.0, FULL * share)
 
 
-def bags_of(texts: list[str], at_once: int = 256) -> Bag:
-    """`word_bags` of many texts, some at a time, so that only the finished bags are held."""
-    parts = [word_bags(*text_bytes(pa.array(texts[i : i + at_once], pa.large_string()))) for i in range(0, len(texts), at_once)]
-    begins = np.cumsum([0, *(len(ids) for ids, _, _ in parts)])
-    lo = np.concatenate([*(lo[:-1] + b for (_, lo, _), b in zip(parts, begins)), begins[-1:]])
-    return np.concatenate([p[0] for p in parts]), lo, np.concatenate([p[2].astype(np.float32) for p in parts])
+def _bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, data, at in text_chunks(batches):
+        ids, lo, share = word_bags(data, at)
+        cut = lambda x, kind: pa.array([x[a:b].astype(kind).tobytes() for a, b in zip(lo[:-1], lo[1:])], pa.binary())
+        yield pa.RecordBatch.from_arrays([rows.column("doc_id"), cut(ids, "<i4"), cut(share, "<f4")], ["doc_id", "ids", "weights"])
+
+
+def joined(rows: list) -> Bag:
+    """The bags of collected rows as one."""
+    ids, share = ([np.frombuffer(r[c], kind) for r in rows] for c, kind in (("ids", "<i4"), ("weights", "<f4")))
+    return np.concatenate([*ids, np.zeros(0, np.int32)]), np.cumsum([0, *map(len, ids)]), np.concatenate([*share, np.zeros(0, np.float32)])
 
 
 def values(weights: np.ndarray, bag: Bag) -> np.ndarray:
@@ -156,8 +163,11 @@ def calibrate(model: Model, bag: Bag, labels: np.ndarray) -> None:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, allowed: Column) -> Model | None:
-    """Fit on the rows for which `allowed` (over doc_id) holds; others are neither positives nor unlabelled text."""
-    own = labels.filter(allowed & F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label")).dropDuplicates(["doc_id"])
+    """Fit on the rows for which `allowed` (over doc_id) holds; others are neither positives nor unlabelled text.
+
+    The prior is the share of label 1 among the labelled rows, taken to be that of all documents.
+    """
+    own = one_label_each(labels, label, allowed)
     count = {r["label"]: r["n"] for r in own.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not count.get(1):
         return None
@@ -170,16 +180,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str, allowed: Column) -> Mo
     ]
     wanted = picked[0].unionByName(picked[1]).unionByName(picked[2])
     wanted = wanted.groupBy("doc_id").agg(F.collect_set("side").alias("sides"), F.max("label").alias("label"))
-    rows = keyed(docs).select("doc_id", "_hash", "text").join(F.broadcast(wanted), "doc_id").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["_hash"]))
+    wanted = stored(wanted, "wanted")
+    texts = one_text_each(docs, wanted, TRAIN_BYTES)
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    rows = texts.mapInArrow(_bagged, f"doc_id {kind}, ids binary, weights binary").join(F.broadcast(wanted), "doc_id").collect()
+    rows.sort(key=lambda r: r["doc_id"])
     side = {k: [r for r in rows if k in r["sides"]] for k in "pcu"}
     if not side["p"] or not side["u"]:
         return None
     prior = min(0.95, count[1] / sum(count.values()))
-    model = fit(bags_of([r["text"] for r in side["p"]]), bags_of([r["text"] for r in side["u"]]), prior)
+    model = fit(joined(side["p"]), joined(side["u"]), prior)
     truth = np.array([r["label"] for r in side["c"]], np.float64)
     if 0 < truth.sum() < len(truth):
-        calibrate(model, bags_of([r["text"] for r in side["c"]]), truth)
+        calibrate(model, joined(side["c"]), truth)
     return model
 
 
