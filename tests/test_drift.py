@@ -1,8 +1,10 @@
+from itertools import combinations
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.functions import ranks
+from tidewatch.functions.scalars import long_form
 from tidewatch.operators import drift
 
 
@@ -88,14 +90,58 @@ def test_ks_statistic(spark, samples):
         assert 0 <= found[c].p_value <= 1
 
 
-def test_ks_over_cells(spark, samples, monkeypatch):
-    monkeypatch.setattr(ranks, "TASK_ROWS", 20)
+def test_ks_over_cells(spark, samples):
+    """Many cells: features begin and end inside them, and one of them holds two thirds of all rows."""
     reference = frame(spark, **{c: s[0] for c, s in samples.items()})
     production = frame(spark, **{c: s[1] for c, s in samples.items()})
-    found = {r.feature: r.ks for r in drift.ks_by_feature(reference, production, list(samples)).collect()}
+    long = [long_form(df, list(samples)).unionByName(long_form(df.crossJoin(spark.range(9)), ["smooth"])) for df in (reference, production)]
+    found = {r.feature: r.ks for r in drift.ks_long(*long, cells=23).collect()}
     assert found == pytest.approx({c: ks_brute(*s) for c, s in samples.items()})
 
 
+def every_order(n, m):
+    """All gaps D * n * m of the orders of n and m values, with how often each occurs."""
+    counts = {}
+    for places in combinations(range(n + m), n):
+        i = j = widest = 0
+        for k in range(n + m):
+            i, j = (i + 1, j) if k in places else (i, j + 1)
+            widest = max(widest, abs(i * m - j * n))
+        counts[widest] = counts.get(widest, 0) + 1
+    return counts
+
+
+def tail_of(spark, cases):
+    df = spark.createDataFrame([(float(d), n, m) for d, n, m in cases], "d double, n long, m long")
+    return [r[0] for r in df.select(drift.ks_p_value(F.col("d"), F.col("n"), F.col("m"))).collect()]
+
+
+@pytest.mark.parametrize("n, m", [(1, 1), (1, 6), (4, 5), (5, 5), (3, 7), (8, 4)])
+def test_small_samples_by_counting_all_orders(spark, n, m):
+    counts = every_order(n, m)
+    cases = [(h / (n * m), n, m) for h in sorted(counts)]
+    want = [sum(k for g, k in counts.items() if g >= h) / sum(counts.values()) for h in sorted(counts)]
+    assert tail_of(spark, cases) == pytest.approx(want, abs=1e-12)
+
+
+def test_tabulated_p_values(spark):
+    """Exact two-sided values of published tables, and the corrected tail beyond."""
+    cases = [(4 / 5, 5, 5), (1, 5, 5), (5 / 8, 8, 8), (6 / 8, 8, 8), (1, 3, 4), (0, 5, 5), (0.5, 10, 10), (0.7, 10, 10)]
+    assert tail_of(spark, cases) == pytest.approx([0.079365, 0.0079365, 0.087024, 0.018648, 2 / 35, 1.0, 0.167821, 0.012341], abs=2e-6)
+
+
+@pytest.mark.parametrize("n, m", [(60, 60), (60, 61), (40, 100), (30, 200), (100, 130)])
+def test_corrected_tail_is_near_the_exact_one(spark, n, m, monkeypatch):
+    """Where both can be had, the correction is nearer to counted paths than the limiting tail at the 5 % point."""
+    root, step = np.sqrt(n * m / (n + m)), np.lcm(n, m)
+    gap = float(np.ceil(1.3581 / root * step) / step)
+    monkeypatch.setattr(drift, "EXACT_PATHS", n * m)
+    exact, = tail_of(spark, [(gap, n, m)])
+    monkeypatch.setattr(drift, "EXACT_PATHS", 0)
+    corrected, none = tail_of(spark, [(gap, n, m), (0, n, m)])
+    assert corrected == pytest.approx(exact, abs=0.003) and none == 1.0
+
+
 def test_kolmogorov_tail_known_values(spark):
     # Tabulated quantiles of the limiting distribution.
     df = spark.createDataFrame([(0.0,), (0.5,), (0.8276,), (1.2238,), (1.3581,), (1.6276,), (9.0,)], "k double")

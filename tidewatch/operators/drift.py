@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch import vocabulary as v
 from tidewatch.functions.joins import attach, fits_broadcast
-from tidewatch.functions.ranks import before, cell_counts, exact_quantiles, upto
+from tidewatch.functions.prefix import running_sums
+from tidewatch.functions.ranks import exact_quantiles
 from tidewatch.functions.scalars import bin_of, long_form, not_missing, ratio
 from tidewatch.functions.storage import materialize
 
 SERIES_TERMS = 100
+#: Largest product of sample sizes whose lattice paths are counted.
+EXACT_PATHS = 10_000
 
 
 def common_features(reference: DataFrame, production: DataFrame, features: list[str]) -> list[str]:
@@ -128,34 +131,73 @@ def kolmogorov_tail(strength: Column) -> Column:
     return F.when(strength.isNotNull(), F.least(F.greatest(tail, F.lit(0.0)), F.lit(1.0)))
 
 
-def ks_long(reference: DataFrame, production: DataFrame, few: bool = False) -> DataFrame:
-    """Two-sample KS per feature of long frames: statistic, asymptotic p-value, sizes.
+def lattice_tail(gap: Column, n: Column, m: Column) -> Column:
+    """P(D >= gap) for two samples of n and m values of one continuous distribution, by counting lattice paths.
 
-    Both samples collapse to distinct values; running counts are taken inside value cells
-    and cell totals are added across them, so no feature is gathered in one task.
+    An order of all n + m values is a path from (0, 0) to (n, m), all equally likely. D < gap holds for the
+    paths that stay where |i / n - j / m| < gap, in whole numbers |i * m - j * n| < gap * n * m. A cell keeps
+    the part of the paths to it that stayed inside: of the paths to (i, j), i in i + j come from
+    below and the others from the left. Rows go over the larger sample, so a row is short.
     """
-    both = reference.select("feature", "value", F.lit(1).alias("_r"), F.lit(0).alias("_p")).unionByName(
-        production.select("feature", "value", F.lit(0).alias("_r"), F.lit(1).alias("_p"))
-    )
-    measures = {"_ref": F.col("_r").cast("long"), "_prod": F.col("_p").cast("long")}
-    counts, keys = cell_counts(both, "value", measures, ["feature"])
-    totals = counts.groupBy(*keys).agg(F.sum("_ref").alias("n_reference"), F.sum("_prod").alias("n_production"))
-    inner = [*keys, "_cell"]
-    gap = ratio(upto("_ref", inner, "_x"), F.col("n_reference")) - ratio(upto("_prod", inner, "_x"), F.col("n_production"))
-    pieces = (
-        counts.join(F.broadcast(totals) if few else totals, keys)
-        .withColumn("_gap", gap)
-        .groupBy(*inner, "n_reference", "n_production").agg(
-            F.max("_gap").alias("_high"), F.min("_gap").alias("_low"),
-            F.sum("_ref").alias("_ref"), F.sum("_prod").alias("_prod"),
-        )
-        .withColumn("_start", ratio(before("_ref", keys, "_cell"), F.col("n_reference"))
-                    - ratio(before("_prod", keys, "_cell"), F.col("n_production")))
-    )
-    widest = F.max(F.greatest(F.abs(F.col("_start") + F.col("_high")), F.abs(F.col("_start") + F.col("_low"))))
-    effective = F.col("n_reference").cast("double") * F.col("n_production") / (F.col("n_reference") + F.col("n_production"))
-    result = pieces.groupBy(*keys, "n_reference", "n_production").agg(widest.alias("ks"))
-    return result.withColumn("p_value", kolmogorov_tail(F.sqrt(effective) * F.col("ks")))
+    width, height = F.least(n, m).cast("int"), F.greatest(n, m).cast("int")
+    limit = F.round(gap * n * m).cast("long")
+    inside = lambda i, j: F.abs(i * width.cast("long") - j * height.cast("long")) < limit
+    part = lambda k, i, j: k.cast("double") / F.greatest(i + j, F.lit(1))
+
+    def row(below: Column, i: Column) -> Column:
+        def cell(done: Column, j: Column) -> Column:
+            came = part(i, i, j) * F.coalesce(F.get(below, j), F.lit(0.0)) + part(j, i, j) * F.coalesce(F.get(done, j - 1), F.lit(0.0))
+            first = F.when((i == 0) & (j == 0), F.lit(1.0)).otherwise(came)
+            return F.concat(done, F.array(F.when(inside(i, j), first).otherwise(F.lit(0.0))))
+
+        return F.aggregate(F.sequence(F.lit(0), width), F.array().cast("array<double>"), cell)
+
+    last = F.aggregate(F.sequence(F.lit(0), height), F.array().cast("array<double>"), row)
+    return F.greatest(F.lit(0.0), F.lit(1.0) - F.get(last, width))
+
+
+def greatest_divisor(a: Column, b: Column) -> Column:
+    """Greatest common divisor of two positive whole numbers, by Euclid's steps (92 suffice for 64 bits)."""
+    pair = lambda x, y: F.struct(x.cast("long").alias("x"), y.cast("long").alias("y"))
+    step = lambda s, _: F.when(s["y"] == 0, s).otherwise(pair(s["y"], s["x"] % F.when(s["y"] != 0, s["y"])))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(92)), pair(a, b), step)["x"]
+
+
+def ks_p_value(gap: Column, n: Column, m: Column) -> Column:
+    """P(D >= gap). Exact while n * m <= EXACT_PATHS; beyond, the limiting tail corrected for finite size.
+
+    The correction (Kim and Jennrich 1973) is for P(D > x); gaps are multiples of 1 / lcm(n, m), so x is the one below.
+    """
+    root, small, large = F.sqrt(ratio(n.cast("double") * m, n + m)), F.least(n, m), F.greatest(n, m)
+    below = F.greatest(gap - greatest_divisor(n, m) / (n.cast("double") * m), F.lit(0.0))
+    wide = F.sqrt(large.cast("double"))
+    more = F.when(large > 2 * small, 1 / (2 * wide)).when(large % small == 0, 2 / (3 * wide)).otherwise(2 / (5 * wide))
+    corrected = F.when(gap <= 0, F.lit(1.0)).otherwise(kolmogorov_tail(root * below + more))
+    # `gap` is known only if both sides have values, so no branch divides by zero.
+    return F.when(gap.isNotNull(), F.when(n * m <= EXACT_PATHS, lattice_tail(gap, n, m)).otherwise(corrected))
+
+
+def ks_long(reference: DataFrame, production: DataFrame, few: bool = False, cells: int | None = None) -> DataFrame:
+    """Two-sample KS per feature of long frames: statistic, p-value, sizes.
+
+    Both samples collapse to distinct values, which are counted along the order of (feature, value) in cells of
+    equal size; a feature's own counts are the difference to where it starts, so a feature that
+    holds most rows is no single task's work.
+    """
+    both = reference.select("feature", "value", F.lit(1).alias("ref"), F.lit(0).alias("prod")).unionByName(
+        production.select("feature", "value", F.lit(0).alias("ref"), F.lit(1).alias("prod"))
+    ).where(F.col("feature").isNotNull() & not_missing(F.col("value")))
+    counts = both.groupBy("feature", F.col("value").cast("double").alias("value")).agg(F.sum("ref").alias("ref"), F.sum("prod").alias("prod"))
+    own = counts.select("feature", "value", "ref", "prod", F.col("ref").alias("upto_ref"), F.col("prod").alias("upto_prod"))
+    summed = running_sums(own, ["feature", "value"], ["upto_ref", "upto_prod"], cells)
+    features = materialize(summed.groupBy("feature").agg(
+        F.sum("ref").alias("n_reference"), F.sum("prod").alias("n_production"),
+        F.min(F.col("upto_ref") - F.col("ref")).alias("_from_ref"), F.min(F.col("upto_prod") - F.col("prod")).alias("_from_prod"),
+    ))
+    placed = attach(summed, features, ["feature"], "inner", few or fits_broadcast(features))
+    gap = ratio(F.col("upto_ref") - F.col("_from_ref"), F.col("n_reference")) - ratio(F.col("upto_prod") - F.col("_from_prod"), F.col("n_production"))
+    found = placed.groupBy("feature", "n_reference", "n_production").agg(F.max(F.abs(gap)).alias("ks"))
+    return found.withColumn("p_value", ks_p_value(F.col("ks"), F.col("n_reference"), F.col("n_production")))
 
 
 def ks_by_feature(reference: DataFrame, production: DataFrame, features: list[str]) -> DataFrame:

@@ -106,19 +106,34 @@ def psi_sql(reference: str, production: str, keys: list[str] = ()) -> str:
 
 
 def ks_sql(reference: str, production: str) -> str:
+    """KS per feature of two long relations; small samples by a walk over the lattice, step by step."""
     return f"""
-        WITH u AS (SELECT feature, value, 1 AS r, 0 AS p FROM ({reference}) UNION ALL SELECT feature, value, 0, 1 FROM ({production})),
+        WITH RECURSIVE u AS (SELECT feature, value, 1 AS r, 0 AS p FROM ({reference}) UNION ALL SELECT feature, value, 0, 1 FROM ({production})),
         c AS (SELECT feature, value, sum(r) AS r, sum(p) AS p FROM u GROUP BY 1, 2),
-        w AS (SELECT feature, sum(r) OVER (PARTITION BY feature ORDER BY value) / sum(r) OVER (PARTITION BY feature) AS cr,
-                     sum(p) OVER (PARTITION BY feature ORDER BY value) / sum(p) OVER (PARTITION BY feature) AS cp,
+        w AS (SELECT feature, sum(r) OVER (PARTITION BY feature ORDER BY value) / nullif(sum(r) OVER (PARTITION BY feature), 0) AS cr,
+                     sum(p) OVER (PARTITION BY feature ORDER BY value) / nullif(sum(p) OVER (PARTITION BY feature), 0) AS cp,
                      sum(r) OVER (PARTITION BY feature) AS n, sum(p) OVER (PARTITION BY feature) AS m FROM c),
         d AS (SELECT feature, n::BIGINT AS n_reference, m::BIGINT AS n_production, max(abs(cr - cp)) AS ks FROM w GROUP BY 1, 2, 3),
-        s AS (SELECT *, sqrt(n_reference::DOUBLE * n_production / (n_reference + n_production)) * ks AS k FROM d)
-        SELECT feature, n_reference, n_production, ks, least(greatest(CASE
+        walk AS (
+          SELECT feature, 0 AS i, 0 AS j, n_reference AS n, n_production AS m, round(ks * n_reference * n_production)::BIGINT AS h, 1.0::DOUBLE AS p
+          FROM d WHERE n_reference * n_production <= {drift.EXACT_PATHS} AND ks > 0
+          UNION ALL
+          SELECT feature, i2, j2, n, m, h, sum(p2) FROM (
+            SELECT feature, i + k AS i2, j + 1 - k AS j2, n, m, h, p * (CASE WHEN k = 1 THEN n - i ELSE m - j END) / (n + m - i - j) AS p2
+            FROM walk, (VALUES (0), (1)) t(k) WHERE i + j < n + m)
+          WHERE i2 <= n AND j2 <= m AND abs(i2 * m - j2 * n) < h GROUP BY feature, i2, j2, n, m, h
+        ),
+        stayed AS (SELECT feature, p FROM walk WHERE i = n AND j = m),
+        s AS (SELECT *, sqrt(n_reference::DOUBLE * n_production / (n_reference + n_production)) AS root FROM d),
+        t AS (SELECT *, CASE WHEN ks <= 0 THEN 0.0::DOUBLE ELSE root * greatest(ks - 1::DOUBLE / lcm(n_reference, n_production), 0) + CASE
+                 WHEN greatest(n_reference, n_production) > 2 * least(n_reference, n_production) THEN 1 / (2 * sqrt(greatest(n_reference, n_production)::DOUBLE))
+                 WHEN greatest(n_reference, n_production) % least(n_reference, n_production) = 0 THEN 2 / (3 * sqrt(greatest(n_reference, n_production)::DOUBLE))
+                 ELSE 2 / (5 * sqrt(greatest(n_reference, n_production)::DOUBLE)) END END AS k FROM s)
+        SELECT feature, n_reference, n_production, ks, CASE WHEN ks IS NULL THEN NULL WHEN n_reference * n_production <= {drift.EXACT_PATHS} THEN 1 - coalesce(stayed.p, 0) ELSE least(greatest(CASE
                  WHEN k <= 0 THEN 1.0
                  WHEN k < 1 THEN 1 - sqrt(2 * pi()) / k * list_sum(list_transform(range(1, 101), lambda j: exp(-((2 * j - 1) * (2 * j - 1)) * pi() * pi() / (8 * k * k))))
-                 ELSE list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * k * k))) END, 0.0), 1.0) AS p_value
-        FROM s"""
+                 ELSE list_sum(list_transform(range(1, 101), lambda j: CASE WHEN j % 2 = 1 THEN 2.0 ELSE -2.0 END * exp(-2.0 * j * j * k * k))) END, 0.0), 1.0) END AS p_value
+        FROM t LEFT JOIN stayed USING (feature)"""
 
 
 _CELLS = "SELECT label, printf('f%02d', i - 1) AS feature, embedding[i]::DOUBLE AS value FROM embeddings, range(1, 65) t(i)"
@@ -141,6 +156,20 @@ def ks_by_feature(spark, folder):
     return shown(drift.ks_long(*_embedding_sides(spark, folder)))
 
 
+_BALANCES = "SELECT n_name AS feature, {0}_acctbal::DOUBLE AS value FROM {1} JOIN nation ON {0}_nationkey = n_nationkey"
+
+
+@query("ks_small_samples", f"""
+    SELECT feature, n_reference, n_production, round(ks, 6) AS ks, round(p_value, 6) AS p_value
+    FROM ({ks_sql(_BALANCES.format("s", "supplier"), _BALANCES.format("c", "customer"))})""")
+def ks_small_samples(spark, folder):
+    """Balances of suppliers against customers of each nation: a few values on one side, so sizes matter."""
+    nations = read_table(spark, folder, "nation")
+    side = lambda table, letter: read_table(spark, folder, table).join(F.broadcast(nations), F.col(f"{letter}_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("feature"), F.col(f"{letter}_acctbal").alias("value"))
+    return shown(drift.ks_long(side("supplier", "s"), side("customer", "c")))
+
+
 _LONG_EVENTS = """SELECT week, 'value' AS feature, value::DOUBLE AS value FROM (SELECT *, (dayofmonth(ts) - 1) // 7 AS week FROM events)
                   UNION ALL SELECT (dayofmonth(ts) - 1) // 7, 'user_id', user_id::DOUBLE FROM events"""
 _FIRST_WEEK, _LATER_WEEKS = f"SELECT * FROM ({_LONG_EVENTS}) WHERE week = 0", f"SELECT * FROM ({_LONG_EVENTS}) WHERE week > 0"
