@@ -64,3 +64,21 @@ def test_run_log_is_idempotent(spark, tmp_path):
     rows = spark.read.parquet(path).collect()
     assert sorted(r.run_name for r in rows) == ["first", "second"]
     assert rows[0].metrics == {"auc": 0.9, "f1": 0.8} and '"depths":"[1,2]"' in rows[0].parameters
+
+
+def test_every_csv_line_is_kept(spark, tmp_path):
+    """Too many and too few cells go to the quarantine, with their text; quotes and gaps are no fault."""
+    lines = ["a,b", "1,2", "3,4,5", "6", ",", '"x, y",7', "", "8,n/a", '9,"10', "11,12,", "z"]
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "one.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "raw" / "two.csv").write_text("a,b\n13,14\n15,16,17\n")
+    schema = tables.T.StructType([tables.T.StructField("a", tables.T.StringType()), tables.T.StructField("b", tables.T.LongType())])
+    table, quarantine = tables.read_csv_checked(spark, str(tmp_path / "raw"), schema, "bad")
+    kept = sorted(((r.a, r.b, r.bad) for r in table.collect()), key=str)
+    stray = sorted(r.line for r in quarantine.collect())
+    assert ("1", 2, None) in kept and ("13", 14, None) in kept and ("x, y", 7, None) in kept and ("8", None, {"b": "n/a"}) in kept and (None, None, None) in kept
+    assert stray == sorted(["3,4,5", "6", "11,12,", "z", "15,16,17"])
+    assert len(kept) + len(stray) == sum(bool(x) for x in lines[1:]) + 2
+    assert {r.expected for r in quarantine.collect()} == {2} and quarantine.select("line").count() == 5
+    sound, none = tables.read_csv_checked(spark, str(tmp_path / "raw" / "two.csv"))
+    assert sound.count() == 1 and [tuple(r)[1:] for r in none.collect()] == [("15,16,17", 2)]

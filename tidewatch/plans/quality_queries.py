@@ -453,6 +453,25 @@ def csv_roundtrip(spark, folder):
     return shown(back.select("event_id", "event_type", "value", F.col("bad")["value"].alias("bad_value")))
 
 
+@query("csv_quarantine", """
+    WITH l AS (SELECT event_id, CASE WHEN event_id % 97 = 0 THEN concat(event_id, ',', user_id, ',', event_type, ',extra') WHEN event_id % 89 = 0 THEN event_id::VARCHAR
+                      ELSE concat(event_id, ',', user_id, ',', event_type) END AS line FROM events)
+    SELECT event_id::VARCHAR AS event_id, user_id::VARCHAR AS user_id, event_type, NULL AS line FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0
+    UNION ALL SELECT NULL, NULL, NULL, line FROM l WHERE event_id % 97 = 0 OR event_id % 89 = 0""")
+def csv_quarantine(spark, folder):
+    """A feed in which some lines have a cell too many or too few: each line is read once, as a row or as it stands."""
+    events = read_table(spark, folder, "events")
+    line = F.concat_ws(",", "event_id", "user_id", "event_type")
+    broken = F.when(F.col("event_id") % 97 == 0, F.concat(line, F.lit(",extra"))).when(F.col("event_id") % 89 == 0, F.col("event_id").cast("string")).otherwise(line)
+    path = fresh_folder(spark, "feed")
+    # Every part file of the feed begins with the header, as its readers expect.
+    parts = events.select(broken.alias("event_id,user_id,event_type"))
+    parts.write.options(header=True, quote="", escapeQuotes=False, sep="\x01").csv(path)
+    table, quarantine = tables.read_csv_checked(spark, path)
+    none = lambda *names: [F.lit(None).cast("string").alias(c) for c in names]
+    return table.select("*", *none("line")).unionByName(quarantine.select(*none("event_id", "user_id", "event_type"), "line"))
+
+
 @query("run_log_twice", """
     SELECT event_type AS run_name, md5(event_type) AS fingerprint, 'FINISHED' AS status FROM events GROUP BY 1""")
 def run_log_twice(spark, folder):
