@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +84,21 @@ def test_every_csv_line_is_kept(spark, tmp_path):
     assert {r.expected for r in quarantine.collect()} == {2} and quarantine.select("line").count() == 5
     sound, none = tables.read_csv_checked(spark, str(tmp_path / "raw" / "two.csv"))
     assert sound.count() == 1 and [tuple(r)[1:] for r in none.collect()] == [("15,16,17", 2)]
+
+
+def test_writers_at_the_same_time_leave_one_row(spark, tmp_path):
+    """Neither sees the other: both attempts are stored, and every reader settles for the same one."""
+    path = str(tmp_path / "log")
+    runs = lambda name, status="FINISHED": spark.createDataFrame([(name, "f1", status), (name, f"own of {name}", status)], "run_name string, fingerprint string, status string")
+    with ThreadPoolExecutor(3) as writers:
+        list(writers.map(lambda n: runlog.append_runs(path, runs(n), n), ["a", "b", "c"]))
+    first = sorted(map(tuple, runlog.read_runs(path, spark).collect()))
+    assert sorted(f for _, f, _ in first) == ["f1", "own of a", "own of b", "own of c"]
+    assert sorted(map(tuple, runlog.read_runs(path, spark).collect())) == first
+    # A retried call keeps what it wrote; another one adds nothing; failed runs stay as often as they were logged.
+    runlog.append_runs(path, runs("b"), "b")
+    runlog.append_runs(path, runs("a"))
+    assert sorted(f for _, f, _ in map(tuple, runlog.read_runs(path, spark).collect())) == ["f1", "own of a", "own of b", "own of c"]
+    for _ in range(2):
+        runlog.append_runs(path, runs("x", "FAILED"))
+    assert runlog.read_runs(path, spark).where("status = 'FAILED'").count() == 2

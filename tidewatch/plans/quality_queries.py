@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F, types as T
 
 from tidewatch.functions.scalars import long_form
@@ -84,6 +86,57 @@ def gate_table(spark, folder):
     return shown(gates.gate_table(pairs, min_rows=1000, required=["event_type"]))
 
 
+_TYPED = "(SELECT user_id, event_type, CASE WHEN event_id % 3 = 0 THEN 'test' ELSE 'train' END AS split, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS is_anomaly FROM events)"
+
+
+@query("gates_while_writing", f"""
+    WITH g AS (SELECT *, count(*) AS c FROM {_TYPED} GROUP BY ALL),
+         t AS (SELECT sum(c)::DOUBLE AS n, (sum(c - 1) / sum(c))::DOUBLE AS r FROM g)
+    SELECT 'not_empty' AS name, NULL AS key, n AS value, n > 0 AS passed FROM t
+    UNION ALL SELECT 'minimum_rows', NULL, n, n >= 1000 FROM t
+    UNION ALL SELECT 'column_count', NULL, 4, true FROM t
+    UNION ALL SELECT 'required_columns', NULL, 1, true FROM t
+    UNION ALL SELECT 'duplicate_rate', NULL, round(r, 6), r < 0.9 FROM t
+    UNION ALL SELECT 'total_null_cells', NULL, 0, NULL FROM t
+    UNION ALL SELECT 'rows', split, count(*), NULL FROM g GROUP BY split
+    UNION ALL SELECT 'anomaly_share', split, round(avg(is_anomaly), 6), NULL FROM g GROUP BY split
+    UNION ALL SELECT 'stored', NULL, count(*), NULL FROM g""")
+def gates_while_writing(spark, folder):
+    """Gate figures and split summary gathered by the write of the cleaned table itself."""
+    rows = read_table(spark, folder, "events").select(
+        "user_id", "event_type", F.when(F.col("event_id") % 3 == 0, "test").otherwise("train").alias("split"), (F.col("event_type") == "error").cast("int").alias("is_anomaly"))
+    path = fresh_folder(spark, "clean")
+    found, facts = gates.write_distinct(rows, path, "split", "is_anomaly", min_rows=1000, expected_columns=4, required=["event_type"])
+    none = F.lit(None)
+    stored = tables.read_parquet(spark, path).agg(F.count("*").cast("double").alias("value"))
+    return shown(profile.union_all([
+        found.select(F.col("gate").alias("name"), none.cast("string").alias("key"), F.col("observed").alias("value"), "passed"),
+        facts.select(F.col("fact").alias("name"), "key", "value", none.cast("boolean").alias("passed")),
+        stored.select(F.lit("stored").alias("name"), none.cast("string").alias("key"), "value", none.cast("boolean").alias("passed")),
+    ]))
+
+
+@query("guarded_rows", """
+    SELECT event_type, count(*) AS rows FROM events WHERE user_id IS NOT NULL GROUP BY 1""")
+def guarded_rows(spark, folder):
+    """Rows behind a hard stop that is part of the plan: a rule for each row, and gates over the table."""
+    events = read_table(spark, folder, "events").select("event_id", "user_id", "event_type", "value")
+    past = gates.only_past(events, gates.gate_table(events, min_rows=1, expected_columns=4, required=["event_type"]))
+    return gates.guarded(past, {"user known": F.col("user_id").isNotNull(), "value not negative": F.col("value") >= 0}).groupBy("event_type").agg(F.count("*").alias("rows"))
+
+
+@query("clean_rules", """
+    SELECT 'required_columns' AS rule, true AS passed UNION ALL SELECT 'no_nulls', (SELECT bool_and(value IS NOT NULL AND user_id IS NOT NULL AND event_type IS NOT NULL) FROM events)
+    UNION ALL SELECT 'numeric_types', true UNION ALL SELECT 'non_negative', (SELECT bool_and(value >= 0) FROM events)
+    UNION ALL SELECT 'binary_login', (SELECT bool_and(event_type IN ('view', 'click')) FROM events)""")
+def clean_rules(spark, folder):
+    """The assertions on the cleaned table, with roles for its columns."""
+    events = read_table(spark, folder, "events").select(
+        F.col("value").alias("duration"), F.col("value").alias("src_bytes"), F.col("user_id").alias("dst_bytes"),
+        F.when(F.col("event_type") == "view", 0).when(F.col("event_type") == "click", 1).otherwise(2).alias("logged_in"), F.col("event_type").alias("label"))
+    return gates.clean_table_rules(events)
+
+
 # Missing values, duplicates -----------------------------------------------------------------
 
 DOCS_WITH_LABELS = "documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
@@ -132,7 +185,8 @@ def duplicate_profile(spark, folder):
 @query("dedup_global", """
     SELECT DISTINCT lang, n_chars, md5(text) AS text_md5 FROM documents""")
 def dedup_global(spark, folder):
-    distinct = clean.dedup_global(read_table(spark, folder, "documents").select("text", "lang", "n_chars"))
+    """No text leaves the task that read it."""
+    distinct = clean.dedup_files(read_table(spark, folder, "documents"), ["text", "lang", "n_chars"])
     return distinct.select("lang", "n_chars", F.md5("text").alias("text_md5"))
 
 
@@ -482,4 +536,19 @@ def run_log_twice(spark, folder):
     path = fresh_folder(spark, "runs")
     for _ in range(2):
         runlog.append_runs(path, runs)
-    return spark.read.parquet(path)
+    return runlog.read_runs(path, spark)
+
+
+@query("run_log_writers", """
+    SELECT event_type AS run_name, md5(event_type) AS fingerprint, 'FINISHED' AS status FROM events GROUP BY 1
+    UNION ALL SELECT concat('user ', user_id), md5(user_id::VARCHAR), 'FAILED' FROM events GROUP BY user_id""")
+def run_log_writers(spark, folder):
+    """Four writers at the same time, all with the same finished runs; failed ones come from one of them only."""
+    events = read_table(spark, folder, "events")
+    runs = events.select(F.col("event_type").alias("run_name"), F.md5("event_type").alias("fingerprint"), F.lit(runlog.FINISHED).alias("status")).distinct()
+    user = F.col("user_id").cast("string")
+    failed = events.select(F.concat(F.lit("user "), user).alias("run_name"), F.md5(user).alias("fingerprint"), F.lit("FAILED").alias("status")).distinct()
+    path = fresh_folder(spark, "runs")
+    with ThreadPoolExecutor(4) as writers:
+        list(writers.map(lambda n: runlog.append_runs(path, runs.unionByName(failed) if n == 2 else runs, f"writer-{n}"), range(4)))
+    return runlog.read_runs(path, spark)

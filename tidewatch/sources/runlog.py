@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.functions.scalars import text
 
 FINISHED = "FINISHED"
 SEPARATOR = "\x1f"
 ABSENT = "\x00"
+ATTEMPT, WRITTEN = "_attempt", "_written"
 
 
 def row_digest(columns: list[str]) -> Column:
@@ -63,17 +66,32 @@ def new_runs(log: DataFrame, runs: DataFrame, key: str = "fingerprint") -> DataF
     return runs.dropDuplicates([key]).join(log.where(F.col("status") == FINISHED).select(key), key, "left_anti").select(*runs.columns)
 
 
-def append_runs(log_path: str, runs: DataFrame) -> None:
-    """Append the new runs to the Parquet log; repeating the call adds nothing.
+def append_runs(log_path: str, runs: DataFrame, writer: str | None = None) -> None:
+    """Append the runs that have not finished yet to the Parquet log, without a lock; repeating the call adds nothing.
 
-    One writer at a time: two concurrent calls don't see each other's rows.
+    Every call writes into a folder of its own (`writer`, drawn if not given), so any number of writers may
+    append at once; what they can't see of each other `read_runs` settles. A call that is repeated under its
+    name does not count its own folder as finished and writes it again.
     """
-    spark = runs.sparkSession
+    name, spark = writer or uuid.uuid4().hex, runs.sparkSession
     try:
-        log = spark.read.parquet(log_path)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        log = spark.read.option("basePath", log_path).parquet(log_path)
+        runs = new_runs(log.where(F.col(ATTEMPT).cast("string") != name), runs)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error.getCondition() or error):
             raise
-        runs.dropDuplicates(["fingerprint"]).write.mode("append").parquet(log_path)
-        return
-    new_runs(log, runs).write.mode("append").parquet(log_path)
+    runs.withColumn(WRITTEN, F.current_timestamp()).write.mode("overwrite").parquet(f"{log_path}/{ATTEMPT}={name}")
+
+
+def read_runs(log_path: str, spark: SparkSession, key: str = "fingerprint") -> DataFrame:
+    """The log with each finished fingerprint once: the attempt that was written first, by its name among equals.
+
+    Runs that have not finished stay as often as they were logged. All readers that see the same folders
+    settle alike, whatever the order in which writers came.
+    """
+    log = spark.read.option("basePath", log_path).parquet(log_path)
+    columns = [c for c in log.columns if c not in (ATTEMPT, WRITTEN)]
+    done = F.col("status") == FINISHED
+    rank = F.struct(F.col(WRITTEN), F.col(ATTEMPT).cast("string"), F.xxhash64(*columns))
+    first = log.where(done).groupBy(key).agg(F.min_by(F.struct(*columns), rank).alias("_run")).select("_run.*")
+    return first.unionByName(log.where(~F.coalesce(done, F.lit(False))).select(*columns))
