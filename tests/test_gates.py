@@ -17,7 +17,7 @@ def test_gates_of_a_write_are_those_of_the_table(spark, tmp_path):
     df = marked(spark)
     wanted = dict(min_rows=500, expected_columns=4, required=["label", "absent"], max_duplicate_rate=0.5)
     spark.sparkContext.setJobGroup("write", "observed")
-    found, facts = gates.write_distinct(df, str(tmp_path / "out"), "split", "y", **wanted)
+    found, facts = gates.write_distinct(spark, marked, str(tmp_path / "out"), "split", "y", **wanted)
     jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("write"))
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert jobs <= 3  # the write's own stages under adaptive execution, and nothing else
@@ -29,7 +29,7 @@ def test_gates_of_a_write_are_those_of_the_table(spark, tmp_path):
 
 
 def test_an_empty_write_fails_its_gates(spark, tmp_path):
-    found, _ = gates.write_distinct(marked(spark).limit(0), str(tmp_path / "out"))
+    found, _ = gates.write_distinct(spark, lambda session: marked(session).limit(0), str(tmp_path / "out"))
     assert [r.passed for r in found.orderBy("position").collect()] == [False, False, False, True, False]
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.joins import BROADCAST_BYTES
 from tidewatch.functions.scalars import digested
 from tidewatch.functions.storage import materialize
 
 
+COPIES = "_copies"
+
+
 def dedup_global(df: DataFrame) -> DataFrame:
     """One copy of every distinct row. Copies collapse inside each task before the shuffle."""
     return df.dropDuplicates()
@@ -33,11 +36,11 @@ def mark_duplicates(df: DataFrame, keys: list[str], row_id: str, output: str = "
 def verified_distinct(df: DataFrame) -> tuple[DataFrame, int]:
     """Safety dedup before training: the distinct rows and how many copies were dropped.
 
-    The rows are stored once, since splitting and fitting read them many times; they are counted on their way.
+    The rows are stored once, since splitting and fitting read them many times, each with the number of its copies;
+    the answer reads that column alone.
     """
-    came, left, rows = Observation(), Observation(), F.count(F.lit(1)).alias("rows")
-    distinct = materialize(dedup_global(df.observe(came, rows)).observe(left, rows))
-    return distinct, came.get["rows"] - left.get["rows"]
+    stored = materialize(df.groupBy(*df.columns).agg(F.count("*").alias(COPIES)))
+    return stored.drop(COPIES), stored.agg(F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0))).first()[0]
 
 
 #: Rows of a file that one bitmap covers: 4 KB, a bit for each.

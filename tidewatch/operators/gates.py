@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tidewatch import vocabulary as v
 from tidewatch.functions.scalars import digested, known, ratio
@@ -57,22 +57,25 @@ def _judged(
 
 
 def write_distinct(
-    df: DataFrame, path: str, split: str | None = None, target: str | None = None,
+    spark: SparkSession, build: Callable[[SparkSession], DataFrame], path: str, split: str | None = None, target: str | None = None,
     min_rows: int = v.MIN_ROWS, expected_columns: int = v.EXPECTED_COLUMNS, required: Sequence[str] = ("label",), max_duplicate_rate: float = v.MAX_DUPLICATE_RATE,
 ) -> tuple[DataFrame, DataFrame]:
-    """Write the distinct rows of `df` as Parquet and gather, while writing, (gates, facts).
+    """Write the distinct rows of `build(session)` as Parquet and gather, while writing, (gates, facts).
+
+    The session is a new one beside `spark`: a session that has observed a plan keeps an object that can't be serialised,
+    and fitted models of that session could not be sent to tasks any more.
 
     The rows are counted on their way in and on their way out, so the duplicate rate needs no pass of its own. `facts`
     (fact, key, value): missing cells after cleaning, and for `split` and `target` the rows and the share of 1 in train and test.
     """
-    came, left = Observation(), Observation()
+    df, came, left = build(spark.newSession()), Observation(), Observation()
     sides = ["train", "test"] if split else []
     held = [F.count_if(F.col(split) == side).alias(f"rows_{side}") for side in sides]
     held += [F.count_if((F.col(split) == side) & (F.col(target) == 1)).alias(f"ones_{side}") for side in sides if target]
     gaps = reduce(lambda a, b: a + b, [F.when(known(df, c).isNull(), 1).otherwise(0) for c in df.columns], F.lit(0))
     distinct = df.observe(came, F.count(F.lit(1)).alias("rows")).dropDuplicates()
     distinct.observe(left, F.count(F.lit(1)).alias("rows"), F.sum(gaps).alias("gaps"), *held).write.mode("overwrite").parquet(path)
-    before, after, spark = came.get, left.get, df.sparkSession
+    before, after = came.get, left.get
     rows, extra = F.lit(before["rows"]), F.lit(before["rows"] - after["rows"])
     judged = _judged(rows, extra, df.columns, min_rows, expected_columns, required, max_duplicate_rate)
     facts = [("total_null_cells", None, float(after["gaps"] or 0))]

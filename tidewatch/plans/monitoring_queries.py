@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators import batches, behaviour, drift, evaluate, service
+from tidewatch.functions.scalars import long_form
+from tidewatch.functions.storage import fresh_folder, materialize
+from tidewatch.operators import batches, behaviour, drift, evaluate, service, states
 from tidewatch.plans.registry import query, shown
 from tidewatch.sources import runlog, views
 from tidewatch.sources.tables import read_table
@@ -187,6 +189,26 @@ def psi_by_batch(spark, folder):
     return shown(drift.psi_by_batch(*_weeks(spark, folder), ["value", "user_id"], "week"))
 
 
+@query("weekly_states", """
+    WITH x AS (SELECT 'value' AS feature, CASE WHEN event_id % 50 <> 0 THEN value::DOUBLE END AS value FROM events UNION ALL SELECT 'user_id', user_id::DOUBLE FROM events)
+    SELECT feature, count(value) AS n, count(*) - count(value) AS missing, min(value) AS low, max(value) AS high, round(avg(value), 6) AS mean,
+           round(stddev_pop(value), 6) AS std, round(skewness(value), 6) AS skewness, true AS ranks_near, true AS distinct_near FROM x GROUP BY feature""")
+def weekly_states(spark, folder):
+    """States of each week, stored one week after the other, against the exact figures of all rows."""
+    events = views.events(spark, folder).select(
+        F.floor((F.dayofmonth("ts") - 1) / 7).alias("week"), F.when(F.col("event_id") % 50 != 0, F.col("value")).alias("value"), "user_id")
+    features, path = ["value", "user_id"], fresh_folder(spark, "states")
+    for week in range(5):
+        states.add_part(states.column_states(events.where(F.col("week") == week), features, "week"), path)
+    total = materialize(states.merged(states.read_states(spark, path)))
+    cells = long_form(events, features)
+    near = states.rank_gaps(total, cells, [0.05, 0.25, 0.5, 0.75, 0.95]).groupBy("feature").agg((F.max("gap") <= 2 * states.RANK_ERROR).alias("ranks_near"))
+    exact = cells.where("value IS NOT NULL").groupBy("feature").agg(F.count_distinct("value").alias("_exact"))
+    found = states.profile(total).join(near, "feature").join(exact, "feature")
+    close = F.abs(F.col("distinct_values") - F.col("_exact")) <= 0.1 * F.col("_exact")
+    return shown(found.select("feature", "n", "missing", "low", "high", "mean", "std", "skewness", "ranks_near", close.alias("distinct_near")))
+
+
 _DOC_SIDE = """SELECT 'n_chars' AS feature, n_chars::DOUBLE AS value FROM documents WHERE {0}
                UNION ALL SELECT 'doc_id', doc_id::DOUBLE FROM documents WHERE {0}"""
 _EN, _NOT_EN = _DOC_SIDE.format("lang = 'en'"), _DOC_SIDE.format("lang <> 'en'")

@@ -103,10 +103,10 @@ _TYPED = "(SELECT user_id, event_type, CASE WHEN event_id % 3 = 0 THEN 'test' EL
     UNION ALL SELECT 'stored', NULL, count(*), NULL FROM g""")
 def gates_while_writing(spark, folder):
     """Gate figures and split summary gathered by the write of the cleaned table itself."""
-    rows = read_table(spark, folder, "events").select(
+    rows = lambda session: read_table(session, folder, "events").select(
         "user_id", "event_type", F.when(F.col("event_id") % 3 == 0, "test").otherwise("train").alias("split"), (F.col("event_type") == "error").cast("int").alias("is_anomaly"))
     path = fresh_folder(spark, "clean")
-    found, facts = gates.write_distinct(rows, path, "split", "is_anomaly", min_rows=1000, expected_columns=4, required=["event_type"])
+    found, facts = gates.write_distinct(spark, rows, path, "split", "is_anomaly", min_rows=1000, expected_columns=4, required=["event_type"])
     none = F.lit(None)
     stored = tables.read_parquet(spark, path).agg(F.count("*").cast("double").alias("value"))
     return shown(profile.union_all([
