@@ -43,6 +43,10 @@ def encoding_pipeline(service: str = "service", symbolic: list[str] = ("protocol
     ])
 
 
+#: Values (rows times features) in a partition while fitting.
+TASK_VALUES = 4_000_000
+
+
 def class_counts(df: DataFrame, target: str) -> tuple[int, int]:
     row = df.agg(F.count_if(F.col(target) == 0), F.count_if(F.col(target) == 1)).first()
     if not row[0] or not row[1]:
@@ -50,17 +54,36 @@ def class_counts(df: DataFrame, target: str) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def with_balanced_weight(df: DataFrame, target: str, output: str = "_weight") -> DataFrame:
-    """n / (2 · rows of the class)."""
-    zeros, ones = class_counts(df, target)
+def _balanced(df: DataFrame, target: str, zeros: int, ones: int, output: str = "_weight") -> DataFrame:
     n = zeros + ones
     return df.withColumn(output, F.when(F.col(target) == 1, n / (2.0 * ones)).otherwise(n / (2.0 * zeros)))
 
 
+def _positive(df: DataFrame, target: str, zeros: int, ones: int, output: str = "_weight") -> DataFrame:
+    return df.withColumn(output, F.when(F.col(target) == 1, zeros / ones).otherwise(1.0))
+
+
+def with_balanced_weight(df: DataFrame, target: str, output: str = "_weight") -> DataFrame:
+    """n / (2 · rows of the class)."""
+    return _balanced(df, target, *class_counts(df, target), output)
+
+
 def with_positive_weight(df: DataFrame, target: str, output: str = "_weight") -> DataFrame:
     """Positives weigh (negatives / positives), negatives 1."""
-    zeros, ones = class_counts(df, target)
-    return df.withColumn(output, F.when(F.col(target) == 1, zeros / ones).otherwise(1.0))
+    return _positive(df, target, *class_counts(df, target), output)
+
+
+def penalised_gradient(model: PipelineModel, train: DataFrame, target: str) -> DataFrame:
+    """(term, gradient) of the objective that `fit_logistic` minimises, at its solution: all near 0 if it is one."""
+    zeros, ones = class_counts(train, target)
+    fitted, scaled = model.stages[-1], model.transform(_balanced(train, target, zeros, ones))
+    p, x = vector_to_array("probability")[1], vector_to_array("_features")
+    error = F.col("_weight") * (p - F.col(target))
+    total, n = F.sum("_weight"), len(fitted.coefficients)
+    rows = scaled.select("_weight", error.alias("_e"), x.alias("_x"))
+    sums = rows.agg((F.sum("_e") / total).alias("intercept"), *[(F.sum(F.col("_e") * F.col("_x")[k]) / total).alias(f"x{k}") for k in range(n)])
+    penalty = {f"x{k}": float(c) / (zeros + ones) for k, c in enumerate(fitted.coefficients)}
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(c).alias("term"), (F.col(c) + F.lit(penalty.get(c, 0.0))).alias("gradient")) for c in sums.columns])))
 
 
 def _assembled(features: list[str]) -> VectorAssembler:
@@ -73,14 +96,20 @@ def fit_logistic(train: DataFrame, features: list[str], target: str, max_iter: i
     A penalty of strength 1 on the summed loss equals regParam = 1 / Σ weights; balanced
     weights add up to the number of rows.
     """
-    weighted = with_balanced_weight(train, target)
+    zeros, ones = class_counts(train, target)
+    weighted = _balanced(train, target, zeros, ones)
     classifier = LogisticRegression(
         featuresCol="_features", labelCol=target, weightCol="_weight", maxIter=max_iter, tol=1e-8,
-        regParam=1.0 / weighted.agg(F.sum("_weight")).first()[0], elasticNetParam=0.0, standardization=False,
+        regParam=1.0 / (zeros + ones), elasticNetParam=0.0, standardization=False,
     )
     return Pipeline(stages=[
         PopulationScaler(columns=features), _assembled([f"{c}_scaled" for c in features]), classifier,
-    ]).fit(weighted)
+    ]).fit(_sized(weighted, zeros + ones, features))
+
+
+def _sized(df: DataFrame, rows: int, features: list[str]) -> DataFrame:
+    """No more partitions than hold TASK_VALUES values each: growing trees is hundreds of jobs over the same rows."""
+    return df.coalesce(max(1, -(-rows * len(features) // TASK_VALUES)))
 
 
 def _fit_trees(classifier: Estimator, weighted: DataFrame, features: list[str]) -> PipelineModel:
@@ -89,21 +118,26 @@ def _fit_trees(classifier: Estimator, weighted: DataFrame, features: list[str])
 
 
 def fit_forest(train: DataFrame, features: list[str], target: str, trees: int = v.TREES, max_depth: int = 30) -> PipelineModel:
-    """Balanced random forest; the published one has no depth limit, and 30 is the deepest that MLlib grows."""
+    """Balanced random forest; the published one has no depth limit, and 30 is the deepest that MLlib grows.
+
+    Each row's place in the trees is kept and checkpointed, so a deep level does not walk down from the roots again.
+    """
+    zeros, ones = class_counts(train, target)
     classifier = RandomForestClassifier(
-        featuresCol="_features", labelCol=target, weightCol="_weight", numTrees=trees,
+        featuresCol="_features", labelCol=target, weightCol="_weight", numTrees=trees, cacheNodeIds=True, checkpointInterval=10,
         featureSubsetStrategy="sqrt", maxDepth=max_depth, seed=v.SEED, maxMemoryInMB=512,
     )
-    return _fit_trees(classifier, with_balanced_weight(train, target), features)
+    return _fit_trees(classifier, _sized(_balanced(train, target, zeros, ones), zeros + ones, features), features)
 
 
 def fit_boosting(train: DataFrame, features: list[str], target: str, rounds: int = v.BOOSTING_ROUNDS, max_depth: int = 6, step: float = 0.3) -> PipelineModel:
     """Boosted trees with the positive class weighted by the class ratio."""
+    zeros, ones = class_counts(train, target)
     classifier = GBTClassifier(
-        featuresCol="_features", labelCol=target, weightCol="_weight", maxIter=rounds,
+        featuresCol="_features", labelCol=target, weightCol="_weight", maxIter=rounds, cacheNodeIds=True, checkpointInterval=10,
         maxDepth=max_depth, stepSize=step, seed=v.SEED, maxMemoryInMB=512,
     )
-    return _fit_trees(classifier, with_positive_weight(train, target), features)
+    return _fit_trees(classifier, _sized(_positive(train, target, zeros, ones), zeros + ones, features), features)
 
 
 def score(model: PipelineModel, df: DataFrame, keep: list[str], output: str = "score") -> DataFrame:

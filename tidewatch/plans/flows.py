@@ -13,6 +13,7 @@ from tidewatch.operators import evaluate, models
 from tidewatch.operators.clean import dedup_global, verified_distinct
 from tidewatch.operators.encode import prepare_records, stratified_split
 from tidewatch.operators.targets import feature_columns, pipeline_targets
+from tidewatch.sources.artifacts import Scorer
 
 
 def prepare_features(raw: DataFrame) -> tuple[DataFrame, PipelineModel]:
@@ -69,6 +70,11 @@ def score_records(
     return models.respond(model, prepared, list(keep), version)
 
 
+def score_with(scorer: Scorer, records: DataFrame, keep: Sequence[str], **roles) -> DataFrame:
+    """`score_records` with what `artifacts.load_scorer` brought back; for a table or a stream."""
+    return score_records(records, scorer.encoder, scorer.model, scorer.features, scorer.version, keep, **roles)
+
+
 def train_and_evaluate(data: TrainTest, category: str, keep: Sequence[str], target: str = "is_anomaly") -> dict[str, tuple[PipelineModel, DataFrame]]:
     """Fit the three classifiers; each comes with its (metric, value) rows, recall per category included."""
     train = data.train.persist()

@@ -38,7 +38,8 @@ def _start(writer, output: str) -> StreamingQuery:
     return writer.option("checkpointLocation", f"{output}/_progress").trigger(availableNow=True).start()
 
 
-def _to_files(df: DataFrame, output: str) -> StreamingQuery:
+def to_files(df: DataFrame, output: str) -> StreamingQuery:
+    """Append the rows of a stream to `output`/data."""
     writer = df.writeStream.format("parquet").outputMode("append").option("path", f"{output}/data")
     return _start(writer, output)
 
@@ -51,7 +52,7 @@ def score_stream(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], s
                  keep: Sequence[str], output: str) -> StreamingQuery:
     """Prepare, score and decide row by row; append to `output`/data."""
     scored = decide(prepare(stream), score, version).select(*keep, "anomaly", "anomaly_score", "model_version")
-    return _to_files(scored, output)
+    return to_files(scored, output)
 
 
 def gate_stream(stream: DataFrame, expected: Mapping[str, str], row_id: str, batch: str | None, output: str,
@@ -163,4 +164,4 @@ def latest_metrics(spark: SparkSession, output: str) -> DataFrame:
 def dedup_stream(stream: DataFrame, keys: Sequence[str], ts: str, output: str, late: str = "10 minutes") -> StreamingQuery:
     """Drop repeats of a key arriving within the watermark, such as records sent again after a failure."""
     unique = stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
-    return _to_files(unique, output)
+    return to_files(unique, output)
