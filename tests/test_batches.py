@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators.batches import batch_incidents, batch_verdict, route
+from tidewatch.operators.batches import batch_incidents, batch_verdict, counted_verdict, route
 from tidewatch.operators.service import service_metrics
 
 EXPECTED = {"duration": "numeric", "protocol_type": "categorical", "src_bytes": "numeric", "dst_bytes": "numeric", "count": "numeric"}
@@ -31,6 +31,18 @@ def test_published_batch(spark):
     assert (verdict.status, verdict.action, verdict.total_incidents) == ("FAILED", "BLOCKED_BATCH", 6)
 
 
+def test_verdicts_by_counting_are_those_of_the_incidents(spark):
+    clean = [(10 + i, "good", "1", "tcp", "1", str(i), "1", "x") for i in range(3)]
+    nothing = [(20, None, "1", "tcp", "1", "1", "1", None), (21, None, None, "udp", "nan", "1_0", "1", None)]
+    df = spark.createDataFrame(DEFECTS + clean + nothing, SCHEMA)
+    numbers = df.withColumn("src_bytes", F.col("src_bytes").try_cast("double"))
+    for frame in (df, numbers, df.drop("unexpected_column"), df.drop("count")):
+        want = batch_verdict(frame, batch_incidents(frame, EXPECTED, "row_id", "batch"), "batch")
+        assert sorted(map(str, counted_verdict(frame, EXPECTED, "row_id", "batch").collect())) == sorted(map(str, want.collect()))
+    plan = batch_incidents(numbers.select("row_id", "batch", "src_bytes"), {"src_bytes": "numeric"}, "row_id", "batch")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan.upper()
+
+
 def test_several_batches_and_routing(spark):
     clean = [(10 + i, "good", "1", "tcp", "1", str(i), "1") for i in range(3)]
     rows = [r[:-1] for r in DEFECTS] + clean

@@ -38,7 +38,7 @@ def _sizes(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, bool, int]:
     """Rows per group, whether the groups are few enough to broadcast, and the largest group."""
     sizes = materialize(rows.groupBy(*keys).agg(F.count("*").alias("n")))
     groups, largest = sizes.agg(F.count("*"), F.coalesce(F.max("n"), F.lit(0))).first()
-    return sizes, groups <= BROADCAST_ROWS, largest
+    return sizes, groups <= BROADCAST_ROWS and fits_broadcast(sizes), largest
 
 
 def _with_cuts(rows: DataFrame, sketch: DataFrame, keys: list[str], small: bool) -> DataFrame:
@@ -126,7 +126,7 @@ def exact_quantiles(
         needed = materialize(
             sized(pieces.withColumn("_before", start_at)).where(wanted).select(*cell, "_before", "_rows")
         )
-        inside = attach(located.drop("_before"), needed.select(*cell, "_before"), cell, "inner", few)
+        inside = attach(located.drop("_before"), needed.select(*cell, "_before"), cell, "inner", fits_broadcast(needed))
         # From here on one row per distinct value, so the next cut is even over values, not copies.
         rows = materialize(
             inside.groupBy(*cell, "_before", "_x").agg(F.sum("_w").alias("_w")).select(*cell, "_before", "_x", "_w")

@@ -92,9 +92,9 @@ def text_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
 
 
-def digested(df: DataFrame) -> DataFrame:
-    """Text columns as 32-byte digests, equal exactly where the texts are: for counting without moving texts."""
-    return df.withColumns({c: F.unhex(F.sha2(F.col(c), 256)) for c in text_columns(df)})
+def digested(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
+    """Text columns but those in `keep` as 32-byte digests, equal exactly where the texts are: for counting without moving texts."""
+    return df.withColumns({c: F.unhex(F.sha2(F.col(c), 256)) for c in text_columns(df, exclude=keep)})
 
 
 def long_form(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:

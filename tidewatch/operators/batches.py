@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewatch import vocabulary as v
 from tidewatch.functions.joins import lookup_join
-from tidewatch.functions.scalars import parse_float_literal, text
+from tidewatch.functions.scalars import digested, parse_float_literal, text
 
 FIELDS = ["type", "severity", "column", "row_id", "value", "detail"]
 
@@ -38,15 +39,13 @@ def cell_incidents(
 
     Purely row-wise (no shuffle). A text 'nan' reads as a number and is no incident.
     """
-    low, high = value_range
     checks = []
     for c, kind in expected.items():
         if c not in df.columns:
             continue
         cell, name, row = F.col(c), F.lit(c), F.col(row_id)
         if kind == "numeric":
-            number = parse_float_literal(cell)
-            outside = ~F.isnan(number) & ((number < low) | (number > high))
+            number, outside = _number(df, c, value_range)
             checks.append(
                 F.when(cell.isNull(), None)
                 .when(number.isNull(), _incident("INCORRECT_DATATYPE", _say("INCORRECT_DATATYPE", row, name, cell), name, row, cell))
@@ -60,6 +59,44 @@ def cell_incidents(
     return df.select(batch, F.inline(F.array_compact(F.array(*checks))))
 
 
+def _number(df: DataFrame, c: str, value_range: tuple[float, float]) -> tuple[Column, Column]:
+    """A cell as a number (a column known to be numeric is not printed and parsed), and whether it lies outside the range."""
+    number = F.col(c).cast("double") if isinstance(df.schema[c].dataType, T.NumericType) else parse_float_literal(F.col(c))
+    return number, ~F.isnan(number) & ((number < value_range[0]) | (number > value_range[1]))
+
+
+def _bad_cells(df: DataFrame, expected: Mapping[str, str], allowed: Sequence[str], value_range: tuple[float, float]) -> Column:
+    """How many cells of a row are incidents, without wording them."""
+    bad = [F.lit(0)]
+    for c, kind in expected.items():
+        if c in df.columns and kind == "numeric":
+            number, outside = _number(df, c, value_range)
+            bad.append((F.col(c).isNotNull() & (number.isNull() | outside)).cast("int"))
+        elif c in df.columns and kind == "categorical":
+            bad.append(F.coalesce(~F.col(c).isin(*allowed), F.lit(False)).cast("int"))
+    return reduce(lambda a, b: a + b, bad)
+
+
+def counted_verdict(
+    df: DataFrame, expected: Mapping[str, str], row_id: str, batch: str,
+    allowed: Sequence[str] = v.PROTOCOLS, value_range: tuple[float, float] = v.VALUE_RANGE,
+) -> DataFrame:
+    """`batch_verdict` of a frame's own incidents, counted and not worded: one grouped pass, and one over digests for copies."""
+    data = [c for c in df.columns if c not in (row_id, batch)]
+    checked = [c for c in expected if c in data]
+    missing, extra = any(c not in data for c in expected), any(c not in expected for c in data)
+    cells = F.sum(_bad_cells(df, expected, allowed, value_range))
+    gaps = reduce(lambda a, b: a + b, [F.max(F.col(c).isNull().cast("int")) for c in checked], F.lit(0))
+    counts = df.groupBy(batch).agg(cells.alias("_cells"), gaps.alias("_gaps"))
+    copies = row_copies(digested(df, keep=[batch]), row_id, batch).groupBy(F.col(batch).alias("_copied")).agg((F.max("_n") > 1).cast("int").alias("_copies"))
+    n = F.col("_cells") + F.col("_gaps") + F.col("_copies") + int(missing) + int(extra)
+    blocked = F.lit(missing) | (F.col("_cells") > 0)
+    return counts.join(copies, F.col(batch).eqNullSafe(F.col("_copied"))).select(
+        batch, F.when(blocked, v.VERDICT_FAILED[0]).otherwise(v.VERDICT_PASSED[0]).alias("status"),
+        F.when(blocked, v.VERDICT_FAILED[1]).otherwise(v.VERDICT_PASSED[1]).alias("action"), n.cast("long").alias("total_incidents"),
+    )
+
+
 def batch_counts(df: DataFrame, expected: Mapping[str, str], row_id: str, batch: str) -> DataFrame:
     """(batch, one count of nulls per checked column); counts of parts of a batch add up."""
     checked = [c for c in expected if c in df.columns and c not in (row_id, batch)]

@@ -19,6 +19,7 @@ from tidewatch import vocabulary as v
 from tidewatch.functions.joins import attach
 from tidewatch.functions.ranks import exact_quantiles
 from tidewatch.functions.scalars import any_of, digested, known, long_form, numeric_columns, parse_number, ratio, text, text_columns
+from tidewatch.functions.storage import materialize
 
 #: Rows looked at for a value near which sums of squares are taken.
 HEAD = 1000
@@ -391,7 +392,11 @@ def static_findings(df: DataFrame) -> DataFrame:
 
 
 def quality_report(df: DataFrame) -> DataFrame:
-    """All profile checks as one long table (check, column, metric, value, detail)."""
+    """All profile checks as one long table (check, column, metric, value, detail).
+
+    The table is stored first: many checks read it, and a view of joins would be joined again for each of them.
+    """
+    df = materialize(df)
 
     def rows(check: str, frame: DataFrame, column: Column, metric: str, value: Column, detail: Column | None = None):
         return frame.select(

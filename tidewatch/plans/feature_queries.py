@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, functions as F
 
 from tidewatch.operators import clean, encode, explore, models, targets
 from tidewatch.operators.stages import (
-    ColumnDropper, ConstantDropper, IndicatorEncoder, LogColumns, PopulationScaler, RateEncoder, ValueGrouper,
+    ColumnDropper, ConstantDropper, IndicatorEncoder, LogColumns, PopulationScaler, RateEncoder, ValueGrouper, sparse_indicators,
 )
 from tidewatch.functions.scalars import numeric_columns
 from tidewatch.plans.registry import query, shown
@@ -150,6 +151,19 @@ def one_hot(spark, folder):
     return encoder.transform(rows).drop("service", "n_chars", "quality", "is_anomaly", "split")
 
 
+@query("one_hot_sparse", f"""
+    WITH s AS ({DOC_SPLIT}), c AS (SELECT service, row_number() OVER (ORDER BY count(*) DESC, service) - 1 AS i FROM s WHERE split = 'train' GROUP BY service)
+    SELECT doc_id, coalesce(i, (SELECT count(*) FROM c))::INTEGER AS place, 1.0::DOUBLE AS value, (SELECT count(*) + 1 FROM c)::INTEGER AS size FROM s LEFT JOIN c USING (service)""")
+def one_hot_sparse(spark, folder):
+    """The sparse form for columns of many values: the one place of each row's vector that is set."""
+    rows = _split_documents(spark, folder)
+    encoder = sparse_indicators(["service"]).fit(rows.where(F.col("split") == "train").orderBy("doc_id"))
+    dense = vector_to_array("service_vector")
+    encoded = encoder.transform(rows).select("doc_id", dense.alias("v"))
+    place = F.array_position("v", F.lit(1.0)).cast("int") - 1
+    return encoded.select("doc_id", place.alias("place"), F.get("v", place).alias("value"), F.size("v").alias("size"))
+
+
 _SCALE_SQL = ", ".join(
     f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}_scaled" for c in SCALED
 )

@@ -23,12 +23,10 @@ def _events(spark, folder):
     return jobs.file_stream(spark, folder, schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _events_in_parts(spark, folder):
+def _events_in_parts(spark, folder, files=PARTS):
     """The events as several files, dealt to PARTS micro-batches."""
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    files = max(PARTS, events.rdd.getNumPartitions())
     parts = fresh_folder(spark, "parts")
-    events.repartition(files).write.parquet(parts)
+    spark.read.parquet(f"{folder}/events.parquet").repartition(files).write.parquet(parts)
     stream = jobs.file_stream(spark, parts, read_table(spark, folder, "events").schema, files=-(-files // PARTS))
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -71,6 +69,22 @@ def stream_gate(spark, folder):
     return jobs.gate_results(spark, output, batch.EXPECTED_FIELDS, "event_id", "batch")["incidents"]
 
 
+@query("stream_gate_route", f"""
+    SELECT 'verdict' AS part, NULL AS event_id, batch, NULL AS amount, NULL AS kind, NULL AS extra, concat(status, ' ', action, ' ', total_incidents) AS told
+    FROM ({batch._VERDICT.format(batch._FEED, batch._FEED_INCIDENTS)})
+    UNION ALL SELECT CASE WHEN status = 'FAILED' THEN 'quarantine' ELSE 'accepted' END, event_id, batch, amount, kind, extra, NULL
+    FROM {batch._FEED} JOIN ({batch._VERDICT.format(batch._FEED, batch._FEED_INCIDENTS)}) USING (batch)""")
+def stream_gate_route(spark, folder):
+    """The other three outputs of the gate on a stream: verdicts, accepted rows and quarantine, all columns."""
+    output = fresh_folder(spark, "gate")
+    rows = batch.event_feed(_events_in_parts(spark, folder))
+    _finish(jobs.gate_stream(rows, batch.FEED_FIELDS, "event_id", "batch", output, batch.KINDS, batch.AMOUNTS))
+    found = jobs.gate_results(spark, output, batch.FEED_FIELDS, "event_id", "batch")
+    told = found["verdict"].select(F.lit("verdict").alias("part"), "batch", F.concat_ws(" ", "status", "action", "total_incidents").alias("told"))
+    mark = lambda part: found[part].select(F.lit(part).alias("part"), "event_id", "batch", "amount", "kind", "extra")
+    return mark("accepted").unionByName(mark("quarantine")).unionByName(told, allowMissingColumns=True)
+
+
 @query("stream_drift", f"""
     SELECT feature, week, round(psi, 6) AS psi, {batch._STATUS.format('ALERT')} FROM ({batch.psi_sql(batch._FIRST_WEEK, batch._LONG_EVENTS, ["week"])})""")
 def stream_drift(spark, folder):
