@@ -86,11 +86,11 @@ def duplicate_profile(df: DataFrame) -> DataFrame:
 def connection_rules() -> dict[str, tuple[set[str], Column]]:
     """The two record rules, each with the columns it needs."""
     return {
-        "su_attempted_sin_evidencia_root": (
+        v.RULE_ROOT_WITHOUT_EVIDENCE: (
             {"su_attempted", "root_shell", "num_root"},
             (F.col("su_attempted") == 1) & (F.col("root_shell") == 0) & (F.col("num_root") == 0),
         ),
-        "land_attack_sin_bytes": (
+        v.RULE_LAND_WITHOUT_BYTES: (
             {"land", "src_bytes", "dst_bytes"},
             (F.col("land") == 1) & (F.col("src_bytes") == 0) & (F.col("dst_bytes") == 0),
         ),
@@ -162,10 +162,10 @@ def impossible_values(
     measures = {}
     for c in non_negative:
         if c in df.columns:
-            measures[f"{c}_negativos"] = {"rows": F.count_if(known(df, c) < 0)}
+            measures[f"{c}{v.NEGATIVE_SUFFIX}"] = {"rows": F.count_if(known(df, c) < 0)}
     for c in rates:
         if c in df.columns:
-            measures[f"{c}_fuera_de_[0,1]"] = {"rows": F.count_if((known(df, c) < 0) | (known(df, c) > 1))}
+            measures[f"{c}{v.OUTSIDE_RATE_SUFFIX}"] = {"rows": F.count_if((known(df, c) < 0) | (known(df, c) > 1))}
     return per_column(df, measures, key="finding").where("rows > 0")
 
 
@@ -370,9 +370,9 @@ def leakage_inventory(df: DataFrame) -> DataFrame:
     names = df.columns
     rows = []
     if {"attack_category", "label"} <= set(names):
-        rows += [("derived_target_columns", c) for c in ("attack_category", "is_anomaly", "label")]
-    rows += [("features_ventana_2_segundos", c) for c in names if c in v.TWO_SECOND_COLUMNS]
-    rows += [("features_ventana_100_conexiones", c) for c in names if c.startswith(v.HUNDRED_PREFIX)]
+        rows += [(v.LEAKAGE_TARGETS, c) for c in ("attack_category", "is_anomaly", "label")]
+    rows += [(v.LEAKAGE_TWO_SECONDS, c) for c in names if c in v.TWO_SECOND_COLUMNS]
+    rows += [(v.LEAKAGE_HUNDRED, c) for c in names if c.startswith(v.HUNDRED_PREFIX)]
     return df.sparkSession.createDataFrame(rows, "finding string, column string")
 
 
@@ -383,11 +383,7 @@ def window_columns_kept(df: DataFrame) -> DataFrame:
 
 def static_findings(df: DataFrame) -> DataFrame:
     """Checks without a computation: no dates, no mixed units, no time gaps to measure."""
-    rows = [
-        ("invalid_dates", False, "dataset sin columna de timestamp"),
-        ("unit_errors", True, "sin evidencia de mezcla de unidades"),
-        ("temporal_gaps", False, None),
-    ]
+    rows = list(v.STATIC_FINDINGS)
     return df.sparkSession.createDataFrame(rows, "check string, applicable boolean, finding string")
 
 
