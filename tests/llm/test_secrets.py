@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -85,3 +86,23 @@ def test_a_findings_count_switches_nothing(spark):
         for n in net.nets:
             assert marked(n, [secrets.token(rng, "github") for _ in range(50)]) >= 0.9
             assert marked(n, [secrets.written(rng, secrets.FORMS["phone"][0]) + "-1" for _ in range(50)]) <= 0.02
+
+
+def test_every_finding_is_fitted_on(spark):
+    """More findings than any bound of rows: all of them are in the parts, and the threshold keeps the recall of all that are held."""
+    rng = np.random.default_rng(4)
+    texts = [f"we saw {rng.bytes(10).hex()} and /{secrets.spoken(rng, 9)}/{secrets.spoken(rng, 9)}/ there" for _ in range(6_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = secrets.parts(docs, rows=1_500).collect()
+    own = [r for r in table if r.kind == 0]
+    for label in (0, 1):
+        assert len({bytes(r.frame) for r in own if r.label == label}) == sum(r.label == label for r in own) == 6_000
+    sizes = Counter((r.net, r.part) for r in own)
+    assert {k for k, _ in sizes} == {0, 1} and len(sizes) >= 8 and max(sizes.values()) <= 2_000
+    net = secrets.train(docs, rows=1_500)
+    for k, one in enumerate(net.nets):
+        held = [r for r in own if r.net == k and r.held]
+        score = one.probability(np.array([np.frombuffer(r.frame, np.uint8) for r in held]))
+        assert np.mean(score[[r.label == 1 for r in held]] >= one.threshold) >= secrets.RECALL - 1e-9
+        assert marked(one, [secrets.token(rng, "github") for _ in range(50)]) >= 0.9
+        assert marked(one, [secrets.written(rng, secrets.FORMS["phone"][0]) + "-1" for _ in range(50)]) <= 0.02

@@ -12,9 +12,11 @@ shapes (`SHAPES`) in contexts of the table. Others: candidates that no base patt
 do not look like a token (`alike`), since a secret of an unknown shape may be among those, and
 planted paths, addresses and names. Documents are dealt to two folds by their text; each is scored
 by the network fitted on the other fold, and a frame seen in both folds is fitted by neither.
-Training takes at most `TRAIN_ROWS` frames of each label from the table, half of them of each fold, those with
-the smallest hashes; a fifth, by hash, only calibrates: a temperature is fitted on it, then the
-threshold is the largest one up to `EVEN` that keeps `RECALL` of its base findings and of its planted secrets.
+Training takes every distinct frame of the table, dealt by hash into parts of about `PART_ROWS`, each with planted findings of
+its own. In each of `ROUNDS` rounds every part goes on from the same weights, once over its frames, and the
+weights are averaged by the parts' sizes (as sums of whole numbers, so their order is without effect). A fifth of the frames, by
+hash, only calibrates: their scores are counted in bins of a 1/`GRAIN` of a logit, a temperature is fitted on the counts, then the
+threshold is the largest lower edge of a bin, up to `EVEN`, that keeps `RECALL` of the base findings and of the planted secrets.
 Both networks begin as one fixed network, fitted on planted findings only (`fixed`), and go on with the planted ones
 and what the table has, be it nothing; so no number of findings decides which method answers.
 
@@ -36,6 +38,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.llm.common import importable, keyed, stored, text_array
@@ -52,13 +55,18 @@ INSIDE = 48
 STRIDE = 16
 LEAST = 16
 FRAME = CONTEXT + INSIDE + CONTEXT
-TRAIN_ROWS = 4_000
+PART_ROWS = 8_000
+ROUNDS = 3
 PLANTED = 4_000
 LEAST_STEPS = 1_000
 RECALL = 0.99
 EVEN = 0.9
 SEED = 7
 FOLDS = 2
+#: Bins of a logit, which is cut at LARGEST; weights are summed as whole numbers of 1 / WHOLE.
+GRAIN = 256
+LARGEST = 120
+WHOLE = 1 << 24
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 ALNUM = LOWER + UPPER + DIGITS
@@ -233,6 +241,9 @@ def planted(rng: np.random.Generator, shapes: Sequence[str], forms: Sequence[str
     return np.array(frames, np.uint8).reshape(-1, FRAME), np.array(labels, np.int64)
 
 
+WEIGHTS = ("embed", "conv", "bias", "hidden", "hidden_bias", "out", "out_bias")
+
+
 @dataclass
 class Network:
     """Weights as arrays; `filters` convolutions over an embedding of `width` for each character."""
@@ -256,6 +267,16 @@ class Network:
         zeros = lambda n: np.zeros(n, np.float32)
         return cls(embed, draw(5 * width, filters), zeros(filters), draw(2 * filters, hidden), zeros(hidden), draw(hidden, 1)[:, 0], zeros(1))
 
+    def flat(self) -> np.ndarray:
+        """All weights one after the other."""
+        return np.concatenate([getattr(self, name).ravel() for name in WEIGHTS])
+
+    def filled(self, values: np.ndarray) -> "Network":
+        """The same network with other weights, in the order of `flat`."""
+        ends = np.cumsum([getattr(self, name).size for name in WEIGHTS])
+        parts = np.split(values.astype(np.float32), ends[:-1])
+        return replace(self, **{name: part.reshape(getattr(self, name).shape) for name, part in zip(WEIGHTS, parts)})
+
     def _forward(self, frames: np.ndarray):
         e = self.embed[frames]
         n = FRAME - self.span + 1
@@ -298,31 +319,42 @@ class Network:
         return {"embed": dembed, "conv": dconv, "bias": dp[:, :filters].sum(0) + dp[:, filters:].sum(0), "hidden": p.T @ dh, "hidden_bias": dh.sum(0), "out": h.T @ d, "out_bias": d.sum(keepdims=True)}
 
 
-def fit(frames: np.ndarray, labels: np.ndarray, held: np.ndarray, kinds: np.ndarray | None = None, begin: Network | None = None, epochs: int = 6, batch: int = 64, rate: float = 3e-3) -> Network:
-    """Train on the rows not `held`; temperature and threshold come from the held ones, with `RECALL` kept for each of `kinds`."""
-    rng = np.random.default_rng(SEED)
-    net = replace(begin) if begin else Network.new(rng)
-    own = np.flatnonzero(~held)
+def descend(net: Network, frames: np.ndarray, labels: np.ndarray, epochs: int, rng: np.random.Generator, batch: int = 64, rate: float = 3e-3) -> Network:
+    """The network after `epochs` of Adam over the frames."""
+    net = replace(net)
     state: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     step = 0
-    for _ in range(epochs if begin else max(epochs, -(-LEAST_STEPS // max(1, len(own) // batch)))):
-        for at in np.array_split(rng.permutation(own), max(1, len(own) // batch)):
+    for _ in range(epochs):
+        for at in np.array_split(rng.permutation(len(frames)), max(1, len(frames) // batch)):
             step += 1
             for name, g in net.gradients(frames[at], labels[at].astype(np.float32)).items():
                 m, v = state.get(name, (0.0, 0.0))
                 m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
                 state[name] = (m, v)
                 setattr(net, name, (getattr(net, name) - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32))
-    logit, truth = net.logits(frames[held]).astype(np.float64), labels[held].astype(np.float64)
+    return net
+
+
+def bins(logits: np.ndarray) -> np.ndarray:
+    return np.floor(np.clip(logits.astype(np.float64), -LARGEST, LARGEST) * GRAIN).astype(np.int64)
+
+
+def calibrated(net: Network, kinds: np.ndarray, truth: np.ndarray, places: np.ndarray, counts: np.ndarray) -> Network:
+    """The network with a temperature and a threshold from how many held frames of each kind and label have their logit in each bin; `RECALL` is kept for each kind."""
+    logit = (places + 0.5) / GRAIN
 
     def loss(t: float) -> float:
-        return float(np.mean(np.logaddexp(0, logit / t) - truth * logit / t))
+        return float(np.sum(counts * (np.logaddexp(0, logit / t) - truth * logit / t)))
 
-    net.temperature = min(np.geomspace(0.25, 8, 61), key=loss)
-    score, kinds = 1 / (1 + np.exp(-np.clip(logit / net.temperature, -30, 30))), np.zeros(len(labels), int) if kinds is None else kinds
-    groups = [np.sort(score[(truth > 0) & (kinds[held] == k)]) for k in np.unique(kinds[held])]
-    net.threshold = min([EVEN, *(float(g[int((1 - RECALL) * len(g))]) for g in groups if len(g))]) if truth.any() else 1.0
-    return net
+    temperature = float(min(np.geomspace(0.25, 8, 61), key=loss))
+    edges = []
+    for kind in np.unique(kinds[truth > 0]):
+        own = np.flatnonzero((truth > 0) & (kinds == kind))
+        own = own[np.argsort(places[own])]
+        upto = np.cumsum(counts[own])
+        edges.append(places[own][np.searchsorted(upto, int((1 - RECALL) * upto[-1]), side="right")] / GRAIN)
+    threshold = min([EVEN, *(float(1 / (1 + np.exp(-np.clip(e / temperature, -30, 30)))) for e in edges)]) if edges else 1.0
+    return replace(net, temperature=temperature, threshold=threshold)
 
 
 @dataclass
@@ -347,19 +379,20 @@ def fold(text: str) -> int:
     return zlib.crc32(text.encode()) % FOLDS
 
 
-def _mixed(found: np.ndarray, labels: np.ndarray, held: np.ndarray, shapes: Sequence[str], forms: Sequence[str], seed: int, begin: Network | None = None) -> Network:
-    """Fit on findings of the table and PLANTED secrets and ordinary runs."""
-    more, truth = planted(np.random.default_rng(seed), shapes, forms, found[labels == 0], PLANTED)
-    kinds = np.repeat([0, 1], [len(labels), len(truth)])
-    keep = np.arange(len(truth)) // 2 % 5 == 0
-    return fit(np.concatenate([found, more]), np.concatenate([labels, truth]), np.concatenate([held, keep]), kinds, begin, 3 if begin else 6)
-
-
 @lru_cache(maxsize=2)
 def fixed(shapes: Sequence[str] = tuple(SHAPES), forms: Sequence[str] = tuple(FORMS)) -> Network:
     """The network with which all others begin; fitted on planted findings only."""
-    none = np.zeros((0, FRAME), np.uint8)
-    return _mixed(none, np.zeros(0, np.int64), np.zeros(0, bool), shapes, forms, SEED)
+    frames, labels = planted(np.random.default_rng(SEED), shapes, forms, np.zeros((0, FRAME), np.uint8), PLANTED)
+    held, rng = calibrates(len(labels)), np.random.default_rng(SEED)
+    net = Network.new(rng)
+    steps = max(1, int((~held).sum()) // 64)
+    net = descend(net, frames[~held], labels[~held], max(6, -(-LEAST_STEPS // steps)), rng)
+    return calibrated(net, np.ones(int(held.sum()), np.int64), labels[held], bins(net.logits(frames[held])), np.ones(int(held.sum()), np.int64))
+
+
+def calibrates(n: int) -> np.ndarray:
+    """Which of n planted frames are held: every fifth pair."""
+    return np.arange(n) // 2 % 5 == 0
 
 
 def _findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,18 +411,94 @@ def _findings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array(folds, pa.int32()), pa.array(frames, pa.binary())], ["label", "fold", "frame"])
 
 
-def train(docs: DataFrame, shapes: Sequence[str] = tuple(SHAPES), forms: Sequence[str] = tuple(FORMS)) -> Folds:
-    """Fit on planted findings and on the labelled ones of all documents, bounded by TRAIN_ROWS distinct frames of each label."""
+def _stacked(frames) -> np.ndarray:
+    return np.frombuffer(b"".join(frames.to_pylist()), np.uint8).reshape(-1, FRAME)
+
+
+def _array(column) -> np.ndarray:
+    return column.to_numpy()
+
+
+PART_SCHEMA = "net int, part long, kind int, label int, held boolean, frame binary"
+
+
+def _with_planted(shapes: Sequence[str], forms: Sequence[str]):
+    def run(table: pa.Table) -> pa.Table:
+        net, part = table.column("net")[0].as_py(), table.column("part")[0].as_py()
+        table = table.filter(pc.is_valid(table.column("frame"))).sort_by("frame")
+        found, labels = _stacked(table.column("frame")), _array(table.column("label")).astype(np.int64)
+        more, truth = planted(np.random.default_rng([SEED + 1 + net, part]), shapes, forms, found[labels == 0], PLANTED)
+        n, m = len(labels), len(truth)
+        columns = [
+            np.full(n + m, net, np.int32), np.full(n + m, part, np.int64), np.repeat([0, 1], [n, m]).astype(np.int32), np.concatenate([labels, truth]).astype(np.int32),
+            np.concatenate([_array(table.column("held")).astype(bool), calibrates(m)]),
+        ]
+        frames = pa.array([f.tobytes() for f in np.concatenate([found, more])], pa.binary())
+        return pa.Table.from_arrays([*map(pa.array, columns), frames], [c.split()[0] for c in PART_SCHEMA.split(", ")])
+
+    return run
+
+
+def parts(docs: DataFrame, shapes: Sequence[str] = tuple(SHAPES), forms: Sequence[str] = tuple(FORMS), rows: int = PART_ROWS) -> DataFrame:
+    """(net, part, kind, label, held, frame): every distinct labelled frame of the documents for each network that may see it (kind 0), and each part's planted ones (kind 1).
+
+    A part has about `rows` frames of the table; each network has as many parts, one at least.
+    """
     seen = keyed(docs).select("text").mapInArrow(_findings, "label int, fold int, frame binary").groupBy("frame").agg(
         F.max("label").alias("label"), F.min("fold").alias("fold"), F.max("fold").alias("_last"))
-    found = stored(seen.filter("fold = _last").drop("_last").withColumn("h", F.xxhash64("frame")), "findings")
-    rows = [[found.filter((F.col("label") == label) & (F.col("fold") == k)).orderBy("h", "frame").limit(TRAIN_ROWS // FOLDS).collect() for label in (0, 1)] for k in range(FOLDS)]
-    nets = []
-    for k in range(FOLDS):
-        own = [r for other in range(FOLDS) if other != k for part in rows[other] for r in part]
-        frames = np.frombuffer(b"".join(bytes(r["frame"]) for r in own), np.uint8).reshape(-1, FRAME)
-        nets.append(_mixed(frames, np.array([r["label"] for r in own], np.int64), np.array([r["h"] % 5 == 0 for r in own], bool), shapes, forms, SEED + 1 + k, fixed(shapes, forms)))
-    return Folds(tuple(nets))
+    found = stored(seen.filter("fold = _last").select("label", "frame", F.expr(f"explode(filter(sequence(0, {FOLDS - 1}), k -> k <> fold))").alias("net")), "findings")
+    n = max(1, -(-max((r["count"] for r in found.groupBy("net").count().collect()), default=0) // rows))
+    own = found.select("net", F.pmod(F.xxhash64("frame", F.lit(SEED)), F.lit(n)).cast("long").alias("part"), "label", (F.xxhash64("frame") % 5 == 0).alias("held"), "frame")
+    # A row without a frame stands for each part, so that one without findings is there as well.
+    marks = docs.sparkSession.range(FOLDS * n).selectExpr(f"CAST(id % {FOLDS} AS int) AS net", f"id div {FOLDS} AS part", "CAST(NULL AS int) AS label", "false AS held", "CAST(NULL AS binary) AS frame")
+    return stored(grouped(own.unionByName(marks), n).applyInArrow(_with_planted(tuple(shapes), tuple(forms)), PART_SCHEMA), "parts")
+
+
+def grouped(rows: DataFrame, n: int):
+    """Rows by network and part, over as many tasks as there are parts, or shuffle partitions if those are fewer."""
+    tasks = min(FOLDS * n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(max(1, tasks), "net", "part").groupBy("net", "part")
+
+
+def _gone_on(nets: tuple[Network, ...], turn: int):
+    """One part's weights after a pass over it, times its frames."""
+    def run(table: pa.Table) -> pa.Table:
+        net, part = table.column("net")[0].as_py(), table.column("part")[0].as_py()
+        table = table.sort_by([("kind", "ascending"), ("frame", "ascending"), ("label", "ascending")])
+        frames, labels = _stacked(table.column("frame")), _array(table.column("label"))
+        weights = descend(nets[net], frames, labels, 1, np.random.default_rng([SEED, turn, net, part])).flat()
+        total = np.rint(weights.astype(np.float64) * WHOLE).astype(np.int64) * len(labels)
+        columns = [np.full(len(total), net, np.int32), np.arange(len(total), dtype=np.int32), total, np.full(len(total), len(labels), np.int64)]
+        return pa.Table.from_arrays([*map(pa.array, columns)], ["net", "place", "total", "n"])
+
+    return run
+
+
+def _binned(nets: tuple[Network, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frames, own = _stacked(batch.column("frame")), _array(batch.column("net"))
+            places = np.zeros(len(own), np.int64)
+            for k, net in enumerate(nets):
+                places[own == k] = bins(net.logits(frames[own == k]))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("net", "kind", "label")), pa.array(places)], ["net", "kind", "label", "place"])
+
+    return run
+
+
+def train(docs: DataFrame, shapes: Sequence[str] = tuple(SHAPES), forms: Sequence[str] = tuple(FORMS), rows: int = PART_ROWS) -> Folds:
+    """Fit on planted findings and on all distinct labelled ones of all documents; the driver sees sums of weights and counts of scores."""
+    table = parts(docs, shapes, forms, rows)
+    n = table.agg(F.max("part")).first()[0] + 1
+    nets = (fixed(tuple(shapes), tuple(forms)),) * FOLDS
+    for turn in range(ROUNDS):
+        gone_on = grouped(table.filter("NOT held").drop("held"), n).applyInArrow(_gone_on(nets, turn), "net int, place int, total long, n long")
+        sums = gone_on.groupBy("net", "place").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).orderBy("net", "place").collect()
+        nets = tuple(net.filled(np.array([r["total"] / r["n"] / WHOLE for r in sums if r["net"] == k])) for k, net in enumerate(nets))
+    counts = table.filter("held").select("net", "kind", "label", "frame").mapInArrow(_binned(nets), "net int, kind int, label int, place long")
+    counts = counts.groupBy("net", "kind", "label", "place").count().collect()
+    own = [np.array([r[1:] for r in counts if r["net"] == k], np.int64).T for k in range(FOLDS)]
+    return Folds(tuple(calibrated(net, *x) for net, x in zip(nets, own)))
 
 
 def all_spans(texts: list[str], net: Folds | None) -> list[list[tuple[int, int, int]]]:
