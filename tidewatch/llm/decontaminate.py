@@ -10,7 +10,8 @@ document word is hit when any window of any item occurs over it.
 2. The documents' fingerprints meet the benchmark's. The benchmark side is distinct and is
    broadcast only when its stored size is under the bounds; otherwise it is a shuffle join.
 3. Hits are extended: every window around a hit is spelled out and joined to the items' windows
-   on its words, so the result is exact whatever the hashes do.
+   on its words, so the result is exact whatever the hashes do. Only documents with a hit are cut
+   into words again; the number of words of every row comes out of the first pass with the hits.
 
 Work and rows grow with the documents: one row for each fingerprint before the join, then only
 those that hit. Nothing is gathered but the positions and items of one document.
@@ -52,8 +53,8 @@ def gram_kinds(items: DataFrame) -> list[Grams]:
     return kinds + ([Grams(GRAM, min(long) - GRAM + 1, long)] if long else [])
 
 
-def fingerprints(df: DataFrame, kind: Grams, keep: list[str]) -> DataFrame:
-    """A row (*keep, _at, _print) for each kept k-gram of `_words`.
+def fingerprints(df: DataFrame, kind: Grams, keep: list[str], whole: bool = False) -> DataFrame:
+    """A row (*keep, n_words, _at, _print) for each kept k-gram of `_words`; with `whole` one more for each row of `df`, at -1.
 
     The explodes are outer ones: an inner explode lets the optimiser push `size(array) > 0` below the
     projections, where each array would be computed again inside the next one's lambda.
@@ -62,19 +63,24 @@ def fingerprints(df: DataFrame, kind: Grams, keep: list[str]) -> DataFrame:
     grams = F.transform(
         F.sequence(F.lit(0), F.size("_h") - kind.k), lambda i: F.xxhash64(*[F.get("_h", i + j) for j in range(kind.k)])
     )
-    rows = hashed.select(*keep, F.when(F.size("_h") >= kind.k, grams).alias("_g"))
+    rows = hashed.select(*keep, F.size("_h").alias("n_words"), F.when(F.size("_h") >= kind.k, grams).alias("_g"))
+    found = lambda g, p: F.struct(p.alias("_at"), g.alias("_print"))
     if kind.w == 1:
-        return rows.select(*keep, F.posexplode_outer("_g").alias("_at", "_print")).filter("_print IS NOT NULL")
-    least = F.transform(
-        F.sequence(F.lit(0), F.size("_g") - kind.w), lambda i: F.least(*[F.get("_g", i + j) for j in range(kind.w)])
-    )
-    rows = rows.select(*keep, "_g", F.when(F.size("_g") >= kind.w, least).alias("_m"))
-    # A gram is the smallest of some run that holds it exactly when the largest of those runs' minima is the gram.
-    chosen = F.transform(
-        "_g", lambda g, p: F.when(g == F.greatest(*[F.get("_m", p - j) for j in range(kind.w)]), F.struct(p.alias("_at"), g.alias("_print")))
-    )
-    rows = rows.select(*keep, F.explode_outer(F.filter(chosen, lambda x: x.isNotNull())).alias("_x"))
-    return rows.filter(F.col("_x").isNotNull()).select(*keep, "_x._at", "_x._print")
+        chosen = F.transform("_g", found)
+    else:
+        least = F.transform(
+            F.sequence(F.lit(0), F.size("_g") - kind.w), lambda i: F.least(*[F.get("_g", i + j) for j in range(kind.w)])
+        )
+        rows = rows.select(*keep, "n_words", "_g", F.when(F.size("_g") >= kind.w, least).alias("_m"))
+        # A gram is the smallest of some run that holds it exactly when the largest of those runs' minima is the gram.
+        chosen = F.transform("_g", lambda g, p: F.when(g == F.greatest(*[F.get("_m", p - j) for j in range(kind.w)]), found(g, p)))
+        chosen = F.filter(chosen, lambda x: x.isNotNull())
+    if whole:
+        # The row's own hash in place of a print deals these rows evenly if the prints are joined by a shuffle.
+        own = F.array(F.struct(F.lit(-1).alias("_at"), F.xxhash64(*keep).alias("_print")))
+        chosen = F.concat(own, F.coalesce(chosen, F.array().cast("array<struct<_at: int, _print: bigint>>")))
+    rows = rows.select(*keep, "n_words", F.explode_outer(chosen).alias("_x"))
+    return rows.filter(F.col("_x").isNotNull()).select(*keep, "n_words", "_x._at", "_x._print")
 
 
 def item_windows(items: DataFrame) -> DataFrame:
@@ -85,7 +91,9 @@ def item_windows(items: DataFrame) -> DataFrame:
 
 
 def met(rows: DataFrame, prints: DataFrame, small: bool) -> DataFrame:
-    return rows.join(F.broadcast(prints) if small else prints, "_print", "left_semi")
+    """The rows whose print is in `prints` (distinct), and those at -1."""
+    known = prints.withColumn("_known", F.lit(True))
+    return rows.join(F.broadcast(known) if small else known, "_print", "left").filter("_at < 0 OR _known").drop("_known")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -100,18 +108,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for kind in kinds:
         wanted = items.filter(F.least(F.size("_words"), F.lit(WINDOW)).isin(list(kind.lengths)))
         prints = stored(fingerprints(wanted, kind, []).select("_print").distinct(), "prints")
-        found = met(fingerprints(texts, kind, KEY), prints, small_enough(prints, 8))
+        found = met(fingerprints(texts, kind, ["doc_id", *KEY], hits is None), prints, small_enough(prints, 8))
         # Every window that holds the k-gram found at `_at`, as (start, length).
         spans = [F.struct((F.col("_at") - back).alias("s"), F.lit(n).alias("n")) for n in kind.lengths for back in range(n - kind.k + 1)]
-        found = found.select(*KEY, F.explode(F.array(*spans)).alias("_span")).filter("_span.s >= 0")
+        found = found.select("doc_id", *KEY, F.col("n_words").cast("long").alias("n_words"), F.when(F.col("_at") >= 0, F.array(*spans)).alias("_spans"))
         hits = found if hits is None else hits.unionByName(found)
-    near = stored(hits.groupBy(*KEY).agg(F.collect_set("_span").alias("_spans")), "hits")
+    hits = stored(hits, "hits")
+    rows = hits.filter("_spans IS NULL").drop("_spans")
+    near = hits.filter("_spans IS NOT NULL").select(*KEY, F.explode("_spans").alias("_span")).filter("_span.s >= 0")
+    near = stored(near.groupBy(*KEY).agg(F.collect_set("_span").alias("_spans")), "near")
 
+    near_small = small_enough(near, F.size("_spans") * 16 + 32)
+    again = keyed(docs).join(F.broadcast(near) if near_small else near, KEY).select(*KEY, "_spans", words(F.col("text")).alias("_words"))
     spans = F.filter("_spans", lambda x: x["s"] + x["n"] <= F.size("_words"))
     spelled = F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["n"].alias("n"), F.array_join(F.slice("_words", x["s"] + 1, x["n"]), " ").alias("w")))
-    near_small = small_enough(near, F.size("_spans") * 16 + 32)
-    judged = texts.join(F.broadcast(near) if near_small else near, KEY, "left")
-    judged = stored(judged.select("doc_id", *KEY, F.size("_words").cast("long").alias("n_words"), F.when(F.col("_spans").isNotNull(), spelled).alias("_spelled")), "spelled")
+    judged = stored(again.select(*KEY, spelled.alias("_spelled")), "spelled")
 
     windows = stored(item_windows(items), "windows")
     places = judged.select(*KEY, F.explode("_spelled").alias("_x")).select(*KEY, "_x.s", "_x.n", F.col("_x.w").alias("_window"))
@@ -126,7 +137,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ),
     )["total"]
     by_doc = by_doc.select(*KEY, reach.cast("long").alias("n_hit"), "item_ids")
-    whole = judged.select("doc_id", *KEY, "n_words").join(by_doc, KEY, "left")
+    whole = rows.join(by_doc, KEY, "left")
     return whole.select(
         "doc_id", *KEY, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
