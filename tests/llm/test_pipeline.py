@@ -50,3 +50,15 @@ def test_stages_keep_the_columns(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, folder).columns == docs.columns, name
+
+
+def test_masking_is_fitted_on_every_finding(spark, monkeypatch):
+    """More findings than any bound of rows; all of them reach the networks' parts."""
+    seen, plain = [], secrets.parts
+    monkeypatch.setattr(secrets, "parts", lambda *a, **b: seen.append(plain(*a, **b)) or seen[-1])
+    rng = np.random.default_rng(5)
+    texts = [f"we saw {rng.bytes(10).hex()} there" for _ in range(5_200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    masked = corpus_pipeline.mask_secrets(spark, docs, "")
+    assert {r.text for r in masked.collect()} == {"we saw [SECRET] there"}
+    assert seen[0].filter("kind = 0 AND label = 1").select("frame").distinct().count() == 5_200
