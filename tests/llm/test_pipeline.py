@@ -62,3 +62,12 @@ def test_masking_is_fitted_on_every_finding(spark, monkeypatch):
     masked = corpus_pipeline.mask_secrets(spark, docs, "")
     assert {r.text for r in masked.collect()} == {"we saw [SECRET] there"}
     assert seen[0].filter("kind = 0 AND label = 1").select("frame").distinct().count() == 5_200
+
+
+def test_masking_thresholds_count_every_finding(spark, monkeypatch):
+    calls, plain = [], secrets.calibrated
+    monkeypatch.setattr(secrets, "calibrated", lambda net, *counts: calls.append(counts) or plain(net, *counts))
+    rng = np.random.default_rng(7)
+    texts = [f"we saw {rng.bytes(10).hex()} there" for _ in range(1_000)]
+    corpus_pipeline.mask_secrets(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "").collect()
+    assert sum(int(counts[kinds == 0].sum()) for kinds, _, _, counts in calls[-2:]) == 1_000

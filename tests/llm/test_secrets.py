@@ -106,3 +106,25 @@ def test_every_finding_is_fitted_on(spark):
         assert np.mean(score[[r.label == 1 for r in held]] >= one.threshold) >= secrets.RECALL - 1e-9
         assert marked(one, [secrets.token(rng, "github") for _ in range(50)]) >= 0.9
         assert marked(one, [secrets.written(rng, secrets.FORMS["phone"][0]) + "-1" for _ in range(50)]) <= 0.02
+
+
+def test_every_finding_fits_one_network_and_calibrates_the_other(spark, monkeypatch):
+    """No share of the findings is left to the threshold or to the weights alone; only ordinary runs that both networks judge fit neither."""
+    rng = np.random.default_rng(6)
+    around = "and so on for quite a few words {} and so on for quite a few more"
+    both = {0: "/usr/lib/python3/site-packages/module.py", 1: "0123456789abcdef0123"}
+    texts = [f"we saw {rng.bytes(10).hex()} and /{secrets.spoken(rng, 9)}/{secrets.spoken(rng, 9)}/ there" for _ in range(300)]
+    texts += [f"{i} {around.format(run)} {i}" for run in both.values() for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    calls, plain = [], secrets.calibrated
+    monkeypatch.setattr(secrets, "calibrated", lambda net, *counts: calls.append(counts) or plain(net, *counts))
+    table = secrets.parts(docs, rows=100)
+    judged = {k: {(bytes(r.frame), r.label) for r in table.filter(f"kind = 0 AND net = {k}").collect()} for k in (0, 1)}
+    fits = {k: [(bytes(r.frame), r.label) for r in secrets.fitted(table).filter(f"kind = 0 AND net = {k}").collect()] for k in (0, 1)}
+    shared = {run: (secrets.codes(around.format(run), 32, 32 + len(run)).tobytes(), label) for label, run in both.items()}
+    assert len(judged[0] | judged[1]) == 602 and judged[0] & judged[1] == {shared[both[0]]}
+    assert sorted(fits[0] + fits[1]) == sorted((judged[0] | judged[1]) - {shared[both[0]]})
+    assert all(not set(fits[k]) & judged[k] for k in (0, 1))
+    secrets.train(docs, rows=100)
+    counted = [int(counts[kinds == 0].sum()) for kinds, _, _, counts in calls[-2:]]
+    assert counted == [len(judged[0]), len(judged[1])]

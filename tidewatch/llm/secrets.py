@@ -11,12 +11,14 @@ by Adam on labelled findings. Secrets: what a base pattern covers, and planted t
 shapes (`SHAPES`) in contexts of the table. Others: candidates that no base pattern touches and that
 do not look like a token (`alike`), since a secret of an unknown shape may be among those, and
 planted paths, addresses and names. Documents are dealt to two folds by their text; each is scored
-by the network fitted on the other fold, and a frame seen in both folds is fitted by neither.
-Training takes every distinct frame of the table, dealt by hash into parts of about `PART_ROWS`, each with planted findings of
-its own. In each of `ROUNDS` rounds every part goes on from the same weights, once over its frames, and the
-weights are averaged by the parts' sizes (as sums of whole numbers, so their order is without effect). A fifth of the frames, by
-hash, only calibrates: their scores are counted in bins of a 1/`GRAIN` of a logit, a temperature is fitted on the counts, then the
-threshold is the largest lower edge of a bin, up to `EVEN`, that keeps `RECALL` of the base findings and of the planted secrets.
+by the network fitted on the other fold.
+Training takes every distinct frame of the table, dealt by hash into parts of about `PART_ROWS` of one fold, each with planted
+findings of its own. In each of `ROUNDS` rounds every part goes on from the same weights of the other fold's network, once over its
+frames, and the weights are averaged by the parts' sizes (as sums of whole numbers, so their order is without effect). Then every
+part, whole, calibrates the network that judges its fold and has seen nothing of it: the scores are counted in bins of a 1/`GRAIN` of
+a logit, a temperature is fitted on the counts, then the threshold is the largest lower edge of a bin, up to `EVEN`, that keeps
+`RECALL` of the base findings and of the planted secrets. So each frame fits one network and calibrates the other one. An ordinary
+frame of both folds calibrates both and fits neither, since both judge it; a base finding of both, which none judges, is dealt to one by hash.
 Both networks begin as one fixed network, fitted on planted findings only (`fixed`), and go on with the planted ones
 and what the table has, be it nothing; so no number of findings decides which method answers.
 
@@ -391,7 +393,7 @@ def fixed(shapes: Sequence[str] = tuple(SHAPES), forms: Sequence[str] = tuple(FO
 
 
 def calibrates(n: int) -> np.ndarray:
-    """Which of n planted frames are held: every fifth pair."""
+    """Which of n planted frames only calibrate the fixed network: every fifth pair."""
     return np.arange(n) // 2 % 5 == 0
 
 
@@ -419,7 +421,7 @@ def _array(column) -> np.ndarray:
     return column.to_numpy()
 
 
-PART_SCHEMA = "net int, part long, kind int, label int, held boolean, frame binary"
+PART_SCHEMA = "net int, part long, kind int, label int, held int, frame binary"
 
 
 def _with_planted(shapes: Sequence[str], forms: Sequence[str]):
@@ -427,11 +429,12 @@ def _with_planted(shapes: Sequence[str], forms: Sequence[str]):
         net, part = table.column("net")[0].as_py(), table.column("part")[0].as_py()
         table = table.filter(pc.is_valid(table.column("frame"))).sort_by("frame")
         found, labels = _stacked(table.column("frame")), _array(table.column("label")).astype(np.int64)
-        more, truth = planted(np.random.default_rng([SEED + 1 + net, part]), shapes, forms, found[labels == 0], PLANTED)
+        held = _array(table.column("held")).astype(np.int32)
+        more, truth = planted(np.random.default_rng([SEED + 1 + net, part]), shapes, forms, found[(labels == 0) & (held == 1)], PLANTED)
         n, m = len(labels), len(truth)
         columns = [
             np.full(n + m, net, np.int32), np.full(n + m, part, np.int64), np.repeat([0, 1], [n, m]).astype(np.int32), np.concatenate([labels, truth]).astype(np.int32),
-            np.concatenate([_array(table.column("held")).astype(bool), calibrates(m)]),
+            np.concatenate([held, np.ones(m, np.int32)]),
         ]
         frames = pa.array([f.tobytes() for f in np.concatenate([found, more])], pa.binary())
         return pa.Table.from_arrays([*map(pa.array, columns), frames], [c.split()[0] for c in PART_SCHEMA.split(", ")])
@@ -440,20 +443,29 @@ def _with_planted(shapes: Sequence[str], forms: Sequence[str]):
 
 
 def parts(docs: DataFrame, shapes: Sequence[str] = tuple(SHAPES), forms: Sequence[str] = tuple(FORMS), rows: int = PART_ROWS) -> DataFrame:
-    """(net, part, kind, label, held, frame): every distinct labelled frame of the documents for each network that may see it (kind 0), and each part's planted ones (kind 1).
+    """(net, part, kind, label, held, frame): every distinct labelled frame of the documents by the network that it calibrates (kind 0), and each part's planted ones (kind 1).
 
+    `held` tells how many networks judge documents with the frame; only if it is one, the others are fitted on it (`fitted`).
     A part has about `rows` frames of the table; each network has as many parts, one at least.
     """
     seen = keyed(docs).select("text").mapInArrow(_findings, "label int, fold int, frame binary").groupBy("frame").agg(
-        F.max("label").alias("label"), F.min("fold").alias("fold"), F.max("fold").alias("_last"))
-    found = stored(seen.filter("fold = _last").select("label", "frame", F.expr(f"explode(filter(sequence(0, {FOLDS - 1}), k -> k <> fold))").alias("net")), "findings")
+        F.max("label").alias("label"), F.array_sort(F.collect_set("fold")).alias("folds"))
+    one = F.expr("array(element_at(folds, CAST(pmod(xxhash64(frame), size(folds)) AS int) + 1))")
+    seen = seen.withColumn("folds", F.when(F.col("label") == 1, one).otherwise(F.col("folds")))
+    found = stored(seen.select("label", "frame", F.size("folds").alias("held"), F.explode("folds").alias("net")), "findings")
     n = max(1, -(-max((r["count"] for r in found.groupBy("net").count().collect()), default=0) // rows))
-    own = found.select("net", F.pmod(F.xxhash64("frame", F.lit(SEED)), F.lit(n)).cast("long").alias("part"), "label", (F.xxhash64("frame") % 5 == 0).alias("held"), "frame")
+    own = found.select("net", F.pmod(F.xxhash64("frame", F.lit(SEED)), F.lit(n)).cast("long").alias("part"), "label", "held", "frame")
     # A row without a frame stands for each part, so that one without findings is there as well.
-    marks = docs.sparkSession.range(FOLDS * n).selectExpr(f"CAST(id % {FOLDS} AS int) AS net", f"id div {FOLDS} AS part", "CAST(NULL AS int) AS label", "false AS held", "CAST(NULL AS binary) AS frame")
+    marks = docs.sparkSession.range(FOLDS * n).selectExpr(f"CAST(id % {FOLDS} AS int) AS net", f"id div {FOLDS} AS part", "CAST(NULL AS int) AS label", "1 AS held", "CAST(NULL AS binary) AS frame")
     return stored(grouped(own.unionByName(marks), n).applyInArrow(_with_planted(tuple(shapes), tuple(forms)), PART_SCHEMA), "parts")
 
 
+def fitted(table: DataFrame) -> DataFrame:
+    """(net, part, kind, label, frame): what each network is fitted on, the parts of the folds that it does not judge."""
+    others = F.explode(F.expr(f"filter(sequence(0, {FOLDS - 1}), k -> k <> net)"))
+    return table.filter("held = 1").select(others.alias("net"), "part", "kind", "label", "frame")
+
+
 def grouped(rows: DataFrame, n: int):
     """Rows by network and part, over as many tasks as there are parts, or shuffle partitions if those are fewer."""
     tasks = min(FOLDS * n, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -492,10 +504,10 @@ def train(docs: DataFrame, shapes: Sequence[str] = tuple(SHAPES), forms: Sequenc
     n = table.agg(F.max("part")).first()[0] + 1
     nets = (fixed(tuple(shapes), tuple(forms)),) * FOLDS
     for turn in range(ROUNDS):
-        gone_on = grouped(table.filter("NOT held").drop("held"), n).applyInArrow(_gone_on(nets, turn), "net int, place int, total long, n long")
+        gone_on = grouped(fitted(table), n).applyInArrow(_gone_on(nets, turn), "net int, place int, total long, n long")
         sums = gone_on.groupBy("net", "place").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).orderBy("net", "place").collect()
         nets = tuple(net.filled(np.array([r["total"] / r["n"] / WHOLE for r in sums if r["net"] == k])) for k, net in enumerate(nets))
-    counts = table.filter("held").select("net", "kind", "label", "frame").mapInArrow(_binned(nets), "net int, kind int, label int, place long")
+    counts = table.select("net", "kind", "label", "frame").mapInArrow(_binned(nets), "net int, kind int, label int, place long")
     counts = counts.groupBy("net", "kind", "label", "place").count().collect()
     own = [np.array([r[1:] for r in counts if r["net"] == k], np.int64).T for k in range(FOLDS)]
     return Folds(tuple(calibrated(net, *x) for net, x in zip(nets, own)))
