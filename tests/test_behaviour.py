@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.prefix import in_cells, running_number
 from tidewatch.functions.storage import shared_folder
+from tidewatch.operators import behaviour
 from tidewatch.operators.behaviour import hundred_connection_features, two_second_features
 from tidewatch.plans.catalogue import QUERIES
 from tidewatch.sources import views
@@ -116,3 +117,38 @@ def test_connections_without_port_or_source_stay(spark, rows):
             same = [r for r in last if r[2] == service]
             assert near(found[i].dst_host_same_src_port_rate, sum(r[5] == port for r in last) / len(last))
             assert near(found[i].dst_host_srv_diff_host_rate, 1 - sum(r[6] == source for r in same) / len(same))
+
+
+def roles():
+    return "host", "service", "ts", "id", F.col("bad"), ~F.col("bad"), "port", "source"
+
+
+def by_id(df):
+    return {r.id: r.asDict() for r in df.collect()}
+
+
+@pytest.mark.parametrize("task_rows", [1_000_000, 150, 1])
+def test_both_sets_whatever_a_task_orders(spark, df, rows, monkeypatch, task_rows):
+    """All keys by tasks, the large ones by marks, all by marks: the columns of the two operators, gaps in any role included."""
+    monkeypatch.setattr(behaviour, "TASK_ROWS", task_rows)
+    ts = rows[0][3]
+    schema = "id int, host int, service string, ts timestamp, bad boolean, port int, source int"
+    odd = [(None, 0, "a", ts, True, 1, 1), (1002, 0, "a", ts, None, None, 2), (1003, 4, "b", ts, False, None, None), (1004, 4, None, ts, False, 1, 1)]
+    everything = df.unionByName(spark.createDataFrame(odd, schema))
+    recent = two_second_features(everything, *roles()[:3], *roles()[4:6], seconds=20)
+    want = hundred_connection_features(recent, *roles(), last=10)
+    got = behaviour.connection_features(everything, *roles(), seconds=20, last=10)
+    assert got.columns == want.columns and got.count() == 606
+    assert by_id(got) == by_id(want)
+    # From an instant on: the rows of that time with all their columns, and nothing else.
+    middle = sorted(r[3] for r in rows)[400]
+    later = behaviour.connection_features(everything, *roles(), seconds=20, last=10, since=int(middle.timestamp() * 1_000_000))
+    assert by_id(later) == {i: r for i, r in by_id(want).items() if r["ts"] is not None and r["ts"] >= middle and r["host"] is not None and r["service"] is not None}
+
+
+def test_keys_of_a_task_need_no_marks(spark, df):
+    """Hosts and services that a task can order are neither dealt to cells nor stored as marks."""
+    before = len(stored_tables(spark))
+    result = behaviour.connection_features(df, *roles())
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert len(stored_tables(spark)) == before and "inline" not in plan and plan.count("Join") == 1, plan

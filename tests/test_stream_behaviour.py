@@ -1,9 +1,14 @@
 """Behaviour columns on a stream: state under a watermark gives the batch operators' columns."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 
+from tidewatch.operators import behaviour as batch
+from tidewatch.plans import stream_queries
+from tidewatch.plans.catalogue import QUERIES
+from tidewatch.sources.tables import read_table
 from tidewatch.streaming import behaviour
 
 START = datetime(2024, 1, 1)
@@ -64,3 +69,26 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path, rows):
     behaviour.behaviour_stream(stream, ROLES, output, 20).awaitTermination()
     assert by_id(behaviour.released(spark, output)) == before
     assert spark.read.parquet(f"{output}/rows/micro=1").count() == state
+
+
+def test_large_keys_of_a_stream(spark, tmp_path, rows, monkeypatch):
+    """Hosts and services too large for a task: the same columns from marks, state and new rows together."""
+    monkeypatch.setattr(batch, "TASK_ROWS", 30)
+    delayed = sorted(rows, key=lambda r: r[3] + timedelta(seconds=(r[0] * 37) % 40))
+    output = fed(spark, tmp_path, [delayed[:100], delayed[100:]], 40)
+    monkeypatch.undo()
+    want = by_id(ROLES.features(spark.createDataFrame(rows, SCHEMA)))
+    assert by_id(behaviour.behaviour_so_far(spark, output, ROLES)) == want
+
+
+def test_arrivals_are_several_files(spark, folder, monkeypatch):
+    """A micro-batch's files are as many as tasks can share, each micro-batch has its own, and no event is late."""
+    monkeypatch.setattr(stream_queries, "FILE_ROWS", 60)
+    made, start = [], behaviour.behaviour_stream
+    monkeypatch.setattr(behaviour, "behaviour_stream", lambda stream, roles, output, late: made.append(output) or start(stream, roles, output, late))
+    result = QUERIES["stream_behaviour"](spark, folder)
+    output, = made
+    assert spark.read.parquet(f"{output}/late").count() == 0
+    progress = Path(output) / "_progress" / "sources" / "0"
+    assert [len((progress / str(k)).read_text().splitlines()) - 1 for k in range(stream_queries.PARTS)] == [4] * stream_queries.PARTS
+    assert result.count() == read_table(spark, folder, "events").count()

@@ -116,19 +116,25 @@ def stream_dedup(spark, folder):
 
 #: Longest delay of an event on its way into `stream_behaviour`; the watermark waits as long.
 DELAY_SECONDS = 7200
+#: Rows of an arriving file, at least.
+FILE_ROWS = 200_000
 
 
 def _delayed_events(spark, folder):
-    """Events as PARTS files in the order in which they arrive, each up to DELAY_SECONDS late."""
+    """Events in PARTS groups of files in the order in which they arrive, each up to DELAY_SECONDS late."""
     events = spark.read.parquet(f"{folder}/events.parquet")
     arrival = F.unix_micros(F.col("ts").cast("timestamp")) + F.pmod(F.xxhash64("event_id"), F.lit(DELAY_SECONDS * 1_000_000))
     arriving = events.withColumn("_arrival", arrival)
     cuts = arriving.agg(F.percentile_approx("_arrival", [k / PARTS for k in range(1, PARTS)])).first()[0]
+    inside = [(F.lit(True) if low is None else F.col("_arrival") > low) & (F.lit(True) if high is None else F.col("_arrival") <= high)
+              for low, high in zip([None, *cuts], [*cuts, None])]
+    # A group is as many files as any other, so that each makes one micro-batch: with FILE_ROWS rows for each file none is empty.
+    files = max(1, min(arriving.agg(*[F.count(F.when(part, 1)) for part in inside]).first()) // FILE_ROWS)
     parts = fresh_folder(spark, "arrivals")
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        inside = (F.lit(True) if low is None else F.col("_arrival") > low) & (F.lit(True) if high is None else F.col("_arrival") <= high)
-        arriving.where(inside).drop("_arrival").coalesce(1).write.mode("append").parquet(parts)
-    stream = jobs.file_stream(spark, parts, read_table(spark, folder, "events").schema, files=1)
+    for part in inside:
+        group = arriving.where(part).drop("_arrival")
+        (group.coalesce(1) if files == 1 else group.repartition(files)).write.option("maxRecordsPerFile", 0).mode("append").parquet(parts)
+    stream = jobs.file_stream(spark, parts, read_table(spark, folder, "events").schema, files=files)
     return stream.select("event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
 
 

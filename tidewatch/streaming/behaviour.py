@@ -41,10 +41,10 @@ class Behaviour:
     seconds: int = 2
     last: int = 100
 
-    def features(self, rows: DataFrame) -> DataFrame:
+    def features(self, rows: DataFrame, since: int | None = None) -> DataFrame:
         conditions = [F.expr(c) if c else None for c in (self.syn_error, self.rejected)]
         return connection_features(rows, self.host, self.service, self.ts, self.row_id, *conditions, self.source_port, self.source,
-                                   self.seconds, self.last)
+                                   self.seconds, self.last, since=since)
 
     def known(self) -> Column:
         return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (self.host, self.service, self.ts, self.row_id)])
@@ -63,10 +63,10 @@ def _state(spark: SparkSession, output: str, before: int | None = None) -> tuple
 def _kept(released: DataFrame, waiting: DataFrame, roles: Behaviour, watermark: int) -> DataFrame:
     """The next state: what waits, and the released rows that later frames reach."""
     newest = Window.partitionBy(roles.host).orderBy(F.desc(roles.ts), F.desc(roles.row_id))
+    near = roles.time() > watermark - roles.seconds * MICROS
     # Rank and limit stand together, so tasks send at most `last` rows of a host to it.
-    recent = released.withColumn("_age", F.row_number().over(newest)).where(F.col("_age") < roles.last).drop("_age")
-    near = released.where(roles.time() > watermark - roles.seconds * MICROS)
-    needed = recent.unionByName(near).dropDuplicates([roles.row_id])
+    recent = released.withColumn("_age", F.row_number().over(newest)).where((F.col("_age") < roles.last) & ~near).drop("_age")
+    needed = recent.unionByName(released.where(near))
     return needed.withColumn("_released", F.lit(True)).unionByName(waiting.withColumn("_released", F.lit(False)))
 
 
@@ -92,7 +92,8 @@ def behaviour_stream(stream: DataFrame, roles: Behaviour, output: str, lateness_
             state = session.read.schema(empty.schema).parquet(f"{output}/rows/micro={before}")
             pool = state.unionByName(came.where(known & ~late).withColumn("_released", F.lit(False)))
             due = time <= watermark if watermark is not None else F.lit(False)
-            featured = roles.features(pool.where(due)).where(~F.col("_released")).drop("_released")
+            # What an earlier watermark has passed is released already, and all else is later.
+            featured = roles.features(pool.where(due).drop("_released"), None if passed is None else passed + 1)
             write(featured.unionByName(came.where(~known), allowMissingColumns=True), "released", batch_id)
             passing, waiting = pool.where(due).drop("_released"), pool.where(~due).drop("_released")
             write(_kept(passing, waiting, roles, watermark if watermark is not None else 0), "rows", batch_id)
@@ -109,7 +110,7 @@ def released(spark: SparkSession, output: str) -> DataFrame:
 
 def behaviour_so_far(spark: SparkSession, output: str, roles: Behaviour) -> DataFrame:
     """Released connections, and the waiting ones with the columns they have if nothing more comes before them."""
-    newest, _ = _state(spark, output)
-    state = spark.read.parquet(f"{output}/rows/micro={newest}")
-    waiting = roles.features(state).where(~F.col("_released")).drop("_released")
+    newest, watermark = _state(spark, output)
+    state = spark.read.parquet(f"{output}/rows/micro={newest}").drop("_released")
+    waiting = roles.features(state, None if watermark is None else watermark + 1)
     return released(spark, output).unionByName(waiting)
