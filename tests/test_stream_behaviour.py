@@ -72,10 +72,13 @@ def test_a_repeated_micro_batch_changes_nothing(spark, tmp_path, rows):
 
 
 def test_large_keys_of_a_stream(spark, tmp_path, rows, monkeypatch):
-    """Hosts and services too large for a task: the same columns from marks, state and new rows together."""
+    """Hosts and services too large for a task, and too many hosts to be named: the same columns from state and new rows together."""
     monkeypatch.setattr(batch, "TASK_ROWS", 30)
+    monkeypatch.setattr(batch, "NAMED_HOSTS", 0)
+    monkeypatch.setattr(behaviour, "NAMED_HOSTS", 0)
     delayed = sorted(rows, key=lambda r: r[3] + timedelta(seconds=(r[0] * 37) % 40))
     output = fed(spark, tmp_path, [delayed[:100], delayed[100:]], 40)
+    assert spark.read.parquet(f"{output}/rows/micro=1").where("_released").count() <= 5 * 4 + 2 * 30 // 4 + 4
     monkeypatch.undo()
     want = by_id(ROLES.features(spark.createDataFrame(rows, SCHEMA)))
     assert by_id(behaviour.behaviour_so_far(spark, output, ROLES)) == want

@@ -21,7 +21,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.operators.behaviour import MICROS, connection_features
+from tidewatch.functions.joins import fits_broadcast
+from tidewatch.functions.storage import materialize
+from tidewatch.operators.behaviour import MICROS, NAMED_HOSTS, connection_features
 
 CLOCK = "micro long, watermark long"
 
@@ -62,11 +64,16 @@ def _state(spark: SparkSession, output: str, before: int | None = None) -> tuple
 
 def _kept(released: DataFrame, waiting: DataFrame, roles: Behaviour, watermark: int) -> DataFrame:
     """The next state: what waits, and the released rows that later frames reach."""
-    newest = Window.partitionBy(roles.host).orderBy(F.desc(roles.ts), F.desc(roles.row_id))
     near = roles.time() > watermark - roles.seconds * MICROS
+    # A host with fewer connections than `last` keeps them all; the others are ranked, all hosts if those are too many to be named.
+    crowded = materialize(released.groupBy(roles.host).count().where(F.col("count") >= roles.last).select(roles.host))
+    named = fits_broadcast(crowded, NAMED_HOSTS)
+    ranked = released.join(F.broadcast(crowded), roles.host, "left_semi") if named else released
+    newest = Window.partitionBy(roles.host).orderBy(F.desc(roles.ts), F.desc(roles.row_id))
     # Rank and limit stand together, so tasks send at most `last` rows of a host to it.
-    recent = released.withColumn("_age", F.row_number().over(newest)).where((F.col("_age") < roles.last) & ~near).drop("_age")
+    recent = ranked.withColumn("_age", F.row_number().over(newest)).where((F.col("_age") < roles.last) & ~near).drop("_age")
     needed = recent.unionByName(released.where(near))
+    needed = needed.unionByName(released.join(F.broadcast(crowded), roles.host, "left_anti").where(~near)) if named else needed
     return needed.withColumn("_released", F.lit(True)).unionByName(waiting.withColumn("_released", F.lit(False)))
 
 
